@@ -66,12 +66,18 @@ def all_text(df: DataFrame) -> DataFrame:
     return df.select(*(col(c).cast("string").alias(c) for c in df.columns))
 
 
-def align(df: DataFrame, columns: Sequence[str], add_missing: bool = False) -> DataFrame:
-    """Columns in the order of ``columns``: shared ones only, or missing ones added as NULL."""
+def align(df: DataFrame, like: Sequence[str] | T.StructType) -> DataFrame:
+    """Columns in the target's order: given names, the shared ones only; given a schema,
+    missing ones are added as NULL."""
     have = set(df.columns)
-    if add_missing:
-        return df.select(*(col(c) if c in have else F.lit(None).alias(c) for c in columns))
-    return df.select(*(col(c) for c in columns if c in have))
+    if isinstance(like, T.StructType):
+        return df.select(
+            *(
+                col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name)
+                for f in like.fields
+            )
+        )
+    return df.select(*(col(c) for c in like if c in have))
 
 
 def drift_report(df: DataFrame, shape: Sequence[ColumnSpec]) -> DataFrame:

@@ -60,18 +60,17 @@ def dim_stock_master(source: DataFrame, names: StockColumns = StockColumns()) ->
     )
 
 
-def with_unknown_member(dimension: DataFrame, id_column: str) -> DataFrame:
-    """The dimension plus one row whose id, and everything else, is NULL."""
-    spark = dimension.sparkSession
-    unknown = spark.range(1).select(
-        *(F.lit(None).cast(f.dataType).alias(f.name) for f in dimension.schema.fields)
+def first_model(dimension: DataFrame, id_column: str, valid: Column) -> DataFrame:
+    """Valid rows, and after them the invalid ones with their id blanked out."""
+    blank = F.lit(None).cast(dimension.schema[id_column].dataType)
+    return dimension.where(valid).unionByName(
+        dimension.where(~valid).withColumn(id_column, blank)
     )
-    return dimension.select(col(id_column)).unionByName(unknown.select(col(id_column)))
 
 
-def model_chain(dimension: DataFrame, id_column: str, wanted: Column) -> DataFrame:
-    """A model that unions rows with a NULL id, and a second one that filters the first."""
-    return with_unknown_member(dimension, id_column).where(wanted)
+def second_model(first: DataFrame, id_column: str, wanted: Column | None = None) -> DataFrame:
+    """A model on :func:`first_model`: rows that have an id, or the ``wanted`` ones."""
+    return first.where(col(id_column).isNotNull() if wanted is None else wanted)
 
 
 def model_schema(default: str, custom: str | None = None) -> str:
@@ -80,15 +79,25 @@ def model_schema(default: str, custom: str | None = None) -> str:
 
 
 def materialize(
-    spark: SparkSession, df: DataFrame, name: str, default: str, custom: str | None = None
+    spark: SparkSession,
+    df: DataFrame,
+    name: str,
+    default: str,
+    custom: str | None = None,
+    location: str | None = None,
 ) -> str:
     """Save a model as a table (replacing it) and return its qualified name.
 
-    ``df`` must not read the table it replaces; Spark refuses that.
+    ``location`` is the folder of the schema, by default one in the warehouse. ``df`` must
+    not read the table it replaces; Spark refuses that.
     """
     schema = check_identifier(model_schema(default, custom))
     check_identifier(name)
-    spark.sql(f"CREATE SCHEMA IF NOT EXISTS {quote(schema)}")
+    create = f"CREATE SCHEMA IF NOT EXISTS {quote(schema)}"
+    spark.sql(f"{create} LOCATION '{location}'" if location else create)
     table = f"{quote(schema)}.{quote(name)}"
-    df.write.mode("overwrite").saveAsTable(table)
+    writer = df.write.mode("overwrite")
+    if location:
+        writer = writer.option("path", f"{location}/{name}")
+    writer.saveAsTable(table)
     return table
