@@ -404,19 +404,14 @@ def run_health(t: Tables) -> DataFrame:
 @query(
     "run_throughput",
     """SELECT run_id,
-              round(CASE WHEN duration_s > 0 THEN rows_copied / duration_s ELSE 0 END, 6)
+              CASE WHEN duration_s > 0 THEN rows_copied / duration_s ELSE 0 END
                 AS rows_per_second,
-              round(CASE WHEN memory_mb > 0 THEN rows_copied / memory_mb ELSE 0 END, 6)
-                AS rows_per_mb
+              CASE WHEN memory_mb > 0 THEN rows_copied / memory_mb ELSE 0 END AS rows_per_mb
        FROM run_log""",
     uses=("run_log",),
 )
 def run_throughput(t: Tables) -> DataFrame:
-    return A.throughput(t.run_log).select(
-        "run_id",
-        F.round("rows_per_second", 6).alias("rows_per_second"),
-        F.round("rows_per_mb", 6).alias("rows_per_mb"),
-    )
+    return A.throughput(t.run_log).select("run_id", "rows_per_second", "rows_per_mb")
 
 
 @query(

@@ -66,14 +66,13 @@ def custom_sql(t: Tables) -> DataFrame:
 
 @query(
     "scan_chunked",
-    """, bounds AS (SELECT min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM orders_tgt)
+    """WITH bounds AS (SELECT min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM orders)
        SELECT CAST(((o_orderkey - lo)::HUGEINT * 16) // (hi - lo + 1) AS BIGINT) AS chunk,
               count(*) AS n, min(o_orderkey) AS first_key, max(o_orderkey) AS last_key
-       FROM orders_tgt, bounds GROUP BY 1""",
-    uses=("orders_tgt",),
+       FROM orders, bounds GROUP BY 1""",
 )
 def scan_chunked(t: Tables) -> DataFrame:
-    return chunk_stats(chunk_by_key(t.orders_tgt, "o_orderkey", 16), "o_orderkey")
+    return chunk_stats(chunk_by_key(t.orders, "o_orderkey", 16), "o_orderkey")
 
 
 @query(

@@ -93,6 +93,15 @@ def chunk_by_key(
     return df.withColumn("chunk", chunk.cast("long"))
 
 
+def balanced_chunks(df: DataFrame, key: str, n: int) -> DataFrame:
+    """The rows in ``n`` partitions of ascending key ranges with about equal row counts.
+
+    For keys that are unevenly spread, where equal key ranges would differ in size. Spark
+    samples the keys to find the ranges. Writing the result gives one file per chunk.
+    """
+    return df.repartitionByRange(n, col(key)).sortWithinPartitions(col(key))
+
+
 def chunk_stats(chunked: DataFrame, key: str) -> DataFrame:
     """Rows and key range per chunk (partial aggregates, one row per chunk shuffled)."""
     return chunked.groupBy("chunk").agg(
