@@ -10,6 +10,8 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.functions.casts import cast_text, date_guard
+
 # Text that stands for NULL, and the words for true and false.
 NULL_TOKENS = ["", " ", "nan", "None", "NULL", "null"]
 TRUE_WORDS = ["true", "1", "yes", "on"]
@@ -42,9 +44,9 @@ def _truncated(text: Column) -> Column:
     Exact up to 20 integer digits (a double would corrupt integers past 2**53);
     larger magnitudes go through a double.
     """
-    exact = text.try_cast("decimal(38,18)")
+    exact = cast_text(text, T.DecimalType(38, 18))
     toward_zero = F.when(exact < 0, F.ceil(exact)).otherwise(F.floor(exact))
-    approx = text.try_cast("double").try_cast("decimal(38,0)")
+    approx = cast_text(text, T.DoubleType()).try_cast("decimal(38,0)")
     return F.coalesce(toward_zero.cast("string"), approx.cast("string"))
 
 
@@ -63,13 +65,13 @@ def clean_int_strict(c: Column) -> Column:
 def clean_int_exact(c: Column) -> Column:
     """Only whole values (``1.0``) become integers; ``1.5`` is kept."""
     t = _trimmed(c)
-    d = t.try_cast("decimal(38,18)")
+    d = cast_text(t, T.DecimalType(38, 18))
     return F.when(t.contains(".") & (d == F.floor(d)), _truncated(t)).otherwise(t)
 
 
 def clean_float(c: Column) -> Column:
     """Null tokens, then a double; NULL when the text is no number."""
-    return clean_null(c).try_cast("double")
+    return cast_text(clean_null(c), T.DoubleType())
 
 
 def clean_datetime(c: Column) -> Column:
@@ -79,12 +81,16 @@ def clean_datetime(c: Column) -> Column:
 
 def to_date(c: Column, fmt: str) -> Column:
     """The typed companion of :func:`clean_datetime`: NULL when ``fmt`` does not fit."""
-    return F.try_to_date(clean_null(c), fmt)
+    guard = date_guard(c, fmt)
+    day = F.try_to_date(clean_null(c), fmt)
+    return day if guard is None else F.when(guard, day)
 
 
 def to_timestamp(c: Column, fmt: str) -> Column:
     """Like :func:`to_date` for formats with a time of day (zone-less result)."""
-    return F.try_to_timestamp(clean_null(c), F.lit(fmt)).cast("timestamp_ntz")
+    guard = date_guard(c, fmt)
+    time = F.try_to_timestamp(clean_null(c), F.lit(fmt)).cast("timestamp_ntz")
+    return time if guard is None else F.when(guard, time)
 
 
 def clean_bool(c: Column) -> Column:

@@ -41,7 +41,9 @@ def _without(target: DataFrame, staged_keys: DataFrame, keys: Sequence[str]) ->
     return kept.unionByName(unkeyed)
 
 
-def _new_rows(target: DataFrame, stage: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _new_rows(
+    target: DataFrame, stage: DataFrame, staged_keys: DataFrame, keys: Sequence[str]
+) -> DataFrame:
     """Staged rows whose key the target does not have.
 
     First the staged keys found in the target, which is at most as many as there are
@@ -50,7 +52,8 @@ def _new_rows(target: DataFrame, stage: DataFrame, keys: Sequence[str]) -> DataF
     """
     keyed, unkeyed = split_null_keys(stage, keys)
     target_keys, _ = split_null_keys(target.select(*cols(keys)), keys)
-    found = target_keys.join(keyed.select(*cols(keys)), list(keys), "left_semi")
+    staged_keys, _ = split_null_keys(staged_keys, keys)
+    found = target_keys.join(staged_keys, list(keys), "left_semi")
     fresh = keyed.join(found, list(keys), "left_anti").select(*cols(stage.columns))
     return fresh.unionByName(unkeyed)
 
@@ -83,9 +86,16 @@ def delete_insert(
     return _without(target, staged_keys, keys).unionByName(_shaped(stage, target))
 
 
-def insert_ignore(target: DataFrame, stage: DataFrame, keys: Sequence[str]) -> DataFrame:
+def insert_ignore(
+    target: DataFrame,
+    stage: DataFrame,
+    keys: Sequence[str],
+    staged_keys: DataFrame | None = None,
+) -> DataFrame:
     """Insert staged rows with new keys; existing rows stay as they are."""
-    return target.unionByName(_shaped(_new_rows(target, stage, keys), target))
+    if staged_keys is None:
+        staged_keys = stage.select(*cols(keys))
+    return target.unionByName(_shaped(_new_rows(target, stage, staged_keys, keys), target))
 
 
 def full_sync(target: DataFrame, stage: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -117,6 +127,8 @@ def upsert(
     """
     rules = dict(rules or {})
     only = [c for c in target.columns if c not in stage.columns]
+    if staged_keys is None:
+        staged_keys = stage.select(*cols(keys))
     plain = not only and all(isinstance(r, str) and r == "source" for r in rules.values())
     if plain:
         return delete_insert(target, stage, keys, staged_keys)
@@ -143,7 +155,7 @@ def upsert(
 
     known, unknown = split_null_keys(target, keys)
     updated = known.join(rows, list(keys), "left").select(*(pick(c) for c in target.columns))
-    inserted = _shaped(_new_rows(target, stage, keys), target)
+    inserted = _shaped(_new_rows(target, stage, staged_keys, keys), target)
     return updated.unionByName(unknown).unionByName(inserted)
 
 
@@ -152,11 +164,15 @@ def _with_column(df: DataFrame, name: str, dtype: str) -> DataFrame:
 
 
 def incremental(
-    target: DataFrame, stage: DataFrame, keys: Sequence[str], run_ts: object
+    target: DataFrame,
+    stage: DataFrame,
+    keys: Sequence[str],
+    run_ts: object,
+    staged_keys: DataFrame | None = None,
 ) -> DataFrame:
     """Upsert that also stamps matched rows with ``updated_at = run_ts``."""
     target = _with_column(target, UPDATED_AT, "timestamp_ntz")
-    return upsert(target, stage, keys, {UPDATED_AT: timestamp(run_ts)})
+    return upsert(target, stage, keys, {UPDATED_AT: timestamp(run_ts)}, staged_keys)
 
 
 def versioned(
@@ -165,13 +181,15 @@ def versioned(
     keys: Sequence[str],
     run_ts: object,
     version: str = "source_version",
+    staged_keys: DataFrame | None = None,
 ) -> DataFrame:
     """Upsert that carries the row version and never touches ``created_at`` and ``id``."""
     require_columns(stage.columns, [version], "stage")
     target = _with_column(target, version, stage.schema[version].dataType.simpleString())
     target = _with_column(target, UPDATED_AT, "timestamp_ntz")
     kept = {c: "target" for c in KEPT_ON_UPDATE if c in target.columns}
-    return upsert(target, stage, keys, {**kept, UPDATED_AT: timestamp(run_ts)})
+    rules = {**kept, UPDATED_AT: timestamp(run_ts)}
+    return upsert(target, stage, keys, rules, staged_keys)
 
 
 def merge(
@@ -199,15 +217,15 @@ def merge(
     if mode == "delete_insert":
         return delete_insert(target, stage, keys, staged_keys)
     if mode == "insert_ignore":
-        return insert_ignore(target, stage, keys)
+        return insert_ignore(target, stage, keys, staged_keys)
     if mode == "full_sync":
         return full_sync(target, stage, keys)
     if mode == "upsert":
         return upsert(target, stage, keys, rules, staged_keys)
     if mode == "incremental":
-        return incremental(target, stage, keys, run_ts)
+        return incremental(target, stage, keys, run_ts, staged_keys)
     if mode == "versioned":
-        return versioned(target, stage, keys, run_ts)
+        return versioned(target, stage, keys, run_ts, staged_keys=staged_keys)
     raise ValueError(f"unknown merge mode: {mode!r}")
 
 

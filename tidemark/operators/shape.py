@@ -7,12 +7,14 @@ still read once.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions import clean as rules
+from tidemark.functions.casts import cast_column
 from tidemark.functions.names import col, cols, quote
 from tidemark.functions.types import ColumnSpec, default_value, struct_of
 
@@ -31,8 +33,8 @@ def unpivot_counts(
     return row.select(F.inline(F.array(*entries)))
 
 
-def _cast(c: Column, spec: ColumnSpec) -> Column:
-    value = c.try_cast(spec.spark_type)
+def _cast(c: Column, source: T.DataType, spec: ColumnSpec) -> Column:
+    value = cast_column(c, source, spec.spark_type)
     if spec.length_limit:
         value = F.when(F.length(value) <= spec.length_limit, value)
     return value
@@ -45,20 +47,26 @@ def cast_to(df: DataFrame, shape: Sequence[ColumnSpec]) -> DataFrame:
     """
     specs = {s.name: s for s in shape}
     return df.select(
-        *(_cast(col(c), specs[c]).alias(c) if c in specs else col(c) for c in df.columns)
+        *(
+            _cast(col(f.name), f.dataType, specs[f.name]).alias(f.name)
+            if f.name in specs
+            else col(f.name)
+            for f in df.schema.fields
+        )
     )
 
 
 def conform(df: DataFrame, shape: Sequence[ColumnSpec], run_ts: object = None) -> DataFrame:
     """Rows in exactly the target's shape: its columns in its order, cast, and missing
     columns filled with the declared default where that is safe, else NULL."""
-    have = set(df.columns)
-    return df.select(
-        *(
-            (_cast(col(s.name), s) if s.name in have else default_value(s, run_ts)).alias(s.name)
-            for s in shape
-        )
-    )
+    have = {f.name: f.dataType for f in df.schema.fields}
+
+    def value(s: ColumnSpec) -> Column:
+        if s.name in have:
+            return _cast(col(s.name), have[s.name], s)
+        return default_value(s, run_ts)
+
+    return df.select(*(value(s).alias(s.name) for s in shape))
 
 
 def all_text(df: DataFrame) -> DataFrame:
@@ -93,7 +101,7 @@ def drift_report(df: DataFrame, shape: Sequence[ColumnSpec]) -> DataFrame:
     for i, s in enumerate(shape):
         present = s.name in have
         c = col(s.name) if present else F.lit(None).cast(s.spark_type)
-        value = c.try_cast(s.spark_type)
+        value = cast_column(c, have[s.name], s.spark_type) if present else c
         too_long = F.length(value) > s.length_limit if s.length_limit else F.lit(False)
         forbidden = F.lit(False) if s.nullable else c.isNull()
         counts = {
@@ -117,17 +125,19 @@ def drift_report(df: DataFrame, shape: Sequence[ColumnSpec]) -> DataFrame:
 def profile(df: DataFrame, exact: bool = False, rsd: float = 0.02) -> DataFrame:
     """Per column: rows, NULLs, distinct values, lowest and highest value as text.
 
-    Distinct counts are HyperLogLog estimates (``rsd`` relative error) unless ``exact``;
-    exact ones shuffle every distinct value of every column.
+    Distinct counts are HyperLogLog estimates (``rsd`` relative error), all from one scan.
+    ``exact`` groups each column by value instead, one narrow scan and shuffle per column,
+    with partial counts so that a frequent value is no hot spot.
     """
+    if exact:
+        return reduce(DataFrame.unionByName, (_exact_profile(df, c) for c in df.columns))
     aggs: list[Column] = []
     for i, name in enumerate(df.columns):
         c = col(name)
-        distinct = F.count_distinct(c) if exact else F.approx_count_distinct(c, rsd)
         aggs += [
             F.count(F.lit(1)).alias(f"{i}_row_count"),
             F.count_if(c.isNull()).alias(f"{i}_null_count"),
-            distinct.alias(f"{i}_distinct_count"),
+            F.approx_count_distinct(c, rsd).alias(f"{i}_distinct_count"),
             F.min(c).cast("string").alias(f"{i}_min_value"),
             F.max(c).cast("string").alias(f"{i}_max_value"),
         ]
@@ -135,6 +145,19 @@ def profile(df: DataFrame, exact: bool = False, rsd: float = 0.02) -> DataFrame:
     return unpivot_counts(df.agg(*aggs), df.columns, measures)
 
 
+def _exact_profile(df: DataFrame, name: str) -> DataFrame:
+    values = df.groupBy(col(name).alias("v")).agg(F.count(F.lit(1)).alias("n"))
+    rows = F.coalesce(F.sum("n"), F.lit(0))
+    nulls = F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0))
+    return values.agg(
+        rows.alias("row_count"),
+        nulls.alias("null_count"),
+        F.count("v").alias("distinct_count"),
+        F.min("v").cast("string").alias("min_value"),
+        F.max("v").cast("string").alias("max_value"),
+    ).select(F.lit(name).alias("column_name"), "*")
+
+
 def clean(df: DataFrame, schema: T.StructType | Sequence[ColumnSpec]) -> DataFrame:
     """Clean every text column by its declared type, in one projection.
 
