@@ -31,6 +31,7 @@ UPDATED_AT = "updated_at"
 
 PRESENT = "__staged"
 STAGED = "__stage"
+HELD = "__held"
 
 
 def _without(target: DataFrame, staged_keys: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -58,6 +59,24 @@ def _new_rows(
     return fresh.unionByName(unkeyed)
 
 
+def not_older(
+    stage: DataFrame, target: DataFrame, keys: Sequence[str], order_by: Sequence[str]
+) -> DataFrame:
+    """Staged rows without those that are older, by ``order_by``, than the target's row.
+
+    Makes an upsert independent of the order in which deltas arrive. Only the target's
+    keys and order columns are read, and rows found there are at most as many as staged.
+    """
+    keyed, unkeyed = split_null_keys(stage, keys)
+    known, _ = split_null_keys(target.select(*cols(dict.fromkeys([*keys, *order_by]))), keys)
+    held = known.join(keyed.select(*cols(keys)), list(keys), "left_semi").select(
+        *cols(keys), F.struct(*cols(order_by)).alias(HELD)
+    )
+    current = F.col(HELD).isNull() | (F.struct(*cols(order_by)) >= F.col(HELD))
+    kept = keyed.join(held, list(keys), "left").where(current).select(*cols(stage.columns))
+    return kept.unionByName(unkeyed)
+
+
 def _shaped(df: DataFrame, like: DataFrame) -> DataFrame:
     """``df`` with exactly the columns of ``like``: by name, missing ones NULL."""
     have = set(df.columns)

@@ -19,6 +19,9 @@ SETTINGS = {
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
+# Local fallback folders by application.
+_fallback: dict[str, str] = {}
+
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: str) -> SparkSession:
     """A session for tests and the bench; on a cluster use the session it gives you."""
@@ -43,9 +46,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
-    folder = tempfile.mkdtemp(prefix="tidemark-")
-    spark.conf.set(CHECKPOINT_DIR, folder)
-    return folder
+    application = spark.sparkContext.applicationId
+    if application not in _fallback:
+        _fallback[application] = tempfile.mkdtemp(prefix="tidemark-")
+    return _fallback[application]
 
 
 def work_dir(spark: SparkSession, name: str) -> str:

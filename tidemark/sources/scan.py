@@ -85,11 +85,15 @@ def chunk_by_key(
     lo, hi = bounds
     span = hi - lo + 1
     # Stay in 64-bit arithmetic while the largest product fits, else go decimal.
-    wide = "long" if span * n < 2**63 else "decimal(38,0)"
-    offset = col(key).cast(wide) - F.lit(lo).cast(wide)
-    product = offset * F.lit(n).cast(wide)
+    wide = "long" if span * n < 2**63 else "decimal(25,0)"
+
+    def whole(number: int) -> Column:
+        # As text: a Python integer may be wider than 64 bits.
+        return F.lit(str(number)).cast(wide)
+
+    product = (col(key).cast(wide) - whole(lo)) * whole(n)
     # Integer division; offsets are never negative, so it equals floor().
-    chunk = F.call_function("div", product, F.lit(span).cast(wide))
+    chunk = F.call_function("div", product, whole(span))
     return df.withColumn("chunk", chunk.cast("long"))
 
 

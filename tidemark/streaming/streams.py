@@ -16,7 +16,7 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.functions.names import as_list, col, cols
 from tidemark.operators.change_log import append_log
 from tidemark.operators.keys import dedupe
-from tidemark.operators.merge import merge
+from tidemark.operators.merge import merge, not_older
 from tidemark.operators.stage import staged
 from tidemark.sources.versions import VersionedTable
 
@@ -54,7 +54,8 @@ def stream_merge(
     """Merge each micro-batch into ``table``: clean, keep the latest row per key, merge.
 
     Batch ``n`` reads the newest version below its own and writes version ``first + n``. A
-    replayed batch finds its version committed and does nothing.
+    replayed batch finds its version committed and does nothing. By ``order_by`` the latest
+    row of a key wins, in whichever batch it comes (of equal ones, the later batch).
     """
     keys, order_by = as_list(keys), as_list(order_by)
     # Where this stream's versions start must survive a restart: it is fixed at first use.
@@ -70,9 +71,11 @@ def stream_merge(
             if base is None:
                 table.write(stage.rows, version)
             else:
-                # Already one row per key: no further duplicate check.
-                merged = merge(table.read(base), stage.rows, keys, mode, on_duplicate="keep")
-                table.write(merged, version)
+                # One row per key is left, so no further duplicate check. Files may arrive
+                # out of order: rows older than what the table holds are dropped.
+                target = table.read(base)
+                rows = not_older(stage.rows, target, keys, order_by)
+                table.write(merge(target, rows, keys, mode, on_duplicate="keep"), version)
 
     return _each_batch(stream, checkpoint, process)
 
