@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.merge import merge
 from tidemark.operators.stage import stage, staged
 from tidemark.plans import models
-from tidemark.plans.sync import fan_out, fan_out_counts, sync_all, sync_bucketed, sync_table
+from tidemark.plans.sync import fan_out, fan_out_counts, merge_into, sync_all, sync_table, table_at
 from tidemark.session import CHECKPOINT_DIR, shared_dir
 from tidemark.sources.jdbc import JdbcTable
 from tidemark.sources.scan import (
@@ -178,15 +178,17 @@ def test_bucketed_merge_touches_few_buckets(spark, tmp_path):
     t = BucketedTable(spark, str(tmp_path / "b"), ("k",), 8)
     t.write(table(spark, [(i, "old", 1) for i in range(100)]))
     before = {e["bucket"]: e["path"] for e in t._entries(1)}
-    sync_bucketed(t, table(spark, [(3, "new", 2), (200, "add", 2)]))
+    merge_into(t, table(spark, [(3, "new", 2), (200, "add", 2)]), ["k"], "incremental_sync")
     after = {e["bucket"]: e["path"] for e in t._entries(2)}
     changed = [b for b in before if before[b] != after[b]]
     assert 1 <= len(changed) <= 2
     rows = dict(content(t.read()))
     assert len(rows) == 101 and rows[3] == "new" and rows[200] == "add" and rows[4] == "old"
     assert t.row_count() == 101 and t.read(1).count() == 100
-    with pytest.raises(ValueError):
-        sync_bucketed(t, table(spark, []), "full_sync")
+    merge_into(t, table(spark, []), ["k"], "incremental_sync")
+    assert t.read().count() == 101
+    merge_into(t, table(spark, [(7, "only", 3)]), ["k"], "full_sync")
+    assert content(t.read()) == [(7, "only")]
 
 
 def test_stage_counts_and_cleans_up(spark):
@@ -206,14 +208,16 @@ def spec(source, **kw):
     return SyncSpec(source=source, **kw)
 
 
-def test_incremental_sync_over_three_runs(spark, tmp_path):
+@pytest.mark.parametrize("buckets", [None, 4])
+def test_incremental_sync_over_three_runs(spark, tmp_path, buckets):
     base, ts = str(tmp_path), day(9)
-    first = sync_table(spark, spec(table(spark, [(1, "a", 1), (2, "b", 2)])), base, ts)
+    kw = {"buckets": buckets}
+    first = sync_table(spark, spec(table(spark, [(1, "a", 1), (2, "b", 2)]), **kw), base, ts)
     assert (first["staged_rows"], first["target_rows"], first["version"]) == (2, 2, 1)
     source = table(spark, [(1, "a", 1), (2, "B", 3), (3, "c", 3)])
-    second = sync_table(spark, spec(source), base, ts)
+    second = sync_table(spark, spec(source, **kw), base, ts)
     assert (second["staged_rows"], second["target_rows"]) == (2, 3)
-    third = sync_table(spark, spec(source), base, ts)
+    third = sync_table(spark, spec(source, **kw), base, ts)
     assert (third["staged_rows"], third["target_rows"]) == (0, 3)
     assert content(VersionedTable(spark, f"{base}/t").read()) == [(1, "a"), (2, "B"), (3, "c")]
 
@@ -279,6 +283,7 @@ def test_fan_out(spark, tmp_path):
         {"combine": "or"},
         {"on_duplicate": "shrug"},
         {"on_duplicate": "latest"},
+        {"buckets": 0},
     ],
 )
 def test_bad_specs(kw):
@@ -299,9 +304,10 @@ def run_merge(spark, inbox, t, checkpoint):
     streams.stream_merge(stream, t, "k", checkpoint, "at").awaitTermination()
 
 
-def test_stream_merge_equals_batch_merge(spark, tmp_path):
+@pytest.mark.parametrize("buckets", [None, 4])
+def test_stream_merge_equals_batch_merge(spark, tmp_path, buckets):
     inbox, checkpoint = str(tmp_path / "in"), str(tmp_path / "cp")
-    t = VersionedTable(spark, str(tmp_path / "t"))
+    t = table_at(spark, str(tmp_path), "t", ["k"], buckets)
     start = table(spark, [(1, "a", 1), (2, "b", 1)])
     t.write(start)
     arrive(spark, inbox, [(2, "B", 2), (3, "c", 1), (3, "C", 2)])

@@ -22,14 +22,15 @@ def _count(df: DataFrame, name: str) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias(name))
 
 
-def _one_row(*parts: DataFrame) -> DataFrame:
-    """Several one-row frames side by side."""
-    return reduce(lambda a, b: a.join(F.broadcast(b)), parts)
+def side_by_side(*parts: DataFrame) -> DataFrame:
+    """Several one-row frames as one row. They are stacked and folded, not joined."""
+    stacked = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return stacked.agg(*(F.max(col(c)).alias(c) for c in stacked.columns))
 
 
 def reconcile_counts(source: DataFrame, target: DataFrame) -> DataFrame:
     """One row: both row counts and whether they agree."""
-    both = _one_row(_count(source, "source_count"), _count(target, "target_count"))
+    both = side_by_side(_count(source, "source_count"), _count(target, "target_count"))
     return both.withColumn("is_valid", F.col("source_count") == F.col("target_count"))
 
 
@@ -84,7 +85,7 @@ def reconcile_incremental(
     source: DataFrame, target: DataFrame, where: str | Column
 ) -> DataFrame:
     """One row: the filtered source against the whole target, by count."""
-    both = _one_row(
+    both = side_by_side(
         _count(source.where(where), "source_incremental_count"), _count(target, "target_count")
     )
     gap = F.col("source_incremental_count") - F.col("target_count")
@@ -124,20 +125,25 @@ def reconcile_rows(
 
 def reconcile_multi(source: DataFrame, targets: Mapping[str, DataFrame]) -> DataFrame:
     """One row per target: its count against the source's, and whether all targets match."""
-    wanted = _count(source, "source_count")
-    counts = reduce(
-        DataFrame.unionByName,
-        (
-            _count(df, "target_count").select(F.lit(name).alias("target"), "target_count")
-            for name, df in targets.items()
-        ),
+    rows = [_count(source, "n").withColumn("target", F.lit(None).cast("string"))]
+    for name, df in targets.items():
+        rows.append(_count(df, "n").withColumn("target", F.lit(name)))
+    is_source = F.col("target").isNull()
+    # One row per target, so the list is as short as the list of targets.
+    folded = reduce(DataFrame.unionByName, rows).agg(
+        F.max(F.when(is_source, F.col("n"))).alias("source_count"),
+        F.collect_list(
+            F.when(~is_source, F.struct("target", F.col("n").alias("target_count")))
+        ).alias("counts"),
     )
-    good = _one_row(counts, wanted).withColumn(
-        "is_valid", F.col("source_count") == F.col("target_count")
+    same = F.forall("counts", lambda c: c["target_count"] == F.col("source_count"))
+    return folded.select("source_count", same.alias("all_valid"), F.inline("counts")).select(
+        "target",
+        "target_count",
+        "source_count",
+        (F.col("target_count") == F.col("source_count")).alias("is_valid"),
+        "all_valid",
     )
-    # One row per target, so this window is as small as the list of targets.
-    verdict = good.agg(F.bool_and("is_valid").alias("all_valid"))
-    return _one_row(good, verdict)
 
 
 def version_distribution(df: DataFrame, version: str) -> DataFrame:
@@ -170,7 +176,7 @@ def version_sync_status(
         F.count(F.lit(1)).alias("target_count"),
     )
     highest, last = F.col("source_max_version"), F.col("target_last_version")
-    return _one_row(left, right).select(
+    return side_by_side(left, right).select(
         "source_max_version",
         "target_last_version",
         ((highest <= 0) | (last >= highest)).alias("is_synchronized"),

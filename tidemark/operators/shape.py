@@ -9,7 +9,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -217,26 +217,26 @@ def not_null_violations(
 ) -> DataFrame:
     """Per NOT NULL column that holds NULLs: how many, and the first few rows as JSON.
 
-    Samples are the first rows in ``sample_by`` order. Each column's samples are a
-    top-``samples`` of the rows with a NULL there, so a task never holds more than that.
+    Samples are the first rows in ``sample_by`` order. One scan finds them for all columns,
+    and each task passes on at most ``samples`` rows per column.
     """
     counts = df.agg(
         *(F.count_if(col(c).isNull()).alias(f"{i}_null_count") for i, c in enumerate(columns))
     )
     report = unpivot_counts(counts, columns, ["null_count"]).where("null_count > 0")
-    order = [*cols(sample_by), *(col(c) for c in df.columns if c not in sample_by)]
-    row = F.to_json(F.struct(*cols(df.columns)), {"ignoreNullFields": "false"})
-    found = None
-    for c in columns:
-        top = (
-            df.where(col(c).isNull())
-            .orderBy(*order)
-            .limit(samples)
-            .select(F.lit(c).alias("column_name"), row.alias("sample"))
-        )
-        found = top if found is None else found.unionAll(top)
-    grouped = found.groupBy("column_name").agg(F.sort_array(F.collect_list("sample")).alias("samples"))
-    return report.join(F.broadcast(grouped), "column_name", "left")
+    lacking = F.array_compact(F.array(*(F.when(col(c).isNull(), F.lit(c)) for c in columns)))
+    order = [*sample_by, *(c for c in df.columns if c not in sample_by)]
+    w = Window.partitionBy("column_name").orderBy(*(F.col("row")[c] for c in order))
+    first = (
+        df.select(F.explode(lacking).alias("column_name"), F.struct(*cols(df.columns)).alias("row"))
+        .withColumn("rank", F.row_number().over(w))
+        .where(F.col("rank") <= samples)
+    )
+    row = F.to_json("row", {"ignoreNullFields": "false"})
+    ranked = F.sort_array(F.collect_list(F.struct("rank", row.alias("sample"))))
+    # At most ``samples`` short texts per column.
+    found = first.groupBy("column_name").agg(ranked.getField("sample").alias("samples"))
+    return report.join(F.broadcast(found), "column_name", "left")
 
 
 def fill_not_null(df: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -192,13 +192,11 @@ def not_null_violations(t: Tables) -> DataFrame:
         t.dirty.select("event_id", "raw_int", "raw_bool"), ["raw_int", "raw_bool"], C.clean_null
     )
     report = S.not_null_violations(cleaned, ["event_id", "raw_int", "raw_bool"], ["event_id"])
-    ids = F.array_sort(
-        F.transform("samples", lambda s: F.get_json_object(s, "$.event_id").cast("long"))
-    )
+    ids = F.transform("samples", lambda s: F.get_json_object(s, "$.event_id"))
     return report.select(
         "column_name",
         "null_count",
-        F.array_join(ids.cast("array<string>"), ",").alias("sample_ids"),
+        F.array_join(ids, ",").alias("sample_ids"),
     )
 
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import incremental as inc
 from tidemark.operators.merge import merge
+from tidemark.operators.reconcile import side_by_side
 from tidemark.operators.stage import stage
 from tidemark.plans.fixtures import CUTOFF
 from tidemark.plans.models import dim_stock_master, materialize
@@ -117,7 +118,7 @@ def stage_table(t: Tables) -> DataFrame:
     complete = (F.col("source_rows") == F.col("staged_rows")) & (
         F.col("staged_rows") == F.lit(staged.row_count)
     )
-    return source.join(F.broadcast(written)).withColumn("is_complete", complete)
+    return side_by_side(source, written).withColumn("is_complete", complete)
 
 
 @query("full_load_overwrite", "SELECT * FROM orders")

@@ -10,9 +10,10 @@ from tidemark.operators import change_log as log
 from tidemark.operators import history as H
 from tidemark.operators.keys import dedupe, key_violations
 from tidemark.operators.merge import merge, merge_stats
+from tidemark.operators.stage import staged
 from tidemark.plans import models
 from tidemark.plans.registry import Tables, query
-from tidemark.plans.sync import sync_all, sync_bucketed, sync_by_mode
+from tidemark.plans.sync import merge_into, sync_all, sync_by_mode
 from tidemark.session import work_dir
 from tidemark.sources.versions import BucketedTable, VersionedTable
 from tidemark.spec import SyncSpec
@@ -83,7 +84,15 @@ def merge_upsert_bucketed(t: Tables) -> DataFrame:
     """The same merge into a table split by key, where untouched buckets are not rewritten."""
     table = BucketedTable(t.spark, work_dir(t.spark, "orders"), ("o_orderkey",), 16)
     table.write(t.orders_tgt)
-    sync_bucketed(table, t.stage_dup, on_duplicate="latest", order_by=["o_orderdate"])
+    with staged(t.spark, t.stage_dup) as stage:
+        merge_into(
+            table,
+            stage.rows,
+            ["o_orderkey"],
+            "incremental_sync",
+            on_duplicate="latest",
+            order_by=["o_orderdate"],
+        )
     return table.read()
 
 

@@ -49,8 +49,51 @@ MERGE_OF = {
 }
 
 
-def table_at(spark: SparkSession, base: str, name: str) -> VersionedTable:
-    return VersionedTable(spark, f"{base.rstrip('/')}/{check_identifier(name)}")
+# Modes whose result depends on the whole source: no bucket is left out.
+WHOLE_TABLE_MODES = ("full_copy", "full_sync")
+
+
+def table_at(
+    spark: SparkSession,
+    base: str,
+    name: str,
+    keys: Sequence[str] = (),
+    buckets: int | None = None,
+) -> VersionedTable:
+    path = f"{base.rstrip('/')}/{check_identifier(name)}"
+    return BucketedTable(spark, path, tuple(keys), buckets) if buckets else VersionedTable(spark, path)
+
+
+def merge_into(
+    table: VersionedTable,
+    rows: DataFrame,
+    keys: Sequence[str],
+    mode: str,
+    version: int | None = None,
+    prepare=None,
+    **options,
+) -> int:
+    """Merge staged ``rows`` into ``table`` as its next version (or as ``version``).
+
+    A bucketed table reads and writes only the buckets of the staged keys, unless the mode
+    is about the whole table. ``prepare(rows, target)`` may drop rows that should not be
+    merged. Returns the version.
+    """
+    base = table.version(below=version)
+    if base is None:
+        before = table.spark.createDataFrame([], rows.schema)
+        return table.write(sync_by_mode(before, rows, keys, mode, **options), version)
+    if isinstance(table, BucketedTable) and mode not in WHOLE_TABLE_MODES:
+        buckets = table.touched(rows)
+        before = table.read(base, buckets)
+    else:
+        buckets, before = None, table.read(base)
+    if prepare:
+        rows = prepare(rows, before)
+    merged = sync_by_mode(before, rows, keys, mode, **options)
+    if buckets is None:
+        return table.write(merged, version)
+    return table.write_buckets(merged, buckets, version)
 
 
 def full_load(table: VersionedTable, source: DataFrame) -> int:
@@ -87,7 +130,7 @@ def sync_by_mode(
 
 def sync_table(spark: SparkSession, spec: SyncSpec, base: str, run_ts: object) -> dict:
     """Run one sync below the folder ``base``; returns the fields of a result row."""
-    table = table_at(spark, base, spec.target)
+    table = table_at(spark, base, spec.target, spec.keys, spec.buckets)
     current = table.read() if table.exists() else None
     rows = extract(spark, spec, current)
     if spec.mode == "full_copy":
@@ -95,21 +138,24 @@ def sync_table(spark: SparkSession, spec: SyncSpec, base: str, run_ts: object) -
         n = table.row_count()
         return _result(spec, "completed", n, n, version)
     with staged(spark, rows) as stage:
-        before = current if current is not None else spark.createDataFrame([], rows.schema)
-        merged = sync_by_mode(
-            before,
+        if not stage.row_count and current is not None and spec.mode not in WHOLE_TABLE_MODES:
+            # Nothing new: the target is not rewritten.
+            return _result(spec, "completed", 0, table.row_count(), table.version())
+        version = table.next_version()
+        if spec.mode == "cdc":
+            # Named by version and replaced as a whole: a retry does not log twice.
+            log = append_log(stage.rows, spec.target, spec.keys, run_ts)
+            folder = f"{base}/{spec.target}_cdc/version={version}"
+            log.write.mode("overwrite").parquet(folder)
+        merge_into(
+            table,
             stage.rows,
             spec.keys,
             spec.mode,
+            version,
             on_duplicate=spec.on_duplicate,
             order_by=spec.order_by,
         )
-        if spec.mode == "cdc":
-            # Named by version and replaced as a whole: a retry does not log twice.
-            log = append_log(stage.rows, spec.target, spec.keys, run_ts)
-            folder = f"{base}/{spec.target}_cdc/version={table.next_version()}"
-            log.write.mode("overwrite").parquet(folder)
-        version = table.write(merged)
         return _result(spec, "completed", stage.row_count, table.row_count(), version)
 
 
@@ -125,25 +171,6 @@ def _result(spec, status, staged_rows=None, target_rows=None, version=None, mess
     }
 
 
-def sync_bucketed(
-    table: BucketedTable,
-    source: DataFrame,
-    mode: str = "incremental_sync",
-    **options,
-) -> int:
-    """Merge an extract into a bucketed table, reading and writing only touched buckets."""
-    if mode in ("full_copy", "full_sync"):
-        raise ValueError(f"{mode} touches every bucket; use full_load")
-    spark = table.spark
-    with staged(spark, source) as stage:
-        buckets = table.touched(stage.rows)
-        if not buckets:
-            return table.version()
-        before = table.read(buckets=buckets)
-        merged = sync_by_mode(before, stage.rows, table.keys, mode, **options)
-        return table.write_buckets(merged, buckets)
-
-
 def sync_all(
     spark: SparkSession,
     specs: Sequence[SyncSpec],

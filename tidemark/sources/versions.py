@@ -149,8 +149,8 @@ class BucketedTable(VersionedTable):
     buckets, not the table.
     """
 
-    keys: tuple[str, ...] = ()
-    n: int = 64
+    keys: tuple[str, ...]
+    n: int
 
     def touched(self, stage: DataFrame) -> list[int]:
         """Buckets that hold staged keys: at most ``n`` small numbers."""
@@ -166,6 +166,8 @@ class BucketedTable(VersionedTable):
             version = (current or 0) + 1
         elif current is not None and current >= version:
             return version
+        if not buckets:
+            return current or 0
         path = f"{self.base}/v={version}"
         # Rebalance by bucket: few files per bucket, and a large bucket is split.
         rows = df.withColumn(BUCKET, bucket_of(self.keys, self.n)).hint("rebalance", BUCKET)

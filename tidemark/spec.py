@@ -41,7 +41,8 @@ class SyncSpec:
 
     ``source`` is anything :func:`tidemark.sources.scan.scan` reads. ``where`` replaces
     the incremental filter unless ``combine="and"``. ``on_duplicate`` says what to do
-    with a key that is staged twice; ``latest`` needs ``order_by``.
+    with a key that is staged twice; ``latest`` needs ``order_by``. With ``buckets`` the
+    target is split by key and a merge rewrites only the buckets it touches.
     """
 
     target: str
@@ -55,6 +56,7 @@ class SyncSpec:
     on_duplicate: str = "error"
     order_by: tuple[str, ...] = ()
     targets: tuple[TargetSpec, ...] = field(default=())
+    buckets: int | None = None
     enabled: bool = True
 
     def __post_init__(self) -> None:
@@ -77,5 +79,7 @@ class SyncSpec:
             raise ValueError(f"combine must be 'exclusive' or 'and', not {self.combine!r}")
         if self.on_duplicate not in DUPLICATE_POLICIES:
             raise ValueError(f"unknown duplicate policy: {self.on_duplicate!r}")
+        if self.buckets is not None and (self.buckets < 1 or not self.keys):
+            raise ValueError("buckets must be at least 1 and needs key columns")
         if self.on_duplicate == "latest" and not self.order_by:
             raise ValueError("on_duplicate='latest' needs order_by")

@@ -16,8 +16,9 @@ from pyspark.sql.streaming import StreamingQuery
 from tidemark.functions.names import as_list, col, cols
 from tidemark.operators.change_log import append_log
 from tidemark.operators.keys import dedupe
-from tidemark.operators.merge import merge, not_older
+from tidemark.operators.merge import not_older
 from tidemark.operators.stage import staged
+from tidemark.plans.sync import merge_into
 from tidemark.sources.versions import VersionedTable
 
 
@@ -48,7 +49,7 @@ def stream_merge(
     keys: str | Sequence[str],
     checkpoint: str,
     order_by: str | Sequence[str],
-    mode: str = "upsert",
+    mode: str = "incremental_sync",
     prepare: Callable[[DataFrame], DataFrame] | None = None,
 ) -> StreamingQuery:
     """Merge each micro-batch into ``table``: clean, keep the latest row per key, merge.
@@ -61,21 +62,28 @@ def stream_merge(
     # Where this stream's versions start must survive a restart: it is fixed at first use.
     first = _first_version(table, checkpoint)
 
+    def not_older_rows(rows: DataFrame, target: DataFrame) -> DataFrame:
+        return not_older(rows, target, keys, order_by)
+
     def process(batch: DataFrame, batch_id: int) -> None:
         version = first + batch_id
         if (table.version() or 0) >= version:
             return
         rows = prepare(batch) if prepare else batch
-        base = table.version(below=version)
         with staged(table.spark, dedupe(rows, keys, order_by)) as stage:
-            if base is None:
-                table.write(stage.rows, version)
-            else:
-                # One row per key is left, so no further duplicate check. Files may arrive
-                # out of order: rows older than what the table holds are dropped.
-                target = table.read(base)
-                rows = not_older(stage.rows, target, keys, order_by)
-                table.write(merge(target, rows, keys, mode, on_duplicate="keep"), version)
+            if not stage.row_count:
+                return
+            # One row per key is left, so no further duplicate check. Files may arrive out
+            # of order: rows older than what the table holds are dropped.
+            merge_into(
+                table,
+                stage.rows,
+                keys,
+                mode,
+                version,
+                prepare=not_older_rows,
+                on_duplicate="keep",
+            )
 
     return _each_batch(stream, checkpoint, process)
 
