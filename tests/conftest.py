@@ -16,7 +16,7 @@ DATA = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="session")
 def spark(tmp_path_factory):
-    session = local_session(8, 4)
+    session = local_session(4, 2, **{"spark.default.parallelism": "2"})
     session.sparkContext.setLogLevel("ERROR")
     yield session
 

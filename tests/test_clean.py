@@ -37,32 +37,33 @@ def test_tokens_with_whitespace_are_null_for_integers(spark):
     assert apply(spark, C.clean_int, ["\tnan ", " null\n", " ", "  "]) == [None] * 4
 
 
-@pytest.mark.parametrize(
-    "raw, loose, strict, exact",
-    [
-        ("12", "12", "12", "12"),
-        (" 12 ", "12", "12", "12"),
-        ("\t12 ", "12", "12", "12"),
-        ("1.0", "1", "1", "1"),
-        ("1.5", "1", "1", "1.5"),
-        ("-3.9", "-3", "-3", "-3.9"),
-        ("-0.9", "0", "0", "-0.9"),
-        ("-2.0", "-2", "-2", "-2"),
-        ("1e3", "1e3", "1e3", "1e3"),
-        ("1.5e3", "1500", "1500", "1500"),
-        ("007", "007", "007", "007"),
-        ("ab.c", "ab.c", None, "ab.c"),
-        ("abc", "abc", "abc", "abc"),
-        ("1.2.3", "1.2.3", None, "1.2.3"),
-        ("9007199254740993.0", "9007199254740993", "9007199254740993", "9007199254740993"),
-        ("12345678901234567890.5", "12345678901234567890", "12345678901234567890",
-         "12345678901234567890.5"),
-    ],
-)
-def test_integers(spark, raw, loose, strict, exact):
-    assert apply(spark, C.clean_int, [raw]) == [loose]
-    assert apply(spark, C.clean_int_strict, [raw]) == [strict]
-    assert apply(spark, C.clean_int_exact, [raw]) == [exact]
+# raw, clean_int, clean_int_strict, clean_int_exact
+INTEGERS = [
+    ("12", "12", "12", "12"),
+    (" 12 ", "12", "12", "12"),
+    ("\t12 ", "12", "12", "12"),
+    ("1.0", "1", "1", "1"),
+    ("1.5", "1", "1", "1.5"),
+    ("-3.9", "-3", "-3", "-3.9"),
+    ("-0.9", "0", "0", "-0.9"),
+    ("-2.0", "-2", "-2", "-2"),
+    ("1e3", "1e3", "1e3", "1e3"),
+    ("1.5e3", "1500", "1500", "1500"),
+    ("007", "007", "007", "007"),
+    ("ab.c", "ab.c", None, "ab.c"),
+    ("abc", "abc", "abc", "abc"),
+    ("1.2.3", "1.2.3", None, "1.2.3"),
+    ("9007199254740993.0", "9007199254740993", "9007199254740993", "9007199254740993"),
+    ("12345678901234567890.5", "12345678901234567890", "12345678901234567890",
+     "12345678901234567890.5"),
+]
+
+
+def test_integers(spark):
+    raw, loose, strict, exact = (list(c) for c in zip(*INTEGERS, strict=True))
+    assert apply(spark, C.clean_int, raw) == loose
+    assert apply(spark, C.clean_int_strict, raw) == strict
+    assert apply(spark, C.clean_int_exact, raw) == exact
 
 
 def test_booleans(spark):
