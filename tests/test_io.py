@@ -7,10 +7,20 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
+from tidemark.functions.types import ColumnSpec
+from tidemark.operators import audit
 from tidemark.operators.merge import merge
 from tidemark.operators.stage import stage, staged
 from tidemark.plans import models
-from tidemark.plans.sync import fan_out, fan_out_counts, merge_into, sync_all, sync_table, table_at
+from tidemark.plans.sync import (
+    check_keys,
+    fan_out,
+    fan_out_counts,
+    merge_into,
+    sync_all,
+    sync_table,
+    table_at,
+)
 from tidemark.session import CHECKPOINT_DIR, shared_dir
 from tidemark.sources.jdbc import JdbcTable
 from tidemark.sources.scan import (
@@ -118,6 +128,8 @@ def test_jdbc_options():
     assert "partitionColumn" not in t.write_options() and t.write_options()["batchsize"] == "10000"
     assert "secret" not in repr(t)
     assert "user" not in JdbcTable("jdbc:postgresql://db/x", "t").read_options()
+    bounds = t.bounds_query("id").table
+    assert bounds == "(SELECT min(id) AS lo, max(id) AS hi FROM public.t t) bounds"
     with pytest.raises(ValueError):
         JdbcTable("u", "t", partition_column="id")
 
@@ -245,6 +257,33 @@ def test_full_sync_and_cdc(spark, tmp_path):
     assert [(r["record_id"], r["operation"]) for r in log] == [("3", "INSERT")]
 
 
+def test_sync_cleans_shapes_and_checks(spark, tmp_path):
+    raw = spark.createDataFrame(
+        [("1.0", "null", "2025-01-01"), (" 2 ", "x", "nan")], "k string, v string, at string"
+    )
+    shape = [
+        ColumnSpec("k", "integer", nullable=False),
+        ColumnSpec("v", "text"),
+        ColumnSpec("at", "timestamp"),
+        ColumnSpec("loaded_at", "timestamp", default="now()"),
+    ]
+    s = SyncSpec("t", raw, "k", "full_sync", shape=shape, check_keys=True)
+    row = sync_table(spark, s, str(tmp_path), day(9))
+    assert (row["missing_in_target"], row["extra_in_target"]) == (0, 0)
+    got = VersionedTable(spark, f"{tmp_path}/t").read().orderBy("k")
+    assert [tuple(r) for r in got.collect()] == [(1, None, day(1), day(9)), (2, "x", None, day(9))]
+
+
+def test_check_keys_finds_what_is_missing(spark, tmp_path):
+    t = VersionedTable(spark, str(tmp_path / "t"))
+    t.write(table(spark, [(1, "a", 1), (3, "c", 1)]))
+    rows = table(spark, [(1, "a", 1), (2, "b", 1)])
+    with pytest.raises(RuntimeError, match="1 keys missing, 1 keys extra"):
+        check_keys(spec(rows), rows, t)
+    known = table(spark, [(1, "a", 1)])
+    assert check_keys(spec(known), known, t) == {"missing_in_target": 0, "extra_in_target": 1}
+
+
 def test_sync_all_keeps_going(spark, tmp_path):
     good = table(spark, [(1, "a", 1)])
     specs = [
@@ -252,10 +291,14 @@ def test_sync_all_keeps_going(spark, tmp_path):
         spec("/no/such/path.parquet", target="bad"),
         spec(good, target="off", enabled=False),
     ]
-    rows = {r["target"]: r for r in sync_all(spark, specs, str(tmp_path), day(9)).collect()}
+    log = str(tmp_path / "runs")
+    results = sync_all(spark, specs, str(tmp_path), day(9), log_path=log, run_id="r1")
+    rows = {r["target"]: r for r in results.collect()}
     assert set(rows) == {"good", "bad"}
     assert rows["good"]["status"] == "completed" and rows["bad"]["status"] == "failed"
     assert "PATH_NOT_FOUND" in rows["bad"]["message"]
+    (progress,) = audit.progress(audit.read_runs(spark, log)).collect()
+    assert tuple(progress) == ("r1", 2, 1, 1, 0, 50.0)
 
 
 def test_fan_out(spark, tmp_path):

@@ -126,6 +126,12 @@ def test_duplicates_kept_by_delete_insert(spark):
     assert {(2, "old", 1), (2, "new", 2)} <= set(got(out))
 
 
+def test_only_some_modes_keep_repeats(spark):
+    for mode in ("upsert", "full_sync", "incremental", "versioned"):
+        with pytest.raises(ValueError):
+            merge(table(spark, T0), table(spark, DUP), "k", mode, "keep", run_ts="2025-01-01")
+
+
 def test_latest_needs_an_order(spark):
     with pytest.raises(ValueError):
         merge(table(spark, T0), table(spark, DUP), "k", "upsert", "latest")

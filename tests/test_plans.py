@@ -44,7 +44,7 @@ def test_watermark_reaches_the_scan(orders, kind):
 def test_small_stage_leaves_the_target_unshuffled(spark, orders):
     staged = stage(spark, orders.where("o_orderkey < 50"))
     for mode in ("upsert", "delete_insert", "insert_ignore"):
-        df = merge(orders, staged.rows, "o_orderkey", mode, on_duplicate="keep")
+        df = merge(orders, staged.rows, "o_orderkey", mode, on_duplicate="unique")
         assert "BroadcastHashJoin" in plan(df), mode
         assert exchanges(df) == 0, mode
 
@@ -52,7 +52,7 @@ def test_small_stage_leaves_the_target_unshuffled(spark, orders):
 def test_large_stage_is_not_broadcast(spark, orders):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1000")
     try:
-        p = plan(merge(orders, orders, "o_orderkey", "upsert", on_duplicate="keep"))
+        p = plan(merge(orders, orders, "o_orderkey", "upsert", on_duplicate="unique"))
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
     assert "SortMergeJoin" in p and "BroadcastHashJoin" not in p
@@ -88,7 +88,7 @@ def test_orphans_are_counted_before_a_shuffle_join(spark, orders):
 
 def test_full_sync_does_not_read_the_target(spark, sf_dir, orders):
     target = load(spark, sf_dir, "orders_tgt")
-    p = plan(merge(target, orders.withColumnRenamed("o_clerk", "x"), "o_orderkey", "full_sync", "keep"))
+    p = plan(merge(target, orders.withColumnRenamed("o_clerk", "x"), "o_orderkey", "full_sync", "unique"))
     assert p.count("FileScan") == 1
 
 

@@ -82,8 +82,11 @@ def resolve_duplicates(
     on_duplicate: str = "error",
     order_by: Sequence[str] = (),
 ) -> DataFrame:
-    """Apply the policy for keys that are staged twice: fail, keep the latest, keep all."""
-    if on_duplicate == "keep":
+    """Apply the policy for keys that are staged twice: fail, keep the latest, keep all.
+
+    ``unique`` does nothing either: the caller vouches that no key repeats.
+    """
+    if on_duplicate in ("keep", "unique"):
         return stage
     if on_duplicate == "latest":
         if not order_by:

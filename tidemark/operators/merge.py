@@ -225,10 +225,13 @@ def merge(
     ``full_sync``, ``incremental`` or ``versioned``.
 
     Columns are matched by name. Staged columns the target does not have are dropped.
+    Repeated staged keys can only be kept where rows are not updated one by one.
     """
     keys = as_list(keys)
     require_columns(target.columns, keys, "target")
     require_columns(stage.columns, keys, "stage")
+    if on_duplicate == "keep" and mode not in ("delete_insert", "insert_ignore"):
+        raise ValueError(f"mode {mode!r} cannot keep repeated keys")
     if mode in ("incremental", "versioned") and run_ts is None:
         raise ValueError(f"mode {mode!r} needs run_ts")
     staged_keys = stage.select(*cols(keys))

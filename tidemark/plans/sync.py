@@ -18,9 +18,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.names import check_identifier
+from tidemark.operators.audit import append_run
 from tidemark.operators.change_log import append_log
 from tidemark.operators.incremental import incremental_filter, predicate, watermark_value
 from tidemark.operators.merge import merge
+from tidemark.operators.reconcile import reconcile_keys
+from tidemark.operators.shape import clean, conform
 from tidemark.operators.stage import staged
 from tidemark.sources.scan import scan
 from tidemark.sources.versions import BucketedTable, VersionedTable
@@ -34,6 +37,10 @@ RESULT = T.StructType(
         T.StructField("staged_rows", T.LongType()),
         T.StructField("target_rows", T.LongType()),
         T.StructField("version", T.LongType()),
+        T.StructField("missing_in_target", T.LongType()),
+        T.StructField("extra_in_target", T.LongType()),
+        T.StructField("started_at", T.TimestampNTZType()),
+        T.StructField("ended_at", T.TimestampNTZType()),
         T.StructField("message", T.StringType()),
     ]
 )
@@ -101,8 +108,13 @@ def full_load(table: VersionedTable, source: DataFrame) -> int:
     return table.write(source)
 
 
-def extract(spark: SparkSession, spec: SyncSpec, target: DataFrame | None) -> DataFrame:
-    """The source rows a sync has to look at; the filter reaches the source scan."""
+def extract(
+    spark: SparkSession, spec: SyncSpec, target: DataFrame | None, run_ts: object = None
+) -> DataFrame:
+    """The source rows a sync has to look at, cleaned and shaped if the spec says how.
+
+    The filter is on the source's own columns, so it reaches the scan.
+    """
     source = scan(spark, spec.source)
     beyond = None
     if spec.mode in ("incremental_sync", "incremental"):
@@ -110,7 +122,10 @@ def extract(spark: SparkSession, spec: SyncSpec, target: DataFrame | None) -> Da
         if takes_mark:
             hwm = watermark_value(target, spec.incremental_field)
             beyond = incremental_filter(source, spec.incremental_field, spec.incremental_type, hwm)
-    return source.where(predicate(spec.where, None, beyond, spec.combine))
+    rows = source.where(predicate(spec.where, None, beyond, spec.combine))
+    if spec.shape:
+        rows = conform(clean(rows, spec.shape), spec.shape, run_ts)
+    return rows
 
 
 def sync_by_mode(
@@ -132,15 +147,15 @@ def sync_table(spark: SparkSession, spec: SyncSpec, base: str, run_ts: object) -
     """Run one sync below the folder ``base``; returns the fields of a result row."""
     table = table_at(spark, base, spec.target, spec.keys, spec.buckets)
     current = table.read() if table.exists() else None
-    rows = extract(spark, spec, current)
+    rows = extract(spark, spec, current, run_ts)
     if spec.mode == "full_copy":
-        version = full_load(table, rows)
-        n = table.row_count()
-        return _result(spec, "completed", n, n, version)
+        full_load(table, rows)
+        found = check_keys(spec, rows, table) if spec.check_keys else {}
+        return {"staged_rows": table.row_count(), **_outcome(table), **found}
     with staged(spark, rows) as stage:
         if not stage.row_count and current is not None and spec.mode not in WHOLE_TABLE_MODES:
             # Nothing new: the target is not rewritten.
-            return _result(spec, "completed", 0, table.row_count(), table.version())
+            return {"staged_rows": 0, **_outcome(table)}
         version = table.next_version()
         if spec.mode == "cdc":
             # Named by version and replaced as a whole: a retry does not log twice.
@@ -156,19 +171,22 @@ def sync_table(spark: SparkSession, spec: SyncSpec, base: str, run_ts: object) -
             on_duplicate=spec.on_duplicate,
             order_by=spec.order_by,
         )
-        return _result(spec, "completed", stage.row_count, table.row_count(), version)
+        found = check_keys(spec, stage.rows, table) if spec.check_keys else {}
+        return {"staged_rows": stage.row_count, **_outcome(table), **found}
 
 
-def _result(spec, status, staged_rows=None, target_rows=None, version=None, message=None) -> dict:
-    return {
-        "target": spec.target,
-        "mode": spec.mode,
-        "status": status,
-        "staged_rows": staged_rows,
-        "target_rows": target_rows,
-        "version": version,
-        "message": message,
-    }
+def _outcome(table: VersionedTable) -> dict:
+    return {"target_rows": table.row_count(), "version": table.version()}
+
+
+def check_keys(spec: SyncSpec, rows: DataFrame, table: VersionedTable) -> dict:
+    """Compare staged with target keys; raises when the target lacks one, or, where the
+    target should equal the source, has one too many."""
+    counts = reconcile_keys(rows, table.read(), list(spec.keys)).first()
+    missing, extra = counts["missing_in_target"], counts["extra_in_target"]
+    if missing or (extra and spec.mode in WHOLE_TABLE_MODES):
+        raise RuntimeError(f"{spec.target}: {missing} keys missing, {extra} keys extra")
+    return {"missing_in_target": missing, "extra_in_target": extra}
 
 
 def sync_all(
@@ -177,28 +195,54 @@ def sync_all(
     base: str,
     run_ts: object = None,
     max_concurrent: int = 2,
+    log_path: str | None = None,
+    run_id: str | None = None,
 ) -> DataFrame:
     """Sync every enabled table, a few at a time; one result row each, failures included.
 
-    The threads only submit Spark jobs, each in a scheduler pool of its own.
+    The threads only submit Spark jobs, each in a scheduler pool of its own. With
+    ``log_path`` each table is also a step of run ``run_id`` in that run log.
     """
-    run_ts = run_ts or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-    enabled = [s for s in specs if s.enabled]
+    run_ts = run_ts or _now()
 
     def run(spec: SyncSpec) -> dict:
         spark.sparkContext.setLocalProperty("spark.scheduler.pool", spec.target)
+        row = {"target": spec.target, "mode": spec.mode, "started_at": _now()}
         try:
-            return sync_table(spark, spec, base, run_ts)
+            row |= {"status": "completed", **sync_table(spark, spec, base, run_ts)}
         except Exception as e:  # one table's failure must not stop the others
-            return _result(spec, "failed", message=f"{type(e).__name__}: {e}"[:2000])
+            row |= {"status": "failed", "message": f"{type(e).__name__}: {e}"[:2000]}
+        return row | {"ended_at": _now()}
 
     with ThreadPoolExecutor(max_workers=max_concurrent) as pool:
         work = inheritable_thread_target(spark)(run)
-        results = list(pool.map(work, enabled))
-    rows = [tuple(r[f] for f in RESULT.fieldNames()) for r in results]
+        results = list(pool.map(work, [s for s in specs if s.enabled]))
+    if log_path:
+        append_run(spark, log_path, [_log_row(r, run_id or str(run_ts)) for r in results])
+    rows = [tuple(r.get(f) for f in RESULT.fieldNames()) for r in results]
     return spark.createDataFrame(rows, RESULT)
 
 
+def _now() -> dt.datetime:
+    return dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+
+
+def _log_row(result: dict, run_id: str) -> dict:
+    started, ended = result["started_at"], result["ended_at"]
+    return {
+        "run_id": run_id,
+        "pipeline": result["target"],
+        "step": result["mode"],
+        "status": result["status"],
+        "started_at": started,
+        "ended_at": ended,
+        "duration_s": (ended - started).total_seconds(),
+        "rows_copied": result.get("staged_rows"),
+        "error_count": int(result["status"] == "failed"),
+        "message": result.get("message"),
+    }
+
+
 def fan_out_counts(source: DataFrame, targets: Sequence[TargetSpec]) -> DataFrame:
     """(target, row_count) each target would get: one scan for all of them."""
     row = source.agg(

@@ -29,6 +29,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, **conf: s
         SparkSession.builder.master(f"local[{cores}]")
         .appName("tidemark")
         .config("spark.ui.enabled", "false")
+        .config("spark.driver.memory", "8g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
     for key, value in {**SETTINGS, **conf}.items():

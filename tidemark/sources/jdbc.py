@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.functions.names import check_identifier
+
 
 @dataclass(frozen=True)
 class JdbcTable:
@@ -68,6 +70,20 @@ class JdbcTable:
     def write_options(self) -> dict[str, str]:
         return self._common() | {"batchsize": str(self.batch_size)}
 
+    def bounds_query(self, column: str) -> "JdbcTable":
+        """A one-row table with the lowest and highest value of ``column``."""
+        inner = f"(SELECT min({column}) AS lo, max({column}) AS hi FROM {self.table} t) bounds"
+        return replace(self, table=inner)
+
+    def partitioned(self, spark: SparkSession, column: str, n: int) -> "JdbcTable":
+        """The same table, to be read as ``n`` key ranges; asks the source for the bounds."""
+        lo, hi = self.bounds_query(check_identifier(column)).read(spark).first()
+        if lo is None:
+            return self
+        return replace(
+            self, partition_column=column, lower_bound=lo, upper_bound=hi, num_partitions=n
+        )
+
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.format("jdbc").options(**self.read_options()).load()
 

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 from typing import Any
 
 from tidemark.functions.names import as_list, check_identifier
+from tidemark.functions.types import ColumnSpec
 
 # The sync modes and incremental field types a configuration may name.
 MODES = (
@@ -18,7 +19,7 @@ MODES = (
     "cdc",
 )
 FIELD_KINDS = ("yyyymmdd", "date", "timestamp", "datetime", "integer", "default")
-DUPLICATE_POLICIES = ("error", "latest", "keep")
+DUPLICATE_POLICIES = ("error", "latest", "keep", "unique")
 
 
 @dataclass(frozen=True)
@@ -42,7 +43,9 @@ class SyncSpec:
     ``source`` is anything :func:`tidemark.sources.scan.scan` reads. ``where`` replaces
     the incremental filter unless ``combine="and"``. ``on_duplicate`` says what to do
     with a key that is staged twice; ``latest`` needs ``order_by``. With ``buckets`` the
-    target is split by key and a merge rewrites only the buckets it touches.
+    target is split by key and a merge rewrites only the buckets it touches. With ``shape``
+    the extract is cleaned by declared type and brought into that shape. ``check_keys``
+    compares staged with target keys after the write.
     """
 
     target: str
@@ -55,13 +58,15 @@ class SyncSpec:
     combine: str = "exclusive"
     on_duplicate: str = "error"
     order_by: tuple[str, ...] = ()
-    targets: tuple[TargetSpec, ...] = field(default=())
     buckets: int | None = None
+    shape: tuple[ColumnSpec, ...] = ()
+    check_keys: bool = False
     enabled: bool = True
 
     def __post_init__(self) -> None:
         object.__setattr__(self, "keys", tuple(as_list(self.keys)))
         object.__setattr__(self, "order_by", tuple(as_list(self.order_by)))
+        object.__setattr__(self, "shape", tuple(self.shape))
         check_identifier(self.target)
         for name in self.keys:
             check_identifier(name)
@@ -81,5 +86,7 @@ class SyncSpec:
             raise ValueError(f"unknown duplicate policy: {self.on_duplicate!r}")
         if self.buckets is not None and (self.buckets < 1 or not self.keys):
             raise ValueError("buckets must be at least 1 and needs key columns")
+        if self.check_keys and not self.keys:
+            raise ValueError("check_keys needs key columns")
         if self.on_duplicate == "latest" and not self.order_by:
             raise ValueError("on_duplicate='latest' needs order_by")

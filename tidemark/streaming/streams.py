@@ -82,7 +82,7 @@ def stream_merge(
                 mode,
                 version,
                 prepare=not_older_rows,
-                on_duplicate="keep",
+                on_duplicate="unique",
             )
 
     return _each_batch(stream, checkpoint, process)
