@@ -9,6 +9,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 BASE_TABLES = (
     "region",
@@ -136,10 +137,17 @@ def _inputs(sql: str) -> list[str]:
     return [n for n in (*BASE_TABLES, *RECIPES) if n in words]
 
 
+# Schemas by path: inferring one reads file footers in a job of its own.
+_schemas: dict[str, StructType] = {}
+
+
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """A base table or a derived one, lazily."""
     if name in BASE_TABLES:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        path = f"{sf_dir}/{name}.parquet"
+        if path not in _schemas:
+            _schemas[path] = spark.read.parquet(path).schema
+        return spark.read.schema(_schemas[path]).parquet(path)
     sql = spark_recipe(name)
     inputs = _inputs(sql)
     for n in inputs:
