@@ -244,6 +244,41 @@ def test_custom_filter_replaces_or_joins_the_incremental_one(spark, tmp_path):
     assert both["staged_rows"] == 1
 
 
+def test_lag_picks_up_late_rows(spark, tmp_path):
+    base = str(tmp_path)
+    sync_table(spark, spec(table(spark, [(1, "a", 5)])), base, day(9))
+    late = table(spark, [(1, "a", 5), (2, "late", 4), (3, "too late", 1)])
+    without = sync_table(spark, spec(late), base, day(9))
+    assert without["staged_rows"] == 0
+    sync_table(spark, spec(late, lag="2 days"), base, day(9))
+    assert content(VersionedTable(spark, f"{base}/t").read()) == [(1, "a"), (2, "late")]
+
+
+def test_version_sync(spark, tmp_path):
+    base = str(tmp_path)
+    schema = "k int, v string, xv long"
+
+    def run(rows, **kw):
+        source = spark.createDataFrame(rows, schema)
+        s = SyncSpec("t", source, "k", "version_sync", "xv", **kw)
+        return sync_table(spark, s, base, day(9))
+
+    def now():
+        rows = VersionedTable(spark, f"{base}/t").read().collect()
+        return sorted((r["k"], r["v"], r["source_version"], r["updated_at"]) for r in rows)
+
+    assert run([(1, "a", 5), (2, "b", 6)])["staged_rows"] == 2
+    second = run([(1, "a", 5), (2, "B", 8), (3, "c", 9)])
+    assert (second["staged_rows"], second["target_rows"]) == (2, 3)
+    assert now() == [(1, "a", 5, None), (2, "B", 8, day(9)), (3, "c", 9, None)]
+    assert run([(3, "C", 10), (4, "d", 11)], where="k > 3")["staged_rows"] == 1
+    # A range of versions that is too wide makes it a full sync.
+    run([(1, "a", 5), (9, "z", 3_000_000_000)])
+    assert now() == [(1, "a", 5, None), (9, "z", 3_000_000_000, None)]
+    with pytest.raises(ValueError, match="no row has a version"):
+        run([(1, "a", None)])
+
+
 def test_full_sync_and_cdc(spark, tmp_path):
     base = str(tmp_path)
     full = {"mode": "full_sync", "incremental_field": None}

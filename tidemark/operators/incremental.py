@@ -118,13 +118,17 @@ def incremental(
 def incremental_version(
     df: DataFrame,
     version: str,
-    last: int,
+    last: int | None,
     custom: str | Column | None = None,
     keep_as: str = "source_version",
 ) -> DataFrame:
-    """Rows with a newer row version, which is kept as ``keep_as``; ``custom`` must hold too."""
+    """Rows with a newer row version, which is kept as ``keep_as``; ``custom`` must hold too.
+
+    Without a last version every row passes.
+    """
     require_columns(df.columns, [version], "incremental_version")
-    newer = predicate(custom, None, col(version) > F.lit(last), combine="and")
+    beyond = None if last is None else col(version) > F.lit(last)
+    newer = predicate(custom, None, beyond, combine="and")
     return df.where(newer).withColumn(keep_as, col(version))
 
 

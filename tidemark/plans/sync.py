@@ -1,7 +1,8 @@
 """Table syncs: extract, stage, merge, write a new version, check, one result row.
 
 Relations to the operators: ``full_copy`` replaces the target; ``full_sync`` merges and
-deletes what the source lost; ``incremental_sync`` (or ``incremental``) extracts beyond the
+deletes what the source lost; ``version_sync`` extracts rows with a newer row version and
+carries the version along; ``incremental_sync`` (or ``incremental``) extracts beyond the
 target's high-water mark and upserts; ``delete_insert`` and ``insert_ignore`` merge the
 extract that way; ``cdc`` upserts and appends to a change log.
 """
@@ -11,6 +12,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from dataclasses import replace
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -20,7 +22,13 @@ from pyspark.sql import types as T
 from tidemark.functions.names import check_identifier
 from tidemark.operators.audit import append_run
 from tidemark.operators.change_log import append_log
-from tidemark.operators.incremental import incremental_filter, predicate, watermark_value
+from tidemark.operators.incremental import (
+    incremental_filter,
+    incremental_version,
+    predicate,
+    version_mode,
+    watermark_value,
+)
 from tidemark.operators.merge import merge
 from tidemark.operators.reconcile import reconcile_keys
 from tidemark.operators.shape import clean, conform
@@ -53,9 +61,13 @@ MERGE_OF = {
     "delete_insert": "delete_insert",
     "insert_ignore": "insert_ignore",
     "cdc": "upsert",
+    "version_sync": "versioned",
 }
 
 
+# The target column that keeps the source's row version.
+VERSION = "source_version"
+
 # Modes whose result depends on the whole source: no bucket is left out.
 WHOLE_TABLE_MODES = ("full_copy", "full_sync")
 
@@ -121,8 +133,16 @@ def extract(
         takes_mark = spec.where is None or spec.combine == "and"
         if takes_mark:
             hwm = watermark_value(target, spec.incremental_field)
-            beyond = incremental_filter(source, spec.incremental_field, spec.incremental_type, hwm)
-    rows = source.where(predicate(spec.where, None, beyond, spec.combine))
+            beyond = incremental_filter(
+                source, spec.incremental_field, spec.incremental_type, hwm, lag=spec.lag
+            )
+    if spec.mode == "version_sync":
+        last = watermark_value(target, VERSION)
+        rows = incremental_version(
+            source, spec.incremental_field, None if last is None else int(last), spec.where, VERSION
+        )
+    else:
+        rows = source.where(predicate(spec.where, None, beyond, spec.combine))
     if spec.shape:
         rows = conform(clean(rows, spec.shape), spec.shape, run_ts)
     return rows
@@ -147,7 +167,12 @@ def sync_table(spark: SparkSession, spec: SyncSpec, base: str, run_ts: object) -
     """Run one sync below the folder ``base``; returns the fields of a result row."""
     table = table_at(spark, base, spec.target, spec.keys, spec.buckets)
     current = table.read() if table.exists() else None
-    rows = extract(spark, spec, current, run_ts)
+    if spec.mode == "version_sync" and versions_too_wide(spark, spec):
+        # Every row, still with its version, so that later runs can go on by version.
+        rows = extract(spark, spec, None, run_ts)
+        spec = replace(spec, mode="full_sync")
+    else:
+        rows = extract(spark, spec, current, run_ts)
     if spec.mode == "full_copy":
         full_load(table, rows)
         found = check_keys(spec, rows, table) if spec.check_keys else {}
@@ -170,11 +195,20 @@ def sync_table(spark: SparkSession, spec: SyncSpec, base: str, run_ts: object) -
             version,
             on_duplicate=spec.on_duplicate,
             order_by=spec.order_by,
+            run_ts=run_ts,
         )
         found = check_keys(spec, stage.rows, table) if spec.check_keys else {}
         return {"staged_rows": stage.row_count, **_outcome(table), **found}
 
 
+def versions_too_wide(spark: SparkSession, spec: SyncSpec) -> bool:
+    """Must a version sync fall back to a full one? Raises when no row has a version."""
+    chosen = version_mode(scan(spark, spec.source), spec.incremental_field).first()["mode"]
+    if chosen == "incremental_timestamp":
+        raise ValueError(f"{spec.target}: no row has a version; sync by a timestamp instead")
+    return chosen == "full_sync"
+
+
 def _outcome(table: VersionedTable) -> dict:
     return {"target_rows": table.row_count(), "version": table.version()}
 

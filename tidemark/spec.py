@@ -17,6 +17,7 @@ MODES = (
     "delete_insert",
     "insert_ignore",
     "cdc",
+    "version_sync",
 )
 FIELD_KINDS = ("yyyymmdd", "date", "timestamp", "datetime", "integer", "default")
 DUPLICATE_POLICIES = ("error", "latest", "keep", "unique")
@@ -41,7 +42,9 @@ class SyncSpec:
     """How one source table is brought into one target table.
 
     ``source`` is anything :func:`tidemark.sources.scan.scan` reads. ``where`` replaces
-    the incremental filter unless ``combine="and"``. ``on_duplicate`` says what to do
+    the incremental filter unless ``combine="and"``; ``lag`` moves the high-water mark back
+    for late rows. For ``version_sync`` ``incremental_field`` is the row version, and
+    ``where`` holds in addition. ``on_duplicate`` says what to do
     with a key that is staged twice; ``latest`` needs ``order_by``. With ``buckets`` the
     target is split by key and a merge rewrites only the buckets it touches. With ``shape``
     the extract is cleaned by declared type and brought into that shape. ``check_keys``
@@ -56,6 +59,7 @@ class SyncSpec:
     incremental_type: str = "default"
     where: str | None = None
     combine: str = "exclusive"
+    lag: str | int | None = None
     on_duplicate: str = "error"
     order_by: tuple[str, ...] = ()
     buckets: int | None = None
@@ -74,7 +78,8 @@ class SyncSpec:
             raise ValueError(f"unknown sync mode: {self.mode!r}")
         if self.mode != "full_copy" and not self.keys:
             raise ValueError(f"{self.mode} needs at least one key column")
-        if self.mode in ("incremental_sync", "incremental") and not self.incremental_field:
+        beyond = ("incremental_sync", "incremental", "version_sync")
+        if self.mode in beyond and not self.incremental_field:
             raise ValueError(f"{self.mode} needs incremental_field")
         if self.incremental_field:
             check_identifier(self.incremental_field)
