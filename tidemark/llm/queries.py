@@ -5,11 +5,14 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.llm.chunk_bpe import digests
 from tidemark.llm.common import table
+from tidemark.llm.secret_ledger import RULES, secrets
 from tidemark.llm.token_counts import count_tokens
+from tidemark.llm.toxic_crf import fit, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -30,3 +33,58 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op3_chunk_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return digests(table(spark, sf_dir, "documents"), public_tokenizers.path(TOKENIZER))
+
+
+def fold(doc_id: str | Column, n: int) -> Column:
+    """crc32 of the id as text, modulo n."""
+    return F.pmod(F.crc32(F.col(doc_id).cast("string").cast("binary")), F.lit(n))
+
+
+@query
+def op6_toxic_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    field = fit(docs, labels.where(fold("doc_id", 3) != 1))
+    return toxicity(docs, field).select(
+        "doc_id", (fold("doc_id", 3) == 1).alias("held_out"), "score", "predicted", "spans"
+    )
+
+
+@query
+def op7_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets(table(spark, sf_dir, "documents"))
+
+
+def _spans_sql() -> str:
+    """Every rule's matches by lengths of what lies between them, as the operator defines them."""
+    parts = []
+    for place, r in enumerate(RULES):
+        pattern = r.pattern.replace("'", "''")
+        parts.append(
+            f"""SELECT doc_id, '{r.name}' AS kind, {place} AS place, {r.at_least} AS need,
+  string_split_regex(t, '{pattern}') AS gaps, regexp_extract_all(t, '{pattern}', 0) AS whole,
+  regexp_extract_all(t, '{pattern}', {r.group}) AS part
+FROM d WHERE regexp_matches(t, '{r.hint.replace("'", "''")}')"""
+        )
+    return " UNION ALL ".join(parts)
+
+
+ORACLES["op7_secret_ledger"] = f"""WITH d AS (SELECT doc_id, coalesce(text, '') AS t FROM documents),
+m AS ({_spans_sql()}),
+e AS (SELECT doc_id, kind, place, need, i, length(gaps[i]) AS gap, length(whole[i]) AS size,
+  length(part[i]) AS counted
+  FROM (SELECT *, unnest(range(1, len(whole) + 1)) AS i FROM m)),
+p AS (SELECT *, sum(gap + size) OVER (PARTITION BY doc_id, kind ORDER BY i) AS stop FROM e),
+s AS (SELECT doc_id, kind, place, (stop - size)::BIGINT AS start, stop::BIGINT AS stop
+  FROM p WHERE counted >= need),
+g AS (SELECT doc_id,
+  count(*) FILTER (WHERE kind = 'assign') AS n_assign,
+  count(*) FILTER (WHERE kind = 'access') AS n_access,
+  count(*) FILTER (WHERE kind = 'hex') AS n_hex,
+  string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, place)
+    FILTER (WHERE place < 3) AS base,
+  string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, place) AS spans
+  FROM s GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0)::BIGINT AS n_access,
+  coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
+  coalesce(spans, '') AS spans
+FROM d LEFT JOIN g USING (doc_id)"""
