@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.chunk_bpe import digests
 from tidemark.llm.common import table
+from tidemark.llm.multi_prefix_join import near_duplicates
 from tidemark.llm.secret_ledger import RULES, secrets
 from tidemark.llm.token_counts import count_tokens
 from tidemark.llm.toxic_crf import fit, toxicity
@@ -88,3 +89,8 @@ SELECT d.doc_id, coalesce(n_assign, 0)::BIGINT AS n_assign, coalesce(n_access, 0
   coalesce(n_hex, 0)::BIGINT AS n_hex, sha256(coalesce(base, '')) AS base_sha256,
   coalesce(spans, '') AS spans
 FROM d LEFT JOIN g USING (doc_id)"""
+
+
+@query
+def op8_multi_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
