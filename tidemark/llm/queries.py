@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.chunk_bpe import digests
 from tidemark.llm.common import table
+from tidemark.llm.decontaminate import leaks
 from tidemark.llm.multi_prefix_join import near_duplicates
 from tidemark.llm.secret_ledger import RULES, secrets
 from tidemark.llm.token_counts import count_tokens
@@ -94,3 +95,8 @@ FROM d LEFT JOIN g USING (doc_id)"""
 @query
 def op8_multi_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
