@@ -12,6 +12,7 @@ from tidemark.llm.chunk_bpe import digests
 from tidemark.llm.common import table
 from tidemark.llm.decontaminate import leaks
 from tidemark.llm.multi_prefix_join import near_duplicates
+from tidemark.llm.rotation_codes import near_vectors
 from tidemark.llm.secret_ledger import RULES, secrets
 from tidemark.llm.token_counts import count_tokens
 from tidemark.llm.toxic_crf import fit, toxicity
@@ -100,3 +101,8 @@ def op8_multi_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op4_rotation_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_vectors(table(spark, sf_dir, "embeddings"))

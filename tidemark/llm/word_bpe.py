@@ -22,22 +22,47 @@ PIECES = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[^\W\d_]+|\d|(?:[^\w\s]|_)+")
 # Extended-A letters without superscript digits, fractions, no-break space and dotted I.
 PLAIN = re.compile("[\t\n\r -~¡-±´-¸º-»¿-įı-ſ]*")
 
-MEMO_PIECES = 300_000
+MEMO_PIECES = 150_000
 
 
-class PieceIds(dict):
-    """piece -> its ids as little-endian unsigned 32-bit integers; a bounded memo."""
+class PieceIds:
+    """piece -> its ids as little-endian unsigned 32-bit integers.
+
+    A bounded memo of two generations: when the young one is full it becomes the old one, and
+    what is asked for again moves up, so frequent pieces stay.
+    """
 
     def __init__(self, tokenizer):
-        super().__init__()
         self.tokenizer = tokenizer
-
-    def __missing__(self, piece: str) -> bytes:
-        if len(self) >= MEMO_PIECES:
-            self.clear()
-        ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
-        self[piece] = found = np.asarray(ids, "<u4").tobytes()
-        return found
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+
+    def encoded(self, pieces: list[str]) -> list[bytes]:
+        """Plain pieces set apart by blanks are one text of as many words for the library."""
+        e = self.tokenizer.encode(" ".join(pieces), add_special_tokens=False)
+        ids, words = np.asarray(e.ids, "<u4"), np.asarray(e.word_ids)
+        ends = np.flatnonzero(np.diff(words, append=-1)) + 1
+        if len(ends) != len(pieces):
+            raise ValueError("the tokenizer's pre-tokenizer isn't the one this module knows")
+        data, ends = ids.tobytes(), (ends * 4).tolist()
+        return [data[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+
+    def of(self, pieces: list[str]) -> list[bytes]:
+        ids = list(map(self.young.get, pieces))
+        if None not in ids:
+            return ids
+        at = [i for i, x in enumerate(ids) if x is None]
+        new = dict.fromkeys([pieces[i] for i in at])
+        if len(self.young) + len(new) > MEMO_PIECES:
+            self.old, self.young = self.young, {}
+        new.update((p, self.old[p]) for p in new if p in self.old)
+        unknown = [p for p, x in new.items() if x is None]
+        if unknown:
+            new.update(zip(unknown, self.encoded(unknown), strict=True))
+        self.young.update(new)
+        for i in at:
+            ids[i] = new[pieces[i]]
+        return ids
 
 
 class WordBpe:
@@ -61,8 +86,7 @@ class WordBpe:
     def encode(self, text: str) -> bytes:
         """The ids of ``text``, little-endian unsigned 32-bit, without added special tokens."""
         if self.plain(text):
-            memo = self.memo
-            return b"".join([memo[p] for p in PIECES.findall(text.lower())])
+            return b"".join(self.memo.of(PIECES.findall(text.lower())))
         return np.asarray(
             self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4"
         ).tobytes()
@@ -70,15 +94,12 @@ class WordBpe:
     def encode_with_offsets(self, text: str) -> tuple[np.ndarray, np.ndarray]:
         """Ids and the character of ``text`` at which each token starts."""
         if self.plain(text):
-            memo, ids, starts, sizes = self.memo, [], [], []
-            for m in PIECES.finditer(text.lower()):
-                found = memo[m.group()]
-                ids.append(found)
-                starts.append(m.start())
-                sizes.append(len(found) // 4)
+            pieces = list(PIECES.finditer(text.lower()))
+            ids = self.memo.of([m.group() for m in pieces])
             # Tokens inside a piece share its start: only piece starts are ever joints.
             return np.frombuffer(b"".join(ids), "<u4"), np.repeat(
-                np.asarray(starts, np.int64), np.asarray(sizes, np.int64)
+                np.asarray([m.start() for m in pieces], np.int64),
+                np.asarray([len(x) // 4 for x in ids], np.int64),
             )
         e = self.tokenizer.encode(text, add_special_tokens=False)
         return np.asarray(e.ids, "<u4"), np.asarray([o[0] for o in e.offsets], np.int64)
