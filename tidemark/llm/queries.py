@@ -10,12 +10,15 @@ from pyspark.sql import functions as F
 
 from tidemark.llm.chunk_bpe import digests
 from tidemark.llm.common import table
+from tidemark.llm.cross_parsing import languages, train
 from tidemark.llm.decontaminate import leaks
 from tidemark.llm.multi_prefix_join import near_duplicates
 from tidemark.llm.rotation_codes import near_vectors
 from tidemark.llm.secret_ledger import RULES, secrets
 from tidemark.llm.token_counts import count_tokens
 from tidemark.llm.toxic_crf import fit, toxicity
+from tidemark.llm.weak_labels import fit as fit_quality
+from tidemark.llm.weak_labels import quality
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -106,3 +109,18 @@ def op2_simhash_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_rotation_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op5_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = train(docs.where(fold("doc_id", 5) != 0))
+    return languages(docs, model).select(
+        "doc_id", (fold("doc_id", 5) == 0).alias("held_out"), "lang_pred", "score"
+    )
+
+
+@query
+def op9_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality(docs, *fit_quality(docs))
