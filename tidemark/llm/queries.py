@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.chunk_bpe import digests
+from tidemark.llm.column_bwt import repeated_strings
 from tidemark.llm.common import table
 from tidemark.llm.cross_parsing import languages, train
 from tidemark.llm.decontaminate import leaks
@@ -124,3 +125,8 @@ def op5_cross_parsing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op9_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality(docs, *fit_quality(docs))
+
+
+@query
+def op10_column_bwt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_strings(table(spark, sf_dir, "documents")).drop("spans")
