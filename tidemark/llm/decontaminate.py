@@ -19,6 +19,7 @@ from __future__ import annotations
 
 import string
 from collections.abc import Iterator
+from functools import lru_cache
 
 import numpy as np
 import pandas as pd
@@ -157,29 +158,36 @@ def shared_weight(window: np.ndarray, bag: tuple[np.ndarray, np.ndarray]) -> flo
     return both / (int(counts.sum()) + int(bag[1].sum()) - both)
 
 
+def found_in(index: Items, texts: list[bytes], similarity: float) -> list[tuple]:
+    data = b"\n".join(texts)
+    h, start, _ = word_hashes(data)
+    ends = np.searchsorted(start, np.cumsum([len(x) + 1 for x in texts]))
+    return list(index.hits(h, ends, similarity))
+
+
+def grouped(texts) -> Iterator[tuple[int, list[bytes]]]:
+    """Plain texts in groups of about a block, with the place of the first."""
+    first, group, size = 0, [], 0
+    for text in texts:
+        group.append(plain(text))
+        size += len(group[-1])
+        if size >= BLOCK_BYTES:
+            yield first, group
+            first, group, size = first + len(group), [], 0
+    if group:
+        yield first, group
+
+
 def finder(shared, similarity: float):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         index = Items(shared.value)
-
-        def found(ids, texts):
-            data = b"\n".join(texts)
-            h, start, _ = word_hashes(data)
-            ends = np.searchsorted(start, np.cumsum([len(x) + 1 for x in texts]))
-            return [
-                (ids[t], *index.ids[m], s, first) for t, m, s, first in index.hits(h, ends, similarity)
-            ]
-
         for batch in batches:
-            rows, ids, texts, size = [], [], [], 0
-            for doc_id, text in zip(batch["doc_id"].astype("Int64"), batch["text"], strict=True):
-                ids.append(doc_id)
-                texts.append(plain(text))
-                size += len(texts[-1])
-                if size >= BLOCK_BYTES:
-                    rows += found(ids, texts)
-                    ids, texts, size = [], [], 0
-            if texts:
-                rows += found(ids, texts)
+            ids = batch["doc_id"].astype("Int64")
+            rows = [
+                (ids.iloc[first + t], *index.ids[m], s, at)
+                for first, group in grouped(batch["text"])
+                for t, m, s, at in found_in(index, group, similarity)
+            ]
             yield pd.DataFrame(
                 {
                     "doc_id": pd.array([r[0] for r in rows], "Int64"),
@@ -193,6 +201,17 @@ def finder(shared, similarity: float):
     return run
 
 
+def slices(benchmark: DataFrame, items_per_pass: int) -> Iterator:
+    """Broadcasts of about ``items_per_pass`` items each, whatever their number."""
+    items = benchmark.select(
+        F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")
+    ).where("text is not null").distinct()
+    passes = max(1, -(-items.count() // items_per_pass))
+    for i in range(passes):
+        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == i).collect()
+        yield benchmark.sparkSession.sparkContext.broadcast(sorted(((r[0], r[1]) for r in part), key=repr))
+
+
 def leaks(
     docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, items_per_pass: int = 20_000
 ) -> DataFrame:
@@ -203,29 +222,41 @@ def leaks(
     repeated results, repeated items one; NULL ids stay NULL; other columns are ignored. An empty
     table on either side gives an empty result. Items of fewer than five words are one shingle.
     """
-    spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    items = benchmark.select(
-        F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("string").alias("text")
-    ).where("text is not null").distinct()
-    passes = max(1, -(-items.count() // items_per_pass))
-    schema = f"doc_id bigint, item_id bigint, {FOUND}"
     out = None
-    for i in range(passes):
-        # A slice of about items_per_pass items, whatever their number.
-        part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == i).collect()
-        shared = spark.sparkContext.broadcast(sorted(((r[0], r[1]) for r in part), key=repr))
-        found = docs.mapInPandas(finder(shared, similarity), schema)
+    for shared in slices(benchmark, items_per_pass):
+        found = docs.mapInPandas(finder(shared, similarity), f"doc_id bigint, item_id bigint, {FOUND}")
         out = found if out is None else out.unionByName(found)
     return out
 
 
-def decontaminated(docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8) -> DataFrame:
+def holds(shared, similarity: float):
+    """Column of texts -> does the text hold an item?"""
+
+    @F.pandas_udf("boolean")
+    def held(texts: pd.Series) -> pd.Series:
+        index = worker_index(shared)
+        out = np.zeros(len(texts), bool)
+        for first, group in grouped(texts):
+            out[[first + hit[0] for hit in found_in(index, group, similarity)]] = True
+        return pd.Series(out)
+
+    return held
+
+
+@lru_cache(maxsize=1)
+def worker_index(shared) -> Items:
+    return Items(shared.value)
+
+
+def decontaminated(
+    docs: DataFrame, benchmark: DataFrame, similarity: float = 0.8, items_per_pass: int = 20_000
+) -> DataFrame:
     """``docs``, all columns, without the rows that hold an item of ``benchmark``.
 
-    Rows go by their content, so repeated and NULL ids need no care; a NULL text holds nothing.
+    Rows are judged by their text where they stand, so repeated and NULL ids need no care; a
+    NULL text holds nothing.
     """
-    key = F.xxhash64("text")
-    keyed = docs.select(key.alias("doc_id"), "text")
-    bad = leaks(keyed, benchmark, similarity).select(F.col("doc_id").alias("__leak")).distinct()
-    return docs.withColumn("__key", key).join(bad, F.col("__key") == F.col("__leak"), "left_anti").drop("__key")
+    for shared in slices(benchmark, items_per_pass):
+        docs = docs.where(~holds(shared, similarity)(F.col("text").cast("string")))
+    return docs

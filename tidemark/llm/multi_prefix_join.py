@@ -22,7 +22,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import components, saved
@@ -86,7 +86,7 @@ def prefix(s: np.ndarray, sketch: np.ndarray, percent: int) -> tuple[np.ndarray,
 
 def entries(shared, words: int, percent: int):
     """text -> prefix entries (token, node, nm), once per node of a task's recent texts; nm holds
-    the size of the set and its number of matches."""
+    the size of the set, the token's place in its order and its number of matches."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         sketch, recent = shared.value, set()
@@ -99,7 +99,9 @@ def entries(shared, words: int, percent: int):
                 {
                     "token": np.concatenate([p[0] for p in parts]).astype(np.int64),
                     "node": np.repeat([p[1] for p in parts], sizes),
-                    "nm": np.repeat(np.asarray([p[2] * 8 + p[3] for p in parts], np.int64), sizes),
+                    "nm": np.concatenate(
+                        [(p[2] << 31) + (np.arange(len(p[0])) << 3) + p[3] for p in parts]
+                    ),
                 }
             )
 
@@ -204,61 +206,87 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 85) -> DataF
     ends = found.groupBy("token").agg(F.min("node").alias("least"), F.max("node").alias("largest"))
     common = found.join(ends.where("least <> largest").select("token", "least"), "token").distinct()
     common = saved(
-        common.select("token", "node", F.expr("nm div 8").alias("n"), F.expr("nm % 8").alias("m"), "least"),
+        common.select(
+            "token",
+            "node",
+            F.shiftright("nm", 31).alias("n"),
+            F.shiftright("nm", 3).bitwiseAND(2**28 - 1).alias("place"),
+            F.col("nm").bitwiseAND(7).alias("m"),
+            "least",
+        ),
         "common-entries",
     )
-    sizes = common.select("node", "n", "m").distinct()
-
-    def sized(a, b):
-        return F.least(a, b) * 100 >= F.greatest(a, b) * percent
 
+    def within() -> Column:
+        """Sizes that can be linked, and both entries inside the prefixes this pair needs.
+
+        Sets of n1 and n2 shingles that are linked share at least
+        ``percent (n1 + n2) / (100 + percent)``, which is more than either asks for alone.
+        """
+        shared = F.ceil((F.col("n1") + F.col("n2")) * percent / (100 + percent)) - F.least("m1", "m2")
+        return (
+            (F.least("n1", "n2") * 100 >= F.greatest("n1", "n2") * percent)
+            & (F.col("place1") < F.col("n1") - shared)
+            & (F.col("place2") < F.col("n2") - shared)
+        )
+
+    def side(entries: DataFrame, name: str, i: int, *more: str) -> DataFrame:
+        return entries.select(
+            "token",
+            F.col("node").alias(name),
+            F.col("n").alias(f"n{i}"),
+            F.col("place").alias(f"place{i}"),
+            F.col("m").alias(f"m{i}"),
+            *more,
+        )
+
+    least = side(common.where("node = least"), "b", 2)
     stars = (
-        common.where("node <> least")
-        .groupBy("node", "least", "n", "m")
+        side(common.where("node <> least"), "a", 1)
+        .join(least, "token")
+        .where(within())
+        .groupBy("a", "b", F.least("m1", "m2").alias("needed"))
         .agg(F.count("token").alias("shared"))
-        .join(sizes.select(F.col("node").alias("least"), F.col("n").alias("n2"), F.col("m").alias("m2")), "least")
-        .where(sized(F.col("n"), F.col("n2")) & (F.col("shared") >= F.least("m", "m2")))
-        .groupBy("node")
-        .agg(F.max_by("least", F.struct("shared", "least")).alias("b"))
-        .select(F.col("node").alias("a"), "b")
+        .where("shared >= needed")
+        .groupBy("a")
+        .agg(F.max_by("b", F.struct("shared", "b")).alias("b"))
     )
     stars = saved(stars, "stars")
     star_links = _links(stars, nodes, docs, words, percent)
     joined = saved(components(star_links), "star-components")
     labelled = common.drop("least").join(joined.withColumnRenamed("id", "node"), "node", "left").select(
-        "token", "node", "n", "m", F.coalesce("component_id", "node").alias("c")
+        "token", "node", "n", "place", "m", F.coalesce("component_id", "node").alias("c")
     )
     mixed_tokens = labelled.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi")
     open_entries = saved(labelled.join(mixed_tokens.select("token"), "token"), "open-entries")
-    by_component = open_entries.select("token", "c").distinct()
-    meet = by_component.alias("x").join(by_component.alias("y"), "token").where("x.c < y.c").select(
-        "token", F.col("x.c").alias("c1"), F.col("y.c").alias("c2")
-    )
-    left = open_entries.select(
-        "token", F.col("c").alias("c1"), F.col("node").alias("a"), F.col("n").alias("na"), F.col("m").alias("ma")
-    )
-    right = open_entries.select(
-        "token", F.col("c").alias("c2"), F.col("node").alias("b"), F.col("n").alias("nb"), F.col("m").alias("mb")
-    )
     rest = (
-        meet.join(left, ["token", "c1"])
-        .join(right, ["token", "c2"])
-        .where(sized(F.col("na"), F.col("nb")))
-        .groupBy("a", "b", F.least("ma", "mb").alias("needed"))
+        side(open_entries, "a", 1, F.col("c").alias("c1"))
+        .join(side(open_entries, "b", 2, F.col("c").alias("c2")), "token")
+        .where((F.col("c1") < F.col("c2")) & within())
+        .groupBy("a", "b", F.least("m1", "m2").alias("needed"))
         .agg(F.count("token").alias("shared"))
         .where("shared >= needed")
         .select("a", "b")
     )
     rest = saved(rest, "rest")
-    links = star_links.unionByName(_links(rest, nodes, docs, words, percent))
+    rest_links = _links(rest, nodes, docs, words, percent)
 
     # Several sets of one id belong together.
     heads = of_docs.where("node is not null and doc_id is not null").select("doc_id", "node").distinct()
     several = heads.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b")
     same = several.select("doc_id", "a").join(heads, "doc_id").where("node <> a").select("a", F.col("node").alias("b"))
-    of_nodes = saved(components(links.unionByName(same)), "components")
-    component = nodes.join(of_nodes.withColumnRenamed("id", "node"), "node", "left").select(
-        "node", "head", F.coalesce("component_id", "node").alias("c")
+    # What is left joins components, so each end stands for the component it is in.
+    ends = rest_links.unionByName(same)
+    for end in ("a", "b"):
+        own = joined.select(F.col("id").alias(end), F.col("component_id").alias("c"))
+        ends = ends.join(own, end, "left").withColumn(end, F.coalesce("c", end)).drop("c")
+    whole = saved(components(ends), "components").select(F.col("id").alias("c1"), F.col("component_id").alias("c2"))
+    component = (
+        nodes.join(joined.select(F.col("id").alias("node"), F.col("component_id").alias("c")), "node", "left")
+        .withColumn("c1", F.coalesce("c", "node"))
+        .drop("c")
+        .join(whole, "c1", "left")
+        .select("node", "head", F.coalesce("c2", "c1").alias("c"))
     )
     component = component.join(component.groupBy("c").agg(F.min("head").alias("component_id")), "c")
     return of_docs.join(component.select("node", "component_id"), "node", "left").select(

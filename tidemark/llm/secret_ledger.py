@@ -15,9 +15,11 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import saved
+
 
 @dataclass(frozen=True)
 class Rule:
@@ -80,13 +82,13 @@ def rule_spans(text: Column, rule: Rule) -> Column:
     size = F.transform(
         F.regexp_extract_all(text, pattern, rule.group), lambda x: F.length(x).cast("long")
     )
-    # (gap before it, its length, the length that counts) per match, then a running sum.
+    # (gap before it, its length, the length that counts) per match, then a running sum. The gap
+    # behind the last match has no match to go with. Zipped, for an array named in a lambda
+    # function would be made again for each element.
     steps = F.zip_with(
-        whole, size, lambda w, s: F.struct(w.alias("whole"), s.alias("size"))
-    )
-    steps = F.transform(
-        steps, lambda s, i: F.struct(F.get(between, i).alias("gap"), s["whole"].alias("whole"),
-                                     s["size"].alias("size"))
+        between,
+        F.zip_with(whole, size, lambda w, s: F.struct(w.alias("whole"), s.alias("size"))),
+        lambda gap, m: F.struct(gap.alias("gap"), m["whole"].alias("whole"), m["size"].alias("size")),
     )
     start = F.struct(
         F.lit(0).cast("long").alias("at"),
@@ -98,7 +100,7 @@ def rule_spans(text: Column, rule: Rule) -> Column:
         end = begin + s["whole"]
         span = F.array(F.struct(begin.alias("start"), end.alias("end")))
         return F.struct(
-            end.alias("at"),
+            F.coalesce(end, state["at"]).alias("at"),
             F.when(s["size"] >= rule.at_least, F.concat(state["spans"], span))
             .otherwise(state["spans"])
             .alias("spans"),
@@ -203,7 +205,8 @@ def secrets(docs: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
     empty result. ``ledger`` holds scans of earlier runs, which aren't repeated.
     """
     versions = addressed(docs)
-    ledger_now = scan_new(versions, ledger)
+    # Written, as a ledger is: the scans are also read several times.
+    ledger_now = saved(scan_new(versions, ledger), "ledger")
     if ledger is not None:
         ledger_now = ledger.unionByName(ledger_now)
     base = tuple(r.name for r in BASE_RULES)
@@ -228,7 +231,8 @@ def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     versions = addressed(docs)
     spans = findings(
-        versions.select(F.col("blob").alias("doc_id"), "blob").distinct(), scan_new(versions, None)
+        versions.select(F.col("blob").alias("doc_id"), "blob").distinct(),
+        saved(scan_new(versions, None), "ledger"),
     ).where(F.size("found") > 0)
     start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
 
