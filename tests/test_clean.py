@@ -265,3 +265,13 @@ def test_hangul_column_names(spark):
     df = spark.createDataFrame([("1.0", " ")], "`티커` string, `국문명` string")
     shape = [ColumnSpec("티커", "integer"), ColumnSpec("국문명", "text")]
     assert tuple(S.clean(df, shape).first()) == ("1", None)
+
+
+def test_long_integer_text_is_cut_exactly(spark):
+    rows = [("123456789012345678901.5", "123456789012345678901"), ("-0.9", "0"), ("0012.7", "12"),
+            ("1.9999999999999999999", "1"), ("-" + "9" * 40 + ".0", "-" + "9" * 40), ("x.5", "x.5")]
+    df = spark.createDataFrame([(r[0],) for r in rows], "t string")
+    got = [r[0] for r in df.select(C.clean_int(F.col("t"))).collect()]
+    assert got == [r[1] for r in rows]
+    exact = [r[0] for r in df.select(C.clean_int_exact(F.col("t"))).collect()]
+    assert exact == [r[0] for r in rows[:4]] + [rows[4][1], "x.5"]

@@ -95,7 +95,7 @@ def test_csv_keeps_awkward_text(spark, tmp_path):
     rows = [(i, v) for i, v in enumerate([*AWKWARD, "", None])]
     path = str(tmp_path / "csv")
     write_csv(spark.createDataFrame(rows, "i int, v string").repartition(3), path)
-    back = read_csv_text(spark, path, ["v", "i"], file_columns=["i", "v"])
+    back = read_csv_text(spark, path, ["v", "i"], file_columns=["i", "v"], multi_line=True)
     got = {int(r["i"]): r["v"] for r in back.collect()}
     assert got == {i: (v or None) for i, v in rows}
 
@@ -272,9 +272,11 @@ def test_version_sync(spark, tmp_path):
     assert (second["staged_rows"], second["target_rows"]) == (2, 3)
     assert now() == [(1, "a", 5, None), (2, "B", 8, day(9)), (3, "c", 9, None)]
     assert run([(3, "C", 10), (4, "d", 11)], where="k > 3")["staged_rows"] == 1
-    # A range of versions that is too wide makes it a full sync.
-    run([(1, "a", 5), (9, "z", 3_000_000_000)])
-    assert now() == [(1, "a", 5, None), (9, "z", 3_000_000_000, None)]
+    # Wide versions are versions like others; with a limit every row is looked at. Neither deletes.
+    before = now()
+    run([(9, "z", 3_000_000_000)])
+    run([(1, "a", 5), (9, "z", 3_000_000_000)], where="k > 1", version_range_limit=2_000_000_000)
+    assert now() == [*before, (9, "z", 3_000_000_000, day(9))]
     with pytest.raises(ValueError, match="no row has a version"):
         run([(1, "a", None)])
 
@@ -448,3 +450,55 @@ def test_models(spark, tmp_path):
     for _ in range(2):
         name = models.materialize(spark, source, "m", "t", "models", str(tmp_path / "s"))
     assert spark.table(name).count() == 4
+
+
+@pytest.mark.parametrize("first, then", [(None, 8), (8, 4), (4, 8), (8, None)])
+def test_bucketed_table_opened_with_another_layout(spark, tmp_path, first, then):
+    base = str(tmp_path / "t")
+
+    def opened(n):
+        return BucketedTable(spark, base, ("k",), n) if n else VersionedTable(spark, base)
+
+    opened(first).write(spark.createDataFrame([(i, "old") for i in range(100)], "k long, v string"))
+    for rows in ([(3, "new"), (200, "new")], [(4, "new")]):
+        merge_into(opened(then), spark.createDataFrame(rows, "k int, v string"), ["k"], "incremental_sync")
+    got = content(opened(then).read())
+    assert got == sorted((i, "new" if i in (3, 4, 200) else "old") for i in [*range(100), 200])
+    with pytest.raises(ValueError, match="another way|not split"):
+        BucketedTable(spark, base, ("k",), 5).touched(spark.createDataFrame([(1,)], "k long"))
+
+
+def test_stream_goes_on_after_another_writer(spark, tmp_path):
+    inbox, checkpoint = str(tmp_path / "in"), str(tmp_path / "check")
+    t = VersionedTable(spark, str(tmp_path / "t"))
+
+    def arrive(*rows):
+        df = spark.createDataFrame(rows, "k int, v string, at int")
+        df.write.mode("append").parquet(inbox)
+        stream = streams.file_stream(spark, inbox, df.schema)
+        streams.stream_merge(stream, t, "k", checkpoint, "at").awaitTermination()
+
+    arrive((1, "a", 1))
+    for _ in range(3):
+        t.write(spark.createDataFrame([(1, "a", 1), (2, "loaded", 1)], "k int, v string, at int"))
+    arrive((3, "late batch", 2))
+    assert [r[0] for r in content(t.read())] == [1, 2, 3]
+
+
+def test_cdc_logs_changes_only(spark, tmp_path):
+    base, cdc = str(tmp_path), {"mode": "cdc", "incremental_field": None}
+    for rows in ([(1, "a", 1), (2, "b", 1)], [(1, "a", 1), (2, "b", 1)], [(1, "A", 1), (3, "c", 1)]):
+        sync_table(spark, spec(table(spark, rows), **cdc), base, day(9))
+    log = spark.read.parquet(f"{base}/t_cdc").collect()
+    ops = sorted((r["operation"], r["record_id"], r["old_data"] is None) for r in log)
+    assert ops == [("INSERT", "1", True), ("INSERT", "2", True), ("INSERT", "3", True), ("UPDATE", "1", False)]
+
+
+def test_fan_out_checks_the_first_load(spark, tmp_path):
+    source = spark.createDataFrame([(1, "a", 1), (1, "b", 2), (2, "c", 1)], "k int, v string, at int")
+    with pytest.raises(RuntimeError, match="strict"):
+        fan_out(spark, source, [TargetSpec("strict", "incremental_sync", keys=("k",))], str(tmp_path))
+    latest = TargetSpec("latest", "incremental_sync", None, ("k",), "latest", ("at",))
+    for _ in range(2):
+        counts = fan_out(spark, source, [latest, TargetSpec("copy")], str(tmp_path))
+        assert sorted(map(tuple, counts.collect())) == [("copy", 3), ("latest", 2)]

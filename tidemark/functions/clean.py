@@ -38,16 +38,24 @@ def _trimmed(c: Column) -> Column:
     return clean_null(strip(c))
 
 
+# Plain decimal text, and such text without a fraction.
+PLAIN_DECIMAL = r"^[+-]?0*(\d+)\.\d+$"
+PLAIN_WHOLE = r"^[+-]?\d+\.0+$"
+
+
 def _truncated(text: Column) -> Column:
     """Number text cut toward zero, as integer text; NULL when it is no number.
 
-    Exact up to 20 integer digits (a double would corrupt integers past 2**53);
-    larger magnitudes go through a double.
+    Plain decimals are cut as text, exactly, whatever their length. Other forms (exponents)
+    are exact up to 20 integer digits and go through a double beyond.
     """
+    whole = F.regexp_extract(text, PLAIN_DECIMAL, 1)
+    signed = F.when(text.startswith("-") & (whole != "0"), F.concat(F.lit("-"), whole)).otherwise(whole)
     exact = cast_text(text, T.DecimalType(38, 18))
     toward_zero = F.when(exact < 0, F.ceil(exact)).otherwise(F.floor(exact))
     approx = cast_text(text, T.DoubleType()).try_cast("decimal(38,0)")
-    return F.coalesce(toward_zero.cast("string"), approx.cast("string"))
+    other = F.coalesce(toward_zero.cast("string"), approx.cast("string"))
+    return F.when(text.rlike(PLAIN_DECIMAL), signed).otherwise(other)
 
 
 def clean_int(c: Column) -> Column:
@@ -66,7 +74,8 @@ def clean_int_exact(c: Column) -> Column:
     """Only whole values (``1.0``) become integers; ``1.5`` is kept."""
     t = _trimmed(c)
     d = cast_text(t, T.DecimalType(38, 18))
-    return F.when(t.contains(".") & (d == F.floor(d)), _truncated(t)).otherwise(t)
+    whole = F.when(t.rlike(PLAIN_DECIMAL), t.rlike(PLAIN_WHOLE)).otherwise(d == F.floor(d))
+    return F.when(t.contains(".") & whole, _truncated(t)).otherwise(t)
 
 
 def clean_float(c: Column) -> Column:

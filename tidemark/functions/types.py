@@ -14,6 +14,8 @@ from tidemark.functions.literals import timestamp
 
 # Fixed values: (text contained in the source type, Spark type), first match wins.
 TYPE_RULES = [
+    ("[]", T.StringType()),
+    ("array", T.StringType()),
     ("interval", T.StringType()),
     ("point", T.StringType()),
     ("char", T.StringType()),

@@ -165,7 +165,9 @@ def chunk_timings(
         F.avg(col(memory)).alias("avg_memory_mb"),
         F.max(col(memory)).alias("max_memory_mb"),
     )
-    return overall.join(recent, by)
+    # The run without an id is a run like others.
+    other = recent.withColumnRenamed(by, "__by")
+    return overall.join(other, col(by).eqNullSafe(F.col("__by"))).drop("__by")
 
 
 def summary(log: DataFrame) -> DataFrame:

@@ -17,10 +17,8 @@ from tidemark.functions.literals import typed
 from tidemark.functions.names import col, require_columns
 from tidemark.spec import FIELD_KINDS
 
-# Kinds with day precision re-read the last day; how wide the range of row
-# versions may get before only a full sync is safe.
+# Kinds with day precision re-read the last day.
 DAY_KINDS = ("yyyymmdd", "date")
-VERSION_RANGE_LIMIT = 2_000_000_000
 
 
 def _as_column(p: str | Column) -> Column:
@@ -132,10 +130,10 @@ def incremental_version(
     return df.where(newer).withColumn(keep_as, col(version))
 
 
-def version_mode(df: DataFrame, version: str, limit: int = VERSION_RANGE_LIMIT) -> DataFrame:
+def version_mode(df: DataFrame, version: str, limit: int | None = None) -> DataFrame:
     """One row: highest version (0 without rows), range, and the mode to use.
 
-    ``full_sync`` once the range of versions reaches ``limit``; ``incremental_timestamp``
+    ``full_sync`` once the range of versions reaches ``limit``, if there is one; ``incremental_timestamp``
     when no row has a version; else ``incremental_version``.
     """
     v = col(version)
@@ -145,7 +143,7 @@ def version_mode(df: DataFrame, version: str, limit: int = VERSION_RANGE_LIMIT)
             F.coalesce(F.col("hi"), F.lit(0)).alias("last_version"),
             F.coalesce(F.col("hi") - F.col("lo"), F.lit(0)).alias("version_range"),
             F.when(F.col("hi").isNull(), "incremental_timestamp")
-            .when(F.col("hi") - F.col("lo") >= limit, "full_sync")
+            .when(F.lit(limit is not None) & (F.col("hi") - F.col("lo") >= (limit or 0)), "full_sync")
             .otherwise("incremental_version")
             .alias("mode"),
         )

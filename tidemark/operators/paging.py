@@ -14,12 +14,6 @@ from tidemark.functions.names import as_list, col, cols, require_columns
 # Page sizes.
 DEFAULT_SIZE, MAX_SIZE = 100, 1000
 
-# Up to this many leading rows a page is a plain top-k. Further back, rows are counted per
-# value range first, so that no task has to hold all rows before the page.
-TOP_ROWS = 50_000
-RANGES = 32
-SAMPLE = 10_000
-
 
 def search(df: DataFrame, column: str, term: str) -> DataFrame:
     """Rows whose text ``column`` contains ``term``, ignoring case.
@@ -79,91 +73,27 @@ def page(
     sort_by: str | None = None,
     order: str = "ASC",
     key: str | Sequence[str] | None = None,
-    top_rows: int = TOP_ROWS,
 ) -> DataFrame:
     """Page ``number`` of ``size`` rows.
 
-    Give a ``key`` for pages that neither overlap nor miss rows when sort values tie. For
-    a far page the rows before it are skipped by counting; prefer :func:`keyset_page` to
-    walk a table page by page.
+    All pages of a table follow one total order: the sort column, the key, then every other
+    column that has an order. So pages neither overlap nor miss rows, with or without a key; rows
+    that differ in a map column only are taken as equal. The cost grows with the depth of the
+    page; walk a table with :func:`keyset_page`.
     """
     skip = check_page(number, size)
     ordering = _ordering(df, sort_by, order, key)
-    if not ordering:
-        return df.offset(skip).limit(size)
-    if skip + size > top_rows:
-        ties = [(n, True) for n in _atomic(df) if n not in {o for o, _ in ordering}]
-        df, skip, ordering = _seek(df, [*ordering, *ties], skip, size, top_rows)
+    named = {n for n, _ in ordering}
+    ordering += [(f.name, True) for f in df.schema.fields if f.name not in named and _has_order(f.dataType)]
     return df.orderBy(*_order_columns(ordering)).offset(skip).limit(size)
 
 
-def _atomic(df: DataFrame) -> list[str]:
-    nested = (T.ArrayType, T.MapType, T.StructType, T.BinaryType)
-    return [f.name for f in df.schema.fields if not isinstance(f.dataType, nested)]
-
-
-def _seek(
-    df: DataFrame,
-    ordering: list[tuple[str, bool]],
-    skip: int,
-    size: int,
-    top_rows: int,
-) -> tuple[DataFrame, int, list[tuple[str, bool]]]:
-    """Drop leading rows: (rows from shortly before the page on, rows still to skip, order).
-
-    Each round cuts the current range of rows at some of its own values into points and
-    the gaps between them, counts the rows of each exactly, and goes on inside the one
-    where the page starts; a point goes on with the next column. Only the sampled values
-    and one count per range reach the driver. Sampling affects the number of rounds, not
-    the result.
-    """
-    inside, later = F.lit(True), F.lit(False)
-    in_range = df.count()
-    if skip >= in_range:
-        return df.where(later), 0, ordering
-    depth = 0
-    while skip > top_rows:
-        name, ascending = ordering[depth]
-        rows = df.where(inside)
-        place = _place(rows, name, ascending, in_range)
-        counts = rows.groupBy(place.alias("place")).count().orderBy("place").collect()
-        for at, n in counts:
-            if skip < n:
-                break
-            skip -= n
-        later = later | (inside & (place > at))
-        inside, in_range = inside & (place == at), n
-        if at % 2:
-            depth += 1
-        if depth == len(ordering):
-            # Rows equal in every column are interchangeable: take as many as are left.
-            copies = df.where(inside).limit(min(size, in_range - skip))
-            return copies.unionByName(df.where(later)), 0, ordering
-    return df.where(inside | later), skip, ordering
-
-
-def _place(rows: DataFrame, name: str, ascending: bool, n: int) -> Column:
-    """Where a row lies among some values of column ``name``, as an ascending number.
-
-    Odd numbers are single values (or NULL), even ones the gaps between them.
-    """
-    c, dtype = col(name), rows.schema[name].dataType
-    sample = rows.where(c.isNotNull()).select(c.alias("v"))
-    if n > SAMPLE:
-        sample = sample.sample(SAMPLE / n, seed=1)
-    seen = sample.distinct().orderBy("v").select(F.col("v").cast("string")).collect()
-    texts = [r[0] for r in seen[:: max(1, len(seen) // RANGES)]]
-    if not texts:
-        lowest = rows.agg(F.min(c).cast("string")).first()[0]
-        texts = [] if lowest is None else [lowest]
-    place = F.lit(0)
-    for text in texts:
-        edge = typed(text, dtype)
-        beyond = (c >= edge, c > edge) if ascending else (c <= edge, c < edge)
-        for b in beyond:
-            place = place + F.when(b, 1).otherwise(0)
-    null_place = 2 * len(texts) + 1 if ascending else -1
-    return F.when(c.isNull(), null_place).otherwise(place)
+def _has_order(dtype: T.DataType) -> bool:
+    if isinstance(dtype, T.ArrayType):
+        return _has_order(dtype.elementType)
+    if isinstance(dtype, T.StructType):
+        return all(_has_order(f.dataType) for f in dtype.fields)
+    return not isinstance(dtype, (T.MapType, T.VariantType))
 
 
 def page_meta(df: DataFrame, size: int = DEFAULT_SIZE) -> DataFrame:
@@ -175,15 +105,24 @@ def page_meta(df: DataFrame, size: int = DEFAULT_SIZE) -> DataFrame:
 
 
 def keyset_page(
-    df: DataFrame, key: str, after: object = None, size: int = DEFAULT_SIZE
+    df: DataFrame, key: str | Sequence[str], after: object = None, size: int = DEFAULT_SIZE
 ) -> DataFrame:
     """The next ``size`` rows by ``key`` after the last one seen.
 
-    The filter reaches the file statistics, so the cost does not grow with the depth of
-    the page as it does with an offset.
+    With several key columns ``after`` is a tuple of their last values. The filter on the
+    first one reaches the file statistics, so the cost does not grow with the depth of the page
+    as it does with an offset. Keys are unique and not NULL.
     """
     check_page(1, size)
-    require_columns(df.columns, [key], "keyset_page")
+    keys = as_list(key)
+    require_columns(df.columns, keys, "keyset_page")
     if after is not None:
-        df = df.where(col(key) > typed(after, df.schema[key].dataType))
-    return df.orderBy(*cols([key])).limit(size)
+        last = list(after) if isinstance(after, (tuple, list)) else [after]
+        if len(last) != len(keys):
+            raise ValueError(f"after must name {len(keys)} values")
+        edges = [typed(v, df.schema[k].dataType) for k, v in zip(keys, last, strict=True)]
+        beyond = F.lit(False)
+        for k, edge in zip(reversed(keys), reversed(edges), strict=True):
+            beyond = (col(k) > edge) | ((col(k) == edge) & beyond)
+        df = df.where((col(keys[0]) >= edges[0]) & beyond)
+    return df.orderBy(*cols(keys)).limit(size)

@@ -15,7 +15,7 @@ from tidemark.plans.registry import Tables, query
 from tidemark.plans.sync import fan_out, fan_out_counts, full_load
 from tidemark.session import work_dir
 from tidemark.sources.scan import chunk_by_key, chunk_stats, scan, scan_count, scan_sql
-from tidemark.sources.text import read_csv_text, to_ndjson, write_csv
+from tidemark.sources.text import read_csv_text, to_ndjson, write_csv, write_ndjson
 from tidemark.sources.versions import VersionedTable
 from tidemark.spec import TargetSpec
 
@@ -88,7 +88,7 @@ def csv_round_trip(t: Tables) -> DataFrame:
     dirty = t.dirty
     write_csv(dirty, path)
     order = ["raw_date", "raw_bool", "raw_int", "event_id", "raw_text"]
-    return read_csv_text(t.spark, path, order, file_columns=dirty.columns)
+    return read_csv_text(t.spark, path, order, file_columns=dirty.columns, multi_line=True)
 
 
 @query(
@@ -104,6 +104,19 @@ def ndjson_export(t: Tables) -> DataFrame:
     return to_ndjson(rows, 10_000, "ticker")
 
 
+@query(
+    "ndjson_full_export",
+    """SELECT CAST(ticker AS VARCHAR) AS ticker, country_code, name_local FROM stock_master""",
+    uses=("stock_master",),
+)
+def ndjson_full_export(t: Tables) -> DataFrame:
+    """All rows written as NDJSON and read back."""
+    rows = t.stock_master.select(F.col("ticker").cast("string"), "country_code", "name_local")
+    path = work_dir(t.spark, "ndjson")
+    write_ndjson(rows, path)
+    return t.spark.read.schema(rows.schema).json(path)
+
+
 @query(
     "stage_table",
     """SELECT count(*) AS source_rows, count(*) AS staged_rows, true AS is_complete
@@ -288,7 +301,7 @@ def incremental_yyyymmdd(t: Tables) -> DataFrame:
 def incremental_first_run(t: Tables) -> DataFrame:
     """An empty target has no watermark: the whole source, ordered by the field."""
     hwm = inc.watermark_value(t.orders.where("false"), "o_orderdate")
-    return inc.incremental(t.orders, "o_orderdate", "timestamp", hwm).orderBy("o_orderdate")
+    return inc.incremental(t.orders, "o_orderdate", "timestamp", hwm).orderBy("o_orderdate", "o_orderkey")
 
 
 MIDDLE_VERSION = "SELECT (min(version) + max(version)) // 2 FROM orders_ymd"
@@ -315,7 +328,7 @@ def incremental_version(t: Tables) -> DataFrame:
     uses=("orders_ymd",),
 )
 def incremental_version_mode(t: Tables) -> DataFrame:
-    return inc.version_mode(t.orders_ymd, "version")
+    return inc.version_mode(t.orders_ymd, "version", limit=2_000_000_000)
 
 
 @query(

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import replace
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.names import cols
@@ -13,7 +15,7 @@ from tidemark.operators.merge import merge, merge_stats
 from tidemark.operators.stage import staged
 from tidemark.plans import models
 from tidemark.plans.registry import Tables, query
-from tidemark.plans.sync import merge_into, sync_all, sync_by_mode
+from tidemark.plans.sync import merge_into, sync_all, sync_by_mode, sync_table, table_at
 from tidemark.session import work_dir
 from tidemark.sources.versions import BucketedTable, VersionedTable
 from tidemark.spec import SyncSpec
@@ -96,6 +98,36 @@ def merge_upsert_bucketed(t: Tables) -> DataFrame:
     return table.read()
 
 
+@query("merge_upsert_mixed_key_types", UPSERT_SQL, uses=("orders_tgt", "stage_dup"))
+def merge_upsert_mixed_key_types(t: Tables) -> DataFrame:
+    """A stage with narrow keys into a bucketed table with wide ones, split anew halfway."""
+    base = work_dir(t.spark, "orders")
+    BucketedTable(t.spark, base, ("o_orderkey",), 8).write(t.orders_tgt)
+    narrow = t.stage_dup.withColumn("o_orderkey", F.col("o_orderkey").cast("int"))
+    options = {"on_duplicate": "latest", "order_by": ["o_orderdate"]}
+    with staged(t.spark, narrow) as stage:
+        for n in (8, 4):
+            table = BucketedTable(t.spark, base, ("o_orderkey",), n)
+            merge_into(table, stage.rows, ["o_orderkey"], "incremental_sync", **options)
+    return table.read()
+
+
+@query(
+    "incremental_version_wide",
+    """SELECT o_orderkey, CAST(o_orderkey AS BIGINT) * 1000000000000 AS source_version
+       FROM orders""",
+)
+def incremental_version_wide(t: Tables) -> DataFrame:
+    """Two syncs by a 64-bit version, the second over a part of the source: no row is lost."""
+    source = t.orders.select("o_orderkey", (F.col("o_orderkey") * F.lit(10**12)).alias("xv"))
+    base = work_dir(t.spark, "wide")
+    spec = SyncSpec("orders", source, "o_orderkey", "version_sync", "xv")
+    sync_table(t.spark, spec, base, RUN_TS)
+    limited = replace(spec, where="o_orderkey % 2 = 0", version_range_limit=2_000_000_000)
+    sync_table(t.spark, limited, base, RUN_TS)
+    return table_at(t.spark, base, "orders").read().select("o_orderkey", "source_version")
+
+
 @query(
     "merge_full_sync",
     """SELECT o.*, CASE WHEN t.o_orderkey IS NOT NULL THEN 'kept' END AS note
@@ -286,11 +318,12 @@ def cdc_apply(t: Tables) -> DataFrame:
     return log.apply_log(t.orders_tgt, replay, "o_orderkey")
 
 
-def as_files(t: Tables, df: DataFrame, key: str, n: int = 4) -> str:
-    """Write ``df`` as ``n`` files with all rows of a key in one of them."""
+def arriving(t: Tables, df: DataFrame) -> DataFrame:
+    """``df`` as a stream of files, half as many in a batch as there are shuffle partitions."""
     path = work_dir(t.spark, "files")
-    df.repartition(n, key).write.parquet(path)
-    return path
+    partitions = int(t.spark.conf.get("spark.sql.shuffle.partitions"))
+    df.repartition(partitions).write.parquet(path)
+    return streams.file_stream(t.spark, path, df.schema, max(1, partitions // 2))
 
 
 @query(
@@ -304,17 +337,69 @@ def as_files(t: Tables, df: DataFrame, key: str, n: int = 4) -> str:
 def stream_incremental_merge(t: Tables) -> DataFrame:
     table = VersionedTable(t.spark, work_dir(t.spark, "orders"))
     table.write(t.orders_hwm_tgt)
-    source = t.stage_dup
-    arriving = streams.file_stream(
-        t.spark, as_files(t, source, "o_orderkey"), source.schema, files_per_batch=2
-    )
     checkpoint = work_dir(t.spark, "checkpoint")
     streams.stream_merge(
-        arriving, table, "o_orderkey", checkpoint, "o_orderdate"
+        arriving(t, t.stage_dup), table, "o_orderkey", checkpoint, "o_orderdate"
     ).awaitTermination()
     return table.read()
 
 
+@query(
+    "stream_merge_after_load",
+    f"""{LATEST_SQL}
+        SELECT {ORDERS} FROM orders_hwm_tgt
+        WHERE o_orderkey NOT IN (SELECT o_orderkey FROM latest)
+        UNION ALL SELECT {ORDERS} FROM latest""",
+    uses=("orders_hwm_tgt", "stage_dup"),
+)
+def stream_merge_after_load(t: Tables) -> DataFrame:
+    """A stream run, a full load that takes the next versions, and a stream run with the rest."""
+    table = VersionedTable(t.spark, work_dir(t.spark, "orders"))
+    inbox, checkpoint = work_dir(t.spark, "inbox"), work_dir(t.spark, "checkpoint")
+    source = t.stage_dup
+    late = F.col("o_orderkey") % 2 == 0
+    for part, load in ((~late, True), (late, False)):
+        source.where(part).write.mode("append").parquet(inbox)
+        stream = streams.file_stream(t.spark, inbox, source.schema)
+        streams.stream_merge(stream, table, "o_orderkey", checkpoint, "o_orderdate").awaitTermination()
+        if load:
+            streamed = table.read()
+            for _ in range(2):
+                table.write(merge(t.orders_hwm_tgt, streamed, "o_orderkey", "upsert"))
+    return table.read()
+
+
+@query(
+    "sync_cdc_two_runs",
+    """SELECT CASE WHEN t.o_orderkey IS NULL THEN 'INSERT' ELSE 'UPDATE' END AS operation,
+              CAST(o.o_orderkey AS VARCHAR) AS record_id,
+              t.o_totalprice AS old_price, o.o_totalprice AS new_price
+       FROM orders o LEFT JOIN orders_tgt t ON o.o_orderkey = t.o_orderkey
+       WHERE t.o_orderkey IS NULL OR
+             (t.o_custkey, t.o_orderstatus, t.o_totalprice, t.o_orderdate, t.o_orderpriority)
+             IS DISTINCT FROM
+             (o.o_custkey, o.o_orderstatus, o.o_totalprice, o.o_orderdate, o.o_orderpriority)""",
+    uses=("orders_tgt",),
+)
+def sync_cdc_two_runs(t: Tables) -> DataFrame:
+    """A change-capturing sync over a loaded target, run twice: the second run logs nothing."""
+    base = work_dir(t.spark, "synced")
+    table_at(t.spark, base, "orders").write(t.orders_tgt)
+    spec = SyncSpec("orders", t.orders, "o_orderkey", "cdc")
+    for _ in range(2):
+        sync_table(t.spark, spec, base, RUN_TS)
+
+    def price(side: str) -> Column:
+        return F.get_json_object(side, "$.o_totalprice").cast("double")
+
+    return t.spark.read.parquet(f"{base}/orders_cdc").select(
+        "operation",
+        "record_id",
+        price("old_data").alias("old_price"),
+        price("new_data").alias("new_price"),
+    )
+
+
 @query(
     "stream_cdc_log",
     """SELECT 'orders' AS table_name, 'INSERT' AS operation,
@@ -322,13 +407,10 @@ def stream_incremental_merge(t: Tables) -> DataFrame:
        FROM orders""",
 )
 def stream_cdc_log(t: Tables) -> DataFrame:
-    orders, path = t.orders, work_dir(t.spark, "log")
-    arriving = streams.file_stream(
-        t.spark, as_files(t, orders, "o_orderkey"), orders.schema, files_per_batch=2
-    )
+    path = work_dir(t.spark, "log")
     checkpoint = work_dir(t.spark, "checkpoint")
     streams.stream_change_log(
-        arriving, path, "orders", "o_orderkey", "o_orderdate", checkpoint
+        arriving(t, t.orders), path, "orders", "o_orderkey", "o_orderdate", checkpoint
     ).awaitTermination()
     customer = F.get_json_object("new_data", "$.o_custkey").cast("long").alias("o_custkey")
     return t.spark.read.parquet(path).select(
@@ -345,8 +427,8 @@ def stream_dedupe(t: Tables) -> DataFrame:
     checkpoint = work_dir(t.spark, "checkpoint")
     for poll in (first, t.orders.where(F.col("o_orderdate") >= F.lit(mark).cast("timestamp_ntz"))):
         poll.write.mode("append").parquet(inbox)
-        arriving = streams.file_stream(t.spark, inbox, first.schema)
-        unique = streams.stream_dedupe(arriving, "o_orderkey", "o_orderdate", "2 days")
+        polled = streams.file_stream(t.spark, inbox, first.schema)
+        unique = streams.stream_dedupe(polled, "o_orderkey", "o_orderdate", "2 days")
         streams.write_stream(unique, out, checkpoint).awaitTermination()
     return t.spark.read.parquet(out)
 

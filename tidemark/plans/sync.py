@@ -10,18 +10,17 @@ extract that way; ``cdc`` upserts and appends to a change log.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import replace
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.names import check_identifier
+from tidemark.functions.names import as_list, check_identifier, cols
 from tidemark.operators.audit import append_run
-from tidemark.operators.change_log import append_log
+from tidemark.operators.change_log import append_log, diff, to_log
 from tidemark.operators.incremental import (
     incremental_filter,
     incremental_version,
@@ -90,6 +89,8 @@ def merge_into(
     mode: str,
     version: int | None = None,
     prepare=None,
+    stream: str | None = None,
+    batch_id: int | None = None,
     **options,
 ) -> int:
     """Merge staged ``rows`` into ``table`` as its next version (or as ``version``).
@@ -101,8 +102,10 @@ def merge_into(
     base = table.version(below=version)
     if base is None:
         before = table.spark.createDataFrame([], rows.schema)
-        return table.write(sync_by_mode(before, rows, keys, mode, **options), version)
-    if isinstance(table, BucketedTable) and mode not in WHOLE_TABLE_MODES:
+        return table.write(sync_by_mode(before, rows, keys, mode, **options), version, stream, batch_id)
+    by_bucket = isinstance(table, BucketedTable) and mode not in WHOLE_TABLE_MODES
+    # A table that was split in another way, or not at all, is written anew as a whole.
+    if by_bucket and table.stored_types() is not None:
         buckets = table.touched(rows)
         before = table.read(base, buckets)
     else:
@@ -111,8 +114,8 @@ def merge_into(
         rows = prepare(rows, before)
     merged = sync_by_mode(before, rows, keys, mode, **options)
     if buckets is None:
-        return table.write(merged, version)
-    return table.write_buckets(merged, buckets, version)
+        return table.write(merged, version, stream, batch_id)
+    return table.write_buckets(merged, buckets, version, stream, batch_id)
 
 
 def full_load(table: VersionedTable, source: DataFrame) -> int:
@@ -168,9 +171,8 @@ def sync_table(spark: SparkSession, spec: SyncSpec, base: str, run_ts: object) -
     table = table_at(spark, base, spec.target, spec.keys, spec.buckets)
     current = table.read() if table.exists() else None
     if spec.mode == "version_sync" and versions_too_wide(spark, spec):
-        # Every row, still with its version, so that later runs can go on by version.
+        # Every row is taken again and merged by version; nothing is deleted.
         rows = extract(spark, spec, None, run_ts)
-        spec = replace(spec, mode="full_sync")
     else:
         rows = extract(spark, spec, current, run_ts)
     if spec.mode == "full_copy":
@@ -183,10 +185,7 @@ def sync_table(spark: SparkSession, spec: SyncSpec, base: str, run_ts: object) -
             return {"staged_rows": 0, **_outcome(table)}
         version = table.next_version()
         if spec.mode == "cdc":
-            # Named by version and replaced as a whole: a retry does not log twice.
-            log = append_log(stage.rows, spec.target, spec.keys, run_ts)
-            folder = f"{base}/{spec.target}_cdc/version={version}"
-            log.write.mode("overwrite").parquet(folder)
+            write_changes(current, stage.rows, spec.target, spec.keys, base, version, run_ts)
         merge_into(
             table,
             stage.rows,
@@ -201,9 +200,35 @@ def sync_table(spark: SparkSession, spec: SyncSpec, base: str, run_ts: object) -
         return {"staged_rows": stage.row_count, **_outcome(table), **found}
 
 
+def write_changes(
+    current: DataFrame | None,
+    rows: DataFrame,
+    name: str,
+    keys: Sequence[str],
+    base: str,
+    version: int,
+    run_ts: object,
+) -> None:
+    """Log what ``rows`` change in the stored table: INSERT and UPDATE with old and new values,
+    nothing for rows that are equal. Stored rows that an extract lacks are no deletions.
+
+    The folder is named by version and replaced as a whole: a retry does not log twice.
+    """
+    if current is None:
+        log = append_log(rows, name, keys, run_ts)
+    else:
+        before = current.select(*cols(rows.columns)).join(
+            rows.select(*cols(keys)).distinct(), list(keys), "left_semi"
+        )
+        log = to_log(diff(before, rows, list(keys)), name, list(keys), run_ts)
+    log.write.mode("overwrite").parquet(f"{base}/{name}_cdc/version={version}")
+
+
 def versions_too_wide(spark: SparkSession, spec: SyncSpec) -> bool:
-    """Must a version sync fall back to a full one? Raises when no row has a version."""
-    chosen = version_mode(scan(spark, spec.source), spec.incremental_field).first()["mode"]
+    """Must a version sync look at every row? Raises when no row has a version."""
+    chosen = version_mode(
+        scan(spark, spec.source), spec.incremental_field, spec.version_range_limit
+    ).first()["mode"]
     if chosen == "incremental_timestamp":
         raise ValueError(f"{spec.target}: no row has a version; sync by a timestamp instead")
     return chosen == "full_sync"
@@ -245,7 +270,7 @@ def sync_all(
         try:
             row |= {"status": "completed", **sync_table(spark, spec, base, run_ts)}
         except Exception as e:  # one table's failure must not stop the others
-            row |= {"status": "failed", "message": f"{type(e).__name__}: {e}"[:2000]}
+            row |= {"status": "failed", "message": f"{type(e).__name__}: {e}"}
         return row | {"ended_at": _now()}
 
     with ThreadPoolExecutor(max_workers=max_concurrent) as pool:
@@ -298,25 +323,45 @@ def fan_out(
     targets: Sequence[TargetSpec],
     base: str,
     keys: Sequence[str] = (),
+    run_ts: object = None,
+    max_concurrent: int = 2,
 ) -> DataFrame:
-    """Write one source to several targets, each with its own mode and filter.
+    """Write one source to several targets, each with its own mode and filter, a few at a time.
+
+    A target's first load goes through the same merge as later ones, so its policy for
+    repeated keys holds from the start. ``keys`` are those of targets that name none.
 
     Returns (target, row_count), or raises when any target failed. Each target scans the
     source with its own filter: on files that reads less than caching the whole source
     would, and a lost executor costs a task, not the cache.
     """
-    failures: Mapping[str, Exception] = {}
-    rows = []
-    for t in targets:
+    run_ts = run_ts or _now()
+
+    def run(t: TargetSpec) -> tuple[str, int | None, str | None]:
         try:
             table = table_at(spark, base, t.name)
             mine = source.where(t.where) if t.where else source
-            if t.mode != "full_copy" and table.exists():
-                mine = sync_by_mode(table.read(), mine, keys, t.mode)
-            table.write(mine)
-            rows.append((t.name, table.row_count()))
-        except Exception as e:
-            failures[t.name] = e
+            own_keys = t.keys or tuple(as_list(keys))
+            if t.mode == "full_copy":
+                full_load(table, mine)
+                return t.name, table.row_count(), None
+            if not own_keys:
+                raise ValueError(f"{t.mode} needs at least one key column")
+            options = {"on_duplicate": t.on_duplicate, "order_by": t.order_by, "run_ts": run_ts}
+            with staged(spark, mine) as stage:
+                if t.mode == "cdc":
+                    current = table.read() if table.exists() else None
+                    write_changes(
+                        current, stage.rows, t.name, own_keys, base, table.next_version(), run_ts
+                    )
+                merge_into(table, stage.rows, own_keys, t.mode, **options)
+            return t.name, table.row_count(), None
+        except Exception as e:  # the other targets go on
+            return t.name, None, f"{type(e).__name__}: {e}"
+
+    with ThreadPoolExecutor(max_workers=max_concurrent) as pool:
+        results = list(pool.map(inheritable_thread_target(spark)(run), targets))
+    failures = {name: message for name, _, message in results if message}
     if failures:
-        raise RuntimeError(f"targets failed: { {k: str(v) for k, v in failures.items()} }")
-    return spark.createDataFrame(rows, "target string, row_count long")
+        raise RuntimeError(f"targets failed: {failures}")
+    return spark.createDataFrame([r[:2] for r in results], "target string, row_count long")

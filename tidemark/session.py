@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -45,7 +46,8 @@ def shared_dir(spark: SparkSession) -> str:
     configured = spark.conf.get(CHECKPOINT_DIR, None)
     if configured:
         return configured.rstrip("/")
-    if not spark.conf.get("spark.master", "").startswith("local"):
+    # local, local[4], local[*]; not local-cluster[...], whose executors are processes of their own.
+    if not re.fullmatch(r"local(\[.*\])?", spark.conf.get("spark.master", "")):
         raise RuntimeError(f"set {CHECKPOINT_DIR} to a folder that every executor can reach")
     application = spark.sparkContext.applicationId
     if application not in _fallback:

@@ -100,10 +100,13 @@ def chunk_by_key(
 def balanced_chunks(df: DataFrame, key: str, n: int) -> DataFrame:
     """The rows in ``n`` partitions of ascending key ranges with about equal row counts.
 
+    Rows of one key may lie in several partitions: a hash of the row splits a frequent key.
+
     For keys that are unevenly spread, where equal key ranges would differ in size. Spark
     samples the keys to find the ranges. Writing the result gives one file per chunk.
     """
-    return df.repartitionByRange(n, col(key)).sortWithinPartitions(col(key))
+    spread = F.xxhash64(*cols(df.columns))
+    return df.repartitionByRange(n, col(key), spread).sortWithinPartitions(col(key))
 
 
 def chunk_stats(chunked: DataFrame, key: str) -> DataFrame:

@@ -35,13 +35,14 @@ def read_csv_text(
     path: str,
     columns: Sequence[str],
     file_columns: Sequence[str] | None = None,
-    multi_line: bool = True,
+    *,
+    multi_line: bool,
 ) -> DataFrame:
     """Read CSV as text columns, in the order of ``columns``.
 
     ``file_columns`` is the order in the file, by default the same. Empty fields are NULL,
     a literal ``NA`` stays text. ``multi_line`` allows line breaks inside quotes, at the
-    price of one task per file; turn it off for a huge file that has none.
+    price of one task per file; without it large files are read split.
     """
     names = list(file_columns or columns)
     schema = T.StructType([T.StructField(n, T.StringType()) for n in names])
@@ -55,8 +56,8 @@ def ndjson_line(df: DataFrame) -> Column:
     return F.to_json(F.struct(*cols(df.columns)), {"ignoreNullFields": "false"})
 
 
-def to_ndjson(df: DataFrame, limit: int = 1000, order_by: str | Sequence[str] = ()) -> DataFrame:
-    """The first ``limit`` rows as JSON text in column ``line``."""
+def to_ndjson(df: DataFrame, limit: int, order_by: str | Sequence[str] = ()) -> DataFrame:
+    """The first ``limit`` rows as JSON text in column ``line``; :func:`write_ndjson` has all."""
     if not NDJSON_MIN <= limit <= NDJSON_MAX:
         raise ValueError(f"limit must be between {NDJSON_MIN} and {NDJSON_MAX}")
     ordered = df.orderBy(*cols(as_list(order_by))) if order_by else df

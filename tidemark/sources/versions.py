@@ -5,7 +5,11 @@ the current version. A write that fails leaves no commit row, so readers keep th
 version; the next write reuses the number. There is one writer per table at a time.
 
 A table may be split into key buckets. Then a commit row names one bucket, and a merge
-rewrites only the buckets that hold staged keys and carries the others by reference.
+rewrites only the buckets that hold staged keys and carries the others by reference. Each
+commit records how its buckets were made (keys, their types, number); a table that is opened
+with another layout is read whole and written anew in it once.
+
+A commit may name the stream and batch it came from, so that a replayed batch is known.
 """
 
 from __future__ import annotations
@@ -27,6 +31,10 @@ COMMIT = T.StructType(
         T.StructField("path", T.StringType()),
         T.StructField("row_count", T.LongType()),
         T.StructField("table_schema", T.StringType()),
+        T.StructField("layout", T.StringType()),
+        T.StructField("is_full", T.BooleanType()),
+        T.StructField("stream", T.StringType()),
+        T.StructField("batch_id", T.LongType()),
     ]
 )
 BUCKET = "__bucket"
@@ -81,7 +89,7 @@ class VersionedTable:
     def _entries(self, version: int | None = None) -> list:
         """Newest commit row of each bucket, as of ``version`` or now.
 
-        A whole-table commit replaces all that came before it. What reaches the driver is
+        A commit of the full table replaces all that came before it. What reaches the driver is
         one row per bucket, a number the writer fixed.
         """
         log = self.commits()
@@ -90,11 +98,26 @@ class VersionedTable:
         if version is not None:
             log = log.where(F.col("version") <= version)
         newest = log.groupBy("bucket").agg(
-            F.max_by(F.struct("path", "row_count", "table_schema", "version"), "version").alias("e")
+            F.max_by(
+                F.struct("path", "row_count", "table_schema", "version", "layout"), "version"
+            ).alias("e"),
+            F.max(F.when(F.col("is_full"), F.col("version"))).alias("full_version"),
         )
-        entries = newest.select("bucket", "e.*").collect()
-        whole = max((e["version"] for e in entries if e["bucket"] == WHOLE), default=0)
-        return [e for e in entries if e["version"] >= whole]
+        entries = newest.select("bucket", "e.*", "full_version").collect()
+        full = max((e["full_version"] or 0 for e in entries), default=0)
+        return [e for e in entries if e["version"] >= full]
+
+    def layout(self) -> str | None:
+        """How the current version is split, None for a table in one piece or none at all."""
+        entries = self._entries()
+        return max(entries, key=lambda e: e["version"])["layout"] if entries else None
+
+    def has_batch(self, stream: str, batch_id: int) -> bool:
+        """Was this batch of this stream committed?"""
+        log = self.commits()
+        if log is None:
+            return False
+        return not log.where((F.col("stream") == stream) & (F.col("batch_id") == batch_id)).isEmpty()
 
     def read(self, version: int | None = None, buckets: Sequence[int] | None = None) -> DataFrame:
         """The table at ``version`` (the current one by default), or some of its buckets."""
@@ -119,7 +142,13 @@ class VersionedTable:
     def next_version(self) -> int:
         return (self.version() or 0) + 1
 
-    def write(self, df: DataFrame, version: int | None = None) -> int:
+    def write(
+        self,
+        df: DataFrame,
+        version: int | None = None,
+        stream: str | None = None,
+        batch_id: int | None = None,
+    ) -> int:
         """Write the whole table as a new version and commit it; returns the version.
 
         With an explicit ``version`` that is committed already nothing is written, so a
@@ -132,7 +161,7 @@ class VersionedTable:
             return version
         path = f"{self.base}/v={version}"
         rows = counted_write(df, path)
-        self._append([(version, WHOLE, path, rows, df.schema.json())])
+        self._append([(version, WHOLE, path, rows, df.schema.json(), None, True, stream, batch_id)])
         return version
 
     def row_count(self) -> int:
@@ -140,9 +169,13 @@ class VersionedTable:
         return sum(e["row_count"] for e in self._entries())
 
 
-def bucket_of(keys: str | Sequence[str], n: int) -> Column:
-    """The bucket of a key, 0 to n - 1; the same for the same key in every table."""
-    return F.pmod(F.xxhash64(*cols(as_list(keys))), F.lit(n)).cast("int")
+def bucket_of(keys: str | Sequence[str], n: int, types: Sequence[str] | None = None) -> Column:
+    """The bucket of a key, 0 to n - 1. The hash depends on the key's type: ``types`` are those
+    the keys are cast to first."""
+    columns = cols(as_list(keys))
+    if types is not None:
+        columns = [F.col(c).cast(t) for c, t in zip(columns, types, strict=True)]
+    return F.pmod(F.xxhash64(*columns), F.lit(n)).cast("int")
 
 
 @dataclass(frozen=True)
@@ -156,15 +189,41 @@ class BucketedTable(VersionedTable):
     keys: tuple[str, ...]
     n: int
 
+    def layout_of(self, schema: T.StructType) -> str:
+        types = [schema[k].dataType.simpleString() for k in self.keys]
+        return json.dumps({"keys": list(self.keys), "types": types, "n": self.n})
+
+    def stored_types(self) -> list[str] | None:
+        """Types of the stored keys if the table is split the way this object says."""
+        found = json.loads(self.layout() or "{}")
+        same = found.get("keys") == list(self.keys) and found.get("n") == self.n
+        return found["types"] if same else None
+
     def touched(self, stage: DataFrame) -> list[int]:
-        """Buckets that hold staged keys: at most ``n`` small numbers."""
-        found = stage.select(bucket_of(self.keys, self.n).alias(BUCKET)).distinct().collect()
+        """Buckets of the stored table that hold staged keys: at most ``n`` small numbers."""
+        types = self.stored_types()
+        if types is None:
+            raise ValueError(f"{self.base} is not split by {self.keys} into {self.n} buckets")
+        found = stage.select(bucket_of(self.keys, self.n, types).alias(BUCKET)).distinct().collect()
         return sorted(r[0] for r in found)
 
     def write_buckets(
-        self, df: DataFrame, buckets: Sequence[int], version: int | None = None
+        self,
+        df: DataFrame,
+        buckets: Sequence[int],
+        version: int | None = None,
+        stream: str | None = None,
+        batch_id: int | None = None,
     ) -> int:
-        """Replace ``buckets`` by the rows of ``df`` and commit; other buckets stay."""
+        """Replace ``buckets`` by the rows of ``df`` and commit; other buckets stay.
+
+        Raises when ``df`` has rows of other buckets, or when only some buckets are written
+        to a table that is split in another way.
+        """
+        full = set(buckets) == set(range(self.n))
+        layout = self.layout_of(df.schema)
+        if not full and self.layout() != layout:
+            raise ValueError(f"{self.base} is split in another way: {self.layout()}, not {layout}")
         current = self.version()
         if version is None:
             version = (current or 0) + 1
@@ -174,7 +233,8 @@ class BucketedTable(VersionedTable):
             return current or 0
         path = f"{self.base}/v={version}"
         # Rebalance by bucket: few files per bucket, and a large bucket is split.
-        rows = df.withColumn(BUCKET, bucket_of(self.keys, self.n)).hint("rebalance", BUCKET)
+        types = json.loads(layout)["types"]
+        rows = df.withColumn(BUCKET, bucket_of(self.keys, self.n, types)).hint("rebalance", BUCKET)
         counted_write(rows, path, partition_by=BUCKET)
         schema = df.schema.json()
         written = (
@@ -185,13 +245,21 @@ class BucketedTable(VersionedTable):
             .collect()
         )
         counts = {r[0]: r[1] for r in written}
+        if not set(counts) <= set(buckets):
+            raise RuntimeError(f"rows of buckets {sorted(set(counts) - set(buckets))} are not committed")
         self._append(
             [
-                (version, b, f"{path}/{BUCKET}={b}", counts.get(b, 0), schema)
+                (version, b, f"{path}/{BUCKET}={b}", counts.get(b, 0), schema, layout, full, stream, batch_id)
                 for b in buckets
             ]
         )
         return version
 
-    def write(self, df: DataFrame, version: int | None = None) -> int:
-        return self.write_buckets(df, range(self.n), version)
+    def write(
+        self,
+        df: DataFrame,
+        version: int | None = None,
+        stream: str | None = None,
+        batch_id: int | None = None,
+    ) -> int:
+        return self.write_buckets(df, range(self.n), version, stream, batch_id)

@@ -25,14 +25,21 @@ DUPLICATE_POLICIES = ("error", "latest", "keep", "unique")
 
 @dataclass(frozen=True)
 class TargetSpec:
-    """One of several targets of a fan-out: its own mode and its own filter."""
+    """One of several targets of a fan-out: its own mode, filter, keys and duplicate policy."""
 
     name: str
     mode: str = "full_copy"
     where: str | None = None
+    keys: tuple[str, ...] = ()
+    on_duplicate: str = "error"
+    order_by: tuple[str, ...] = ()
 
     def __post_init__(self) -> None:
+        object.__setattr__(self, "keys", tuple(as_list(self.keys)))
+        object.__setattr__(self, "order_by", tuple(as_list(self.order_by)))
         check_identifier(self.name)
+        if self.on_duplicate not in DUPLICATE_POLICIES:
+            raise ValueError(f"unknown duplicate policy: {self.on_duplicate!r}")
         if self.mode not in MODES:
             raise ValueError(f"unknown sync mode: {self.mode!r}")
 
@@ -44,7 +51,9 @@ class SyncSpec:
     ``source`` is anything :func:`tidemark.sources.scan.scan` reads. ``where`` replaces
     the incremental filter unless ``combine="and"``; ``lag`` moves the high-water mark back
     for late rows. For ``version_sync`` ``incremental_field`` is the row version, and
-    ``where`` holds in addition. ``on_duplicate`` says what to do
+    ``where`` holds in addition; with a ``version_range_limit``, for sources whose versions wrap
+    around, a range that reaches it makes the sync look at every row, deleting none.
+    ``on_duplicate`` says what to do
     with a key that is staged twice; ``latest`` needs ``order_by``. With ``buckets`` the
     target is split by key and a merge rewrites only the buckets it touches. With ``shape``
     the extract is cleaned by declared type and brought into that shape. ``check_keys``
@@ -60,6 +69,7 @@ class SyncSpec:
     where: str | None = None
     combine: str = "exclusive"
     lag: str | int | None = None
+    version_range_limit: int | None = None
     on_duplicate: str = "error"
     order_by: tuple[str, ...] = ()
     buckets: int | None = None

@@ -1,7 +1,7 @@
 """Structured Streaming forms of incremental sync.
 
-Each micro-batch writes under a name taken from its batch id, so replaying a batch after a
-failure has no further effect.
+Each micro-batch is written under its batch id, or commits it with its rows, so replaying a
+batch after a failure has no further effect.
 """
 
 from __future__ import annotations
@@ -54,20 +54,18 @@ def stream_merge(
 ) -> StreamingQuery:
     """Merge each micro-batch into ``table``: clean, keep the latest row per key, merge.
 
-    Batch ``n`` reads the newest version below its own and writes version ``first + n``. A
-    replayed batch finds its version committed and does nothing. By ``order_by`` the latest
+    A batch becomes the table's next version, and its commit names the stream (by its
+    checkpoint) and the batch: only a batch that was committed is skipped on replay, whatever
+    else wrote to the table between. By ``order_by`` the latest
     row of a key wins, in whichever batch it comes (of equal ones, the later batch).
     """
     keys, order_by = as_list(keys), as_list(order_by)
-    # Where this stream's versions start must survive a restart: it is fixed at first use.
-    first = _first_version(table, checkpoint)
 
     def not_older_rows(rows: DataFrame, target: DataFrame) -> DataFrame:
         return not_older(rows, target, keys, order_by)
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        version = first + batch_id
-        if (table.version() or 0) >= version:
+        if table.has_batch(checkpoint, batch_id):
             return
         rows = prepare(batch) if prepare else batch
         with staged(table.spark, dedupe(rows, keys, order_by)) as stage:
@@ -80,22 +78,15 @@ def stream_merge(
                 stage.rows,
                 keys,
                 mode,
-                version,
                 prepare=not_older_rows,
+                stream=checkpoint,
+                batch_id=batch_id,
                 on_duplicate="unique",
             )
 
     return _each_batch(stream, checkpoint, process)
 
 
-def _first_version(table: VersionedTable, checkpoint: str) -> int:
-    """The version of batch 0, kept as a one-row table next to the checkpoint."""
-    spark, note = table.spark, VersionedTable(table.spark, f"{checkpoint}_start")
-    if not note.exists():
-        note.write(spark.createDataFrame([(table.next_version(),)], "first long"))
-    return note.read().first()[0]
-
-
 def stream_change_log(
     stream: DataFrame, path: str, name: str, keys: str | Sequence[str], ts: str, checkpoint: str
 ) -> StreamingQuery:
@@ -117,7 +108,10 @@ def stream_dedupe(
 ) -> DataFrame:
     """Drop repeats of a key that arrive within ``delay`` of each other.
 
-    State is kept per key only until the watermark passes, so it stays bounded.
+    State is kept per key only until the watermark passes, so it stays bounded. The price: rows
+    that arrive later than ``delay`` behind the newest one are dropped as well, also of keys
+    never seen before. Where such rows must survive use :func:`stream_merge`, which keeps the
+    keys in its table and has no watermark.
     """
     keys = as_list(keys)
     event_time = "__event_time"
