@@ -178,3 +178,28 @@ def test_log_rows(spark):
         "new_data": '{"k":"a","v":null,"w":"한"}',
         "changed_at": T1,
     }
+
+
+def test_stored_history(spark, rows, tmp_path):
+    from tidemark.plans.snapshots import SnapshotTable
+
+    def table(**kw):
+        return SnapshotTable(spark, str(tmp_path / "h"), "k", hard_deletes=True, **kw)
+
+    def load(data, schema="k int, v string"):
+        return spark.createDataFrame(data, schema)
+
+    days = [f"2025-01-0{d} 00:00:00" for d in range(1, 6)]
+    table().run(load([(1, "a"), (2, "b")]), days[0])
+    assert table().run(load([(1, "A"), (3, "c")]), days[1]) == 2
+    once = rows(table().read())
+    assert table().run(load([(9, "never seen")]), days[1]) == 2
+    assert rows(table().read()) == once and len(once) == 4
+    table().run(load([(1, "A"), (3, "c")]), days[2])
+    assert rows(table().read()) == once
+    wider = load([(1, "A", 5), (3, "c", 6)], "k int, v string, n int")
+    with pytest.raises(ValueError, match="lacks"):
+        table().run(wider, days[3])
+    table(on_new_column="add").run(wider, days[4])
+    got = table().read()
+    assert got.where("n is not null").count() == 2 and got.count() == 6

@@ -15,6 +15,7 @@ from tidemark.operators.merge import merge, merge_stats
 from tidemark.operators.stage import staged
 from tidemark.plans import models
 from tidemark.plans.registry import Tables, query
+from tidemark.plans.snapshots import SnapshotTable
 from tidemark.plans.sync import merge_into, sync_all, sync_by_mode, sync_table, table_at
 from tidemark.session import work_dir
 from tidemark.sources.versions import BucketedTable, VersionedTable
@@ -535,6 +536,18 @@ def snapshot_hard_delete(t: Tables) -> DataFrame:
     return two_loads(t, True).select(*SNAPSHOT_COLUMNS)
 
 
+@query("snapshot_three_runs", snapshot_sql(True), uses=STOCK)
+def snapshot_three_runs(t: Tables) -> DataFrame:
+    """A stored history after two loads and a repetition of the second, which changes nothing."""
+    table = SnapshotTable(
+        t.spark, work_dir(t.spark, "history"), "pk", check_cols=tuple(CHECKED), hard_deletes=True
+    )
+    table.run(with_pk(t.stock_master), FIRST_TS)
+    for _ in range(2):
+        table.run(with_pk(t.stock_master_v2), RUN_TS)
+    return table.read().select(*SNAPSHOT_COLUMNS)
+
+
 @query(
     "snapshot_timestamp",
     f"""{LATEST_SQL}
