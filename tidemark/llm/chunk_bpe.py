@@ -85,6 +85,8 @@ def chunk_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 entry = seen.setdefault(chunk_key(text[at:end]), [end - at, 0])
                 entry[1] += 1
                 at = end
+        if not seen:
+            continue
         yield pd.DataFrame(
             {"key": list(seen), "n_chars": [e[0] for e in seen.values()],
              "times": [e[1] for e in seen.values()]}
@@ -105,7 +107,8 @@ def chunk_texts(wanted):
                     if key in keys and key not in found:
                         found[key] = text[at:end]
                     at = end
-            yield pd.DataFrame({"key": list(found), "chunk": list(found.values())})
+            if found:
+                yield pd.DataFrame({"key": list(found), "chunk": list(found.values())})
 
     return run
 
@@ -128,7 +131,8 @@ def encoded_chunks(path: str):
                 if start is not None and second is not None and last is not None:
                     ids = bpe.encode(chunk[start:last])
                     rows.append((key, start, second, last, len(bpe.encode(chunk[start:second])), ids))
-            yield pd.DataFrame(rows, columns=["key", "start", "second", "last", "probe", "ids"])
+            if rows:
+                yield pd.DataFrame(rows, columns=["key", "start", "second", "last", "probe", "ids"])
 
     return run
 

@@ -237,7 +237,8 @@ def ordered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             found = runs(np.ascontiguousarray(marks[leads[k] :, k]))
             rows.append((names[k], [{"lo": a, "hi": b} for a, b in found]))
         columns.close()
-        return pd.DataFrame(rows, columns=["name", "ranges"])
+        # Arrow takes no frame without rows for a binary column.
+        return [pd.DataFrame(rows, columns=["name", "ranges"])] if rows else []
 
     for batch in batches:
         start = 0
@@ -247,7 +248,7 @@ def ordered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             if end == start:
                 continue
             if anchor[start] != last_anchor and columns.count >= COLLECTION:
-                yield close()
+                yield from close()
                 columns, names, leads = Columns(), [], []
             last_anchor = anchor[start]
             part = batch.iloc[start:end]
@@ -263,7 +264,7 @@ def ordered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 columns.add(fresh, at)
             start = end
     if columns.count:
-        yield close()
+        yield from close()
 
 
 def united(h_ranges: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:

@@ -135,13 +135,28 @@ def forward_backward(field: Field, x: np.ndarray, pairs: bool = False):
     return marginal, joint.sum((2, 3))
 
 
-def toxic_kinds(texts: list[list[str]], toxic: list[bool]) -> set[str]:
+class Sample:
+    """Training texts as numbers of their words: each distinct word is kept once."""
+
+    def __init__(self, rows: list[tuple[str, bool]]):
+        number: dict[str, int] = {"": 0}
+        self.words = [
+            np.asarray([number.setdefault(w, len(number)) for w in WORD.findall(lowered(t))], np.int32)
+            for t, _ in rows
+        ]
+        self.toxic = [y for _, y in rows]
+        self.names = list(number)
+
+    def packed(self, kinds: dict[str, int]) -> list[np.ndarray]:
+        each = packed(KindIds(kinds), self.names)
+        return [each[w] for w in self.words]
+
+
+def toxic_kinds(sample: Sample) -> set[str]:
     """Words and prefixes that toxic texts hold far beyond expectation, by distinct contexts."""
-    number: dict[str, int] = {"": 0}
-    flat = [number.setdefault(w, len(number)) for words in texts for w in [*words, ""]]
-    word = np.asarray(flat, np.int64)
-    y = np.repeat(np.asarray(toxic, np.int64), [len(words) + 1 for words in texts])
-    names = list(number)
+    names = sample.names
+    word = np.concatenate([np.append(w, 0) for w in sample.words]).astype(np.int64)
+    y = np.repeat(np.asarray(sample.toxic, np.int8), [len(w) + 1 for w in sample.words])
     before, after = np.roll(word, 1), np.roll(word, -1)
     with np.errstate(over="ignore"):
         context = before * np.int64(0x9E3779B97F4A7C1) + after * np.int64(0x7F4A7C159E3779B)
@@ -167,48 +182,52 @@ def toxic_kinds(texts: list[list[str]], toxic: list[bool]) -> set[str]:
     return found
 
 
-def fitted_chains(texts: list[list[str]], toxic: list[bool]) -> Field:
+def fitted_chains(sample: Sample) -> Field:
     """The field fitted to the tagged tokens by AdaGrad on the conditional likelihood."""
-    marked = toxic_kinds(texts, toxic)
-    counts = Counter(kind for t in texts for w in t for kind in (w, *prefixes(w)))
+    if not any(len(w) for w in sample.words):
+        return Field({}, np.zeros((5, 1)), -3.0, np.zeros((2, 2)), np.zeros(3))
+    marked = toxic_kinds(sample)
+    times = np.bincount(np.concatenate(sample.words), minlength=len(sample.names))
+    counts: Counter = Counter()
+    for name, n in zip(sample.names[1:], times[1:].tolist(), strict=True):
+        for kind in (name, *prefixes(name)):
+            counts[kind] += n
     ranked = sorted(counts, key=lambda k: (k not in marked, -counts[k], k))[:LEXICON]
     kinds = {k: i + 1 for i, k in enumerate(ranked)}
     size = len(kinds) + 1
     field = Field(kinds, np.zeros((5, size)), -3.0, np.zeros((2, 2)), np.zeros(3))
     is_marked = np.zeros(size, bool)
     is_marked[[kinds[k] for k in marked if k in kinds]] = True
-    memo = KindIds(kinds)
-    x, first = lanes([packed(memo, t) for t in texts])
-    if not x.size:
-        return field
-    live = x >= 0
-    each = kinds_of(x)
-    lane_toxic = np.repeat(np.asarray(toxic, bool), np.diff(first))
-    y = (is_marked[each[0]] | is_marked[each[1]] | is_marked[each[2]]) & live & lane_toxic
-    seen_pairs = np.array(
-        [[((y[:-1] == i) & (y[1:] == j) & live[1:]).sum() for j in (0, 1)] for i in (0, 1)]
-    )
-    total = live.sum()
+    every, first = lanes(sample.packed(kinds))
+    lane_toxic = np.repeat(np.asarray(sample.toxic, bool), np.diff(first))
+    parts = [slice(k, k + LANES) for k in range(0, every.shape[1], LANES)]
     square = [np.full_like(field.emission, 1e-8), 1e-8, np.full((2, 2), 1e-8)]
     for _ in range(ITERATIONS):
-        p, joint = forward_backward(field, x, pairs=True)
-        g = np.where(live, y - p, 0)
-        w = each[0]
-
-        def summed(at, values):
-            return np.bincount(at.ravel(), values.ravel(), size)
-
-        grads = np.stack(
-            [*(summed(k, g) for k in each), summed(w[:-1], g[1:]), summed(w[1:], g[:-1])]
-        ) - 0.01 * field.emission
+        grads, pairs, bias, off, total = -0.01 * field.emission, np.zeros((2, 2)), 0.0, 0.0, 0
+        # A part of the lanes at a time, to bound memory.
+        for part in parts:
+            x = every[:, part]
+            live, each = x >= 0, kinds_of(x)
+            y = (is_marked[each[0]] | is_marked[each[1]] | is_marked[each[2]]) & live & lane_toxic[part]
+            p, joint = forward_backward(field, x, pairs=True)
+            g = np.where(live, y - p, 0)
+            w = each[0]
+            for row, (at, values) in enumerate(
+                [*((k, g) for k in each), (w[:-1], g[1:]), (w[1:], g[:-1])]
+            ):
+                grads[row] += np.bincount(at.ravel(), values.ravel(), size)
+            seen = [[((y[:-1] == i) & (y[1:] == j) & live[1:]).sum() for j in (0, 1)] for i in (0, 1)]
+            pairs += np.asarray(seen) - joint
+            bias += float(g.sum())
+            off += float(np.abs(g).sum())
+            total += int(live.sum())
         grads[:, 0] = 0  # kinds outside the lexicon say nothing by themselves
-        for value, grad, k in ((field.emission, grads, 0), (field.transition, seen_pairs - joint, 2)):
+        for value, grad, k in ((field.emission, grads, 0), (field.transition, pairs, 2)):
             square[k] += grad**2
             value += 0.5 * grad / np.sqrt(square[k])
-        bias = float(g.sum())
         square[1] += bias**2
         field.bias += 0.5 * bias / np.sqrt(square[1])
-        if np.abs(g).sum() < 1e-4 * total:
+        if off < 1e-4 * total:
             break
     return field
 
@@ -262,13 +281,11 @@ def fit(docs: DataFrame, labels: DataFrame, train_docs: int = 4_000) -> Field:
         .select("text", "toxic")
         .collect()
     )
-    rows = sorted((r[0], r[1]) for r in rows)
-    toxic = [r[1] for r in rows]
-    texts = [WORD.findall(lowered(r[0])) for r in rows]
-    field = fitted_chains(texts, toxic)
+    sample = Sample(sorted((r[0], r[1]) for r in rows))
+    toxic = sample.toxic
+    field = fitted_chains(sample)
     if rows:
-        memo = KindIds(field.kinds)
-        x, _ = document_features(field, [packed(memo, t) for t in texts])
+        x, _ = document_features(field, sample.packed(field.kinds))
         y = np.asarray(toxic, float)
         n = {v: max(1, toxic.count(v)) for v in (True, False)}
         weight = np.asarray([counts.get(v, 0) / n[v] for v in toxic])
