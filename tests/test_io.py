@@ -502,3 +502,16 @@ def test_fan_out_checks_the_first_load(spark, tmp_path):
     for _ in range(2):
         counts = fan_out(spark, source, [latest, TargetSpec("copy")], str(tmp_path))
         assert sorted(map(tuple, counts.collect())) == [("copy", 3), ("latest", 2)]
+
+
+def test_values_that_do_not_fit_fail_or_are_counted(spark, tmp_path):
+    source = spark.createDataFrame([("1", "abcdef", "x9"), ("2", "ok", "7")], "k string, t string, n string")
+    shape = (ColumnSpec("k", "integer"), ColumnSpec("t", "varchar", max_length=3), ColumnSpec("n", "integer"))
+    for mode in ("full_sync", "full_copy"):
+        s = SyncSpec(f"t_{mode}", source, "k", mode, shape=shape)
+        with pytest.raises(ValueError, match="'t': 1, 'n': 1"):
+            sync_table(spark, s, str(tmp_path), day(9))
+        assert not VersionedTable(spark, f"{tmp_path}/t_{mode}").exists()
+        counted = SyncSpec(f"t_{mode}", source, "k", mode, shape=shape, on_bad_value="null")
+        row = sync_table(spark, counted, str(tmp_path), day(9))
+        assert row["staged_rows"] == 2 and "'n': 1" in row["message"]

@@ -69,6 +69,16 @@ def conform(df: DataFrame, shape: Sequence[ColumnSpec], run_ts: object = None) -
     return df.select(*(value(s).alias(s.name) for s in shape))
 
 
+def lost_values(df: DataFrame, shape: Sequence[ColumnSpec]) -> list[Column]:
+    """Aggregates by column name: how many values :func:`conform` would turn into NULL."""
+    have = {f.name: f.dataType for f in df.schema.fields}
+    return [
+        F.count_if(col(s.name).isNotNull() & _cast(col(s.name), have[s.name], s).isNull()).alias(s.name)
+        for s in shape
+        if s.name in have
+    ]
+
+
 def all_text(df: DataFrame) -> DataFrame:
     """Every column as text."""
     return df.select(*(col(c).cast("string").alias(c) for c in df.columns))

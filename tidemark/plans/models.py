@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.functions.names import check_identifier, col, quote
+from tidemark.operators.stage import staged
 
 # Country codes with a name of their own, price classes from the highest.
 COUNTRY_NAMES = {"US": "미국", "KR": "한국", "JP": "일본", "CN": "중국"}
@@ -88,16 +89,19 @@ def materialize(
 ) -> str:
     """Save a model as a table (replacing it) and return its qualified name.
 
-    ``location`` is the folder of the schema, by default one in the warehouse. ``df`` must
-    not read the table it replaces; Spark refuses that.
+    ``location`` is the folder of the schema, by default one in the warehouse. The rows are
+    made and staged first, so a model that fails leaves the old table as it was; ``df`` may read
+    the table it replaces.
     """
     schema = check_identifier(model_schema(default, custom))
     check_identifier(name)
     create = f"CREATE SCHEMA IF NOT EXISTS {quote(schema)}"
-    spark.sql(f"{create} LOCATION '{location}'" if location else create)
+    path = (location or "").replace("\\", "\\\\").replace("'", "\\'")
+    spark.sql(f"{create} LOCATION '{path}'" if location else create)
     table = f"{quote(schema)}.{quote(name)}"
-    writer = df.write.mode("overwrite")
-    if location:
-        writer = writer.option("path", f"{location}/{name}")
-    writer.saveAsTable(table)
+    with staged(spark, df) as stage:
+        writer = stage.rows.write.mode("overwrite")
+        if location:
+            writer = writer.option("path", f"{location}/{name}")
+        writer.saveAsTable(table)
     return table

@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,7 +30,7 @@ from tidemark.operators.incremental import (
 )
 from tidemark.operators.merge import merge
 from tidemark.operators.reconcile import reconcile_keys
-from tidemark.operators.shape import clean, conform
+from tidemark.operators.shape import clean, conform, lost_values
 from tidemark.operators.stage import staged
 from tidemark.sources.scan import scan
 from tidemark.sources.versions import BucketedTable, VersionedTable
@@ -124,10 +124,16 @@ def full_load(table: VersionedTable, source: DataFrame) -> int:
 
 
 def extract(
-    spark: SparkSession, spec: SyncSpec, target: DataFrame | None, run_ts: object = None
+    spark: SparkSession,
+    spec: SyncSpec,
+    target: DataFrame | None,
+    run_ts: object = None,
+    lost: Observation | None = None,
 ) -> DataFrame:
     """The source rows a sync has to look at, cleaned and shaped if the spec says how.
 
+    ``lost`` gets the number of values per column that do not fit the shape, in the same pass.
+
     The filter is on the source's own columns, so it reaches the scan.
     """
     source = scan(spark, spec.source)
@@ -147,10 +153,20 @@ def extract(
     else:
         rows = source.where(predicate(spec.where, None, beyond, spec.combine))
     if spec.shape:
-        rows = conform(clean(rows, spec.shape), spec.shape, run_ts)
+        rows = clean(rows, spec.shape)
+        counts = lost_values(rows, spec.shape) if lost else []
+        rows = conform(rows.observe(lost, *counts) if counts else rows, spec.shape, run_ts)
     return rows
 
 
+def check_lost(spec: SyncSpec, lost: Observation) -> dict:
+    """Raise for values that were lost, or name them in the result row, as the spec says."""
+    counts = {c: n for c, n in lost.get.items() if n}
+    if counts and spec.on_bad_value == "error":
+        raise ValueError(f"{spec.target}: values that do not fit: {counts}")
+    return {"message": f"values that do not fit: {counts}"} if counts else {}
+
+
 def sync_by_mode(
     target: DataFrame, source: DataFrame, keys: Sequence[str], mode: str, **options
 ) -> DataFrame:
@@ -170,19 +186,25 @@ def sync_table(spark: SparkSession, spec: SyncSpec, base: str, run_ts: object) -
     """Run one sync below the folder ``base``; returns the fields of a result row."""
     table = table_at(spark, base, spec.target, spec.keys, spec.buckets)
     current = table.read() if table.exists() else None
+    lost = Observation()
     if spec.mode == "version_sync" and versions_too_wide(spark, spec):
         # Every row is taken again and merged by version; nothing is deleted.
-        rows = extract(spark, spec, None, run_ts)
+        rows = extract(spark, spec, None, run_ts, lost)
     else:
-        rows = extract(spark, spec, current, run_ts)
-    if spec.mode == "full_copy":
+        rows = extract(spark, spec, current, run_ts, lost)
+    if spec.mode == "full_copy" and not spec.shape:
         full_load(table, rows)
         found = check_keys(spec, rows, table) if spec.check_keys else {}
         return {"staged_rows": table.row_count(), **_outcome(table), **found}
     with staged(spark, rows) as stage:
+        bad = check_lost(spec, lost) if spec.shape else {}
+        if spec.mode == "full_copy":
+            full_load(table, stage.rows)
+            found = check_keys(spec, stage.rows, table) if spec.check_keys else {}
+            return {"staged_rows": stage.row_count, **_outcome(table), **found, **bad}
         if not stage.row_count and current is not None and spec.mode not in WHOLE_TABLE_MODES:
             # Nothing new: the target is not rewritten.
-            return {"staged_rows": 0, **_outcome(table)}
+            return {"staged_rows": 0, **_outcome(table), **bad}
         version = table.next_version()
         if spec.mode == "cdc":
             write_changes(current, stage.rows, spec.target, spec.keys, base, version, run_ts)
@@ -197,7 +219,7 @@ def sync_table(spark: SparkSession, spec: SyncSpec, base: str, run_ts: object) -
             run_ts=run_ts,
         )
         found = check_keys(spec, stage.rows, table) if spec.check_keys else {}
-        return {"staged_rows": stage.row_count, **_outcome(table), **found}
+        return {"staged_rows": stage.row_count, **_outcome(table), **found, **bad}
 
 
 def write_changes(

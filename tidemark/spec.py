@@ -56,7 +56,8 @@ class SyncSpec:
     ``on_duplicate`` says what to do
     with a key that is staged twice; ``latest`` needs ``order_by``. With ``buckets`` the
     target is split by key and a merge rewrites only the buckets it touches. With ``shape``
-    the extract is cleaned by declared type and brought into that shape. ``check_keys``
+    the extract is cleaned by declared type and brought into that shape; values that do not fit
+    fail the sync, or become NULL and are counted with ``on_bad_value="null"``. ``check_keys``
     compares staged with target keys after the write.
     """
 
@@ -74,6 +75,7 @@ class SyncSpec:
     order_by: tuple[str, ...] = ()
     buckets: int | None = None
     shape: tuple[ColumnSpec, ...] = ()
+    on_bad_value: str = "error"
     check_keys: bool = False
     enabled: bool = True
 
@@ -101,6 +103,8 @@ class SyncSpec:
             raise ValueError(f"unknown duplicate policy: {self.on_duplicate!r}")
         if self.buckets is not None and (self.buckets < 1 or not self.keys):
             raise ValueError("buckets must be at least 1 and needs key columns")
+        if self.on_bad_value not in ("error", "null"):
+            raise ValueError(f"unknown policy for bad values: {self.on_bad_value!r}")
         if self.check_keys and not self.keys:
             raise ValueError("check_keys needs key columns")
         if self.on_duplicate == "latest" and not self.order_by:
