@@ -78,12 +78,13 @@ def test_split_and_like(spark):
 
 
 def test_version_mode(spark):
-    def mode(rows):
+    def mode(rows, limit=2_000_000_000):
         df = spark.createDataFrame([(r,) for r in rows], "v long")
-        return tuple(I.version_mode(df, "v").first())
+        return tuple(I.version_mode(df, "v", limit).first())
 
     assert mode([5, 9]) == (9, 4, "incremental_version")
     assert mode([0, 2_000_000_000]) == (2_000_000_000, 2_000_000_000, "full_sync")
+    assert mode([0, 2_000_000_000], None)[2] == "incremental_version"
     assert mode([None]) == (0, 0, "incremental_timestamp")
 
 
