@@ -11,8 +11,9 @@ Only connected components are asked for, so pairs within a group aren't all visi
 1. Texts with equal sets are one node.
 2. Each node is verified against the node that is the least one in most of its prefix entries.
    Near copies of one text thereby become one component, in time linear in their number.
-3. All pairs that share enough entries and lie in different components are verified. No link
-   is lost: a pair that isn't visited is connected already.
+3. Of all pairs that share enough entries and lie in different components, first each node is
+   verified against the one it shares most with, then the pairs that still lie apart. No link is
+   lost: a pair that isn't visited is connected already.
 Verification counts exactly, over whole sets made again from the texts.
 """
 
@@ -150,23 +151,34 @@ def verified(words: int, percent: int):
     return run
 
 
-def _links(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` of nodes that are linked; texts are fetched once for the nodes in them."""
+def _texts(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
+    """``(node, text)`` of the nodes in ``pairs``, fetched once."""
     asked = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
     heads = asked.join(nodes, "node").select("node", "head")
-    texts = saved(
+    return saved(
         docs.select(F.col("doc_id").alias("head"), "text").join(heads, "head")
-        # An id may stand on several texts: any of the node's own set will do.
         # Repeated rows once; of several texts of one id the verification keeps the node's own.
         .groupBy("node", F.xxhash64("text").alias("hash")).agg(F.first("text").alias("text")),
         "candidate-texts",
     )
+
+
+def _links(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` of nodes that are linked."""
     a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
     rows = pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "text_a", "b", "text_b")
     return saved(rows.mapInPandas(verified(words, percent), "a bigint, b bigint"), "links")
 
 
+def _standing_for(pairs: DataFrame, joined: DataFrame) -> DataFrame:
+    """``pairs`` with the components ``ca`` and ``cb`` of their ends."""
+    for end in ("a", "b"):
+        own = joined.select(F.col("id").alias(end), F.col("component_id").alias(f"c{end}"))
+        pairs = pairs.join(own, end, "left").withColumn(f"c{end}", F.coalesce(f"c{end}", end))
+    return pairs
+
+
 def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
     """``(doc_id, n_shingles, component_id)``, one row per row of ``docs(doc_id, text)``.
 
@@ -252,7 +264,7 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 85) -> DataF
         .agg(F.max_by("b", F.struct("shared", "b")).alias("b"))
     )
     stars = saved(stars, "stars")
-    star_links = _links(stars, nodes, docs, words, percent)
+    star_links = _links(stars, _texts(stars, nodes, docs), words, percent)
     joined = saved(components(star_links), "star-components")
     labelled = common.drop("least").join(joined.withColumnRenamed("id", "node"), "node", "left").select(
         "token", "node", "n", "place", "m", F.coalesce("component_id", "node").alias("c")
@@ -266,20 +278,33 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 85) -> DataF
         .groupBy("a", "b", F.least("m1", "m2").alias("needed"))
         .agg(F.count("token").alias("shared"))
         .where("shared >= needed")
-        .select("a", "b")
+        .select("a", "b", "shared")
     )
     rest = saved(rest, "rest")
-    rest_links = _links(rest, nodes, docs, words, percent)
+    # First each node with the one it shares most with, then what still lies apart.
+    texts = _texts(rest, nodes, docs)
+    best = rest.groupBy("a").agg(F.max_by("b", F.struct("shared", "b")).alias("b"))
+    best_links = _links(saved(best, "best"), texts, words, percent)
+    near = saved(
+        components(_standing_for(best_links, joined).select(F.col("ca").alias("a"), F.col("cb").alias("b"))),
+        "best-components",
+    ).select(F.col("id").alias("c"), F.col("component_id").alias("wider"))
+    apart = _standing_for(rest.join(best, ["a", "b"], "left_anti"), joined)
+    for end in ("ca", "cb"):
+        apart = apart.join(near.withColumnRenamed("c", end), end, "left").withColumn(
+            end, F.coalesce("wider", end)
+        ).drop("wider")
+    apart = saved(apart.where("ca <> cb").select("a", "b"), "apart")
+    rest_links = best_links.unionByName(_links(apart, texts, words, percent))
 
     # Several sets of one id belong together.
     heads = of_docs.where("node is not null and doc_id is not null").select("doc_id", "node").distinct()
     several = heads.groupBy("doc_id").agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a <> b")
     same = several.select("doc_id", "a").join(heads, "doc_id").where("node <> a").select("a", F.col("node").alias("b"))
     # What is left joins components, so each end stands for the component it is in.
-    ends = rest_links.unionByName(same)
-    for end in ("a", "b"):
-        own = joined.select(F.col("id").alias(end), F.col("component_id").alias("c"))
-        ends = ends.join(own, end, "left").withColumn(end, F.coalesce("c", end)).drop("c")
+    ends = _standing_for(rest_links.unionByName(same), joined).select(
+        F.col("ca").alias("a"), F.col("cb").alias("b")
+    )
     whole = saved(components(ends), "components").select(F.col("id").alias("c1"), F.col("component_id").alias("c2"))
     component = (
         nodes.join(joined.select(F.col("id").alias("node"), F.col("component_id").alias("c")), "node", "left")
