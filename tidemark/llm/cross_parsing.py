@@ -152,10 +152,16 @@ def train(docs: DataFrame, train_docs: int = 400, train_chars: int = 40_000) ->
     """A model of ``docs(doc_id, text, lang)`` with a language: per language at most ``train_docs``
     documents, the first by a hash of their id, and ``train_chars`` characters."""
     known = docs.where("lang is not null and text is not null and doc_id is not null")
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
+    span = 2**31
+    spread = known.select("doc_id", "lang", F.pmod(F.xxhash64("doc_id"), F.lit(span)).alias("u"))
+    # Some more than are wanted by a threshold on the hash, so that few rows are ranked.
+    sizes = known.groupBy("lang").agg(F.count("doc_id").alias("size"))
+    some = spread.join(sizes, "lang").where(
+        F.col("u") < F.lit(float(span * (2 * train_docs + 1_000))) / F.col("size")
+    )
+    order = Window.partitionBy("lang").orderBy("u", "doc_id")
     ids = (
-        known.select("doc_id", "lang")
-        .withColumn("place", F.row_number().over(order))
+        some.withColumn("place", F.row_number().over(order))
         .where(F.col("place") <= train_docs)
         .select("doc_id", "lang")
     )
