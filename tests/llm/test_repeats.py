@@ -55,6 +55,44 @@ def test_awkward_texts(spark, rows, monkeypatch):
     assert rows(repeated_strings(df).drop("spans")) == brute(data)
 
 
+def test_common_anchor(spark, rows, monkeypatch):
+    """Many pieces around one line: no group that is ordered holds more than COLLECTION of them."""
+    monkeypatch.setattr(column_bwt, "COLLECTION", 8)
+    inner = column_bwt.ordered
+
+    def watched(batches):
+        def seen():
+            names = {}
+            for batch in batches:
+                for anchor, name in zip(batch["anchor"], batch["name"]):
+                    names.setdefault(anchor, set()).add(name)
+                assert max(map(len, names.values())) <= 8, "a group is too large"
+                yield batch
+
+        return inner(seen())
+
+    monkeypatch.setattr(column_bwt, "ordered", watched)
+    rng = random.Random(7)
+
+    def noise(n):
+        return "".join(rng.choices("abcdefgh \n", k=n))
+
+    data = []
+    for line in (noise(150), noise(420), noise(700)):
+        sides = [noise(350) for _ in range(4)]
+        for i in range(40):
+            before, after = noise(400), noise(400)
+            if i % 3 == 0:
+                before = (before + rng.choice(sides))[-400 - i :]
+            if i % 4 == 0:
+                after = rng.choice(sides)[: 100 + 7 * i] + after
+            data.append(before + line + after)
+        data += [line, line[:-3], noise(5) + line]
+    data = [(i, t) for i, t in enumerate(data)]
+    df = spark.createDataFrame(data, "doc_id long, text string")
+    assert rows(repeated_strings(df).drop("spans")) == brute(data)
+
+
 def test_columns_in_files(spark, rows, monkeypatch):
     monkeypatch.setattr(column_bwt, "SPILL", 0)
     columns = column_bwt.Columns()

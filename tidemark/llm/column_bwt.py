@@ -8,7 +8,9 @@ the collection is first cut, without loss, into pieces that can be ordered apart
    the least hash. Equal windows have equal anchors at the same place. The windows of one anchor
    are consecutive and form a piece of at most ``COLUMNS`` bytes, aligned by the anchor.
 2. Anchors that occur once belong to unrepeated windows; their pieces are dropped.
-3. The pieces of a partition, with all pieces of an anchor together, are a collection of short documents. Starting
+3. Anchors of more than ``COLLECTION`` pieces are split by the columns that windows of a range of starts
+   have in common, in halves of the range, down to single windows; what stands alone leaves (``split``).
+4. The pieces of a partition, with all pieces of a group together, are a collection of short documents. Starting
    behind their last column, each round inserts one symbol per piece: the order of the suffixes
    at a column is the stable sort, by the symbols there, of the order at the next column (the
    step by which the transform grows), and the lengths of common prefixes follow by range minima
@@ -36,7 +38,7 @@ LENGTH = 400
 GRAM = 100
 SPREAD = LENGTH - GRAM + 1  # anchors a window chooses from
 COLUMNS = SPREAD - 1 + LENGTH
-COLLECTION = 16_384  # pieces ordered together at least, if there are as many
+COLLECTION = 16_384  # pieces of a group at most; ordered together are at least as many, if there are, and under twice
 SPILL = 64 << 20
 CONSTANT = np.uint64(0xFFFFFFFF)
 RANGES = "array<struct<lo: bigint, hi: bigint>>"
@@ -226,8 +228,11 @@ def runs(mask: np.ndarray) -> list[tuple[int, int]]:
 
 
 def ordered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """(anchor, name, piece, lead) sorted by anchor and name -> ranges of repeated windows."""
-    columns, names, leads = Columns(), [], []
+    """(anchor, name, piece, lead, shift) sorted by anchor and name -> ranges of repeated windows.
+
+    ``anchor`` names the group. ``shift`` windows of the named piece lie before the given bytes.
+    """
+    columns, names, leads, shifts = Columns(), [], [], []
     last_anchor, last_name = None, None
 
     def close():
@@ -235,7 +240,7 @@ def ordered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         rows = []
         for k in np.flatnonzero(marks.any(axis=0)).tolist():
             found = runs(np.ascontiguousarray(marks[leads[k] :, k]))
-            rows.append((names[k], [{"lo": a, "hi": b} for a, b in found]))
+            rows.append((names[k], [{"lo": a + shifts[k], "hi": b + shifts[k]} for a, b in found]))
         columns.close()
         # Arrow takes no frame without rows for a binary column.
         return [pd.DataFrame(rows, columns=["name", "ranges"])] if rows else []
@@ -249,15 +254,21 @@ def ordered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 continue
             if anchor[start] != last_anchor and columns.count >= COLLECTION:
                 yield from close()
-                columns, names, leads = Columns(), [], []
+                columns, names, leads, shifts = Columns(), [], [], []
+                last_name = None
+            if anchor[start] != last_anchor:
+                last_name = None
             last_anchor = anchor[start]
             part = batch.iloc[start:end]
             fresh, at = [], []
-            for name, piece, lead in zip(part["name"], part["piece"], part["lead"], strict=True):
+            for name, piece, lead, shift in zip(
+                part["name"], part["piece"], part["lead"], part["shift"], strict=True
+            ):
                 if name != last_name:
                     last_name = name
                     names.append(name)
                     leads.append(lead)
+                    shifts.append(shift)
                     fresh.append(piece)
                     at.append(lead)
             if fresh:
@@ -267,6 +278,91 @@ def ordered(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield from close()
 
 
+def halved(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """Rows of ``GROUP`` -> for each half of their range of window starts, if the piece has windows there,
+    a row with the bytes of these windows alone.
+
+    All windows that start in columns ``lo`` to ``hi`` hold the columns ``hi`` to ``lo + LENGTH - 1``, so
+    pieces that share one of them agree there: these bytes name the new group. ``same`` names the bytes of
+    all the piece's windows in the half: where it is equal, all of them are.
+    """
+    for batch in batches:
+        rows = []
+        for anchor, name, piece, lead, shift, low, high in batch[GROUP].itertuples(index=False):
+            middle = (low + high) // 2
+            for lo, hi in {(low, middle), (min(middle + 1, high), high)}:
+                a, b = max(lo, lead), min(hi, lead + len(piece) - LENGTH)
+                if a > b:
+                    continue
+                part = piece[a - lead : b - lead + LENGTH]
+                shared = anchor.to_bytes(8, "little", signed=True) + bytes([lo // 256, lo % 256, hi // 256, hi % 256])
+                group = text_hash(shared + part[hi - a : lo + LENGTH - a])
+                same = text_hash(a.to_bytes(2, "little") + part)
+                rows.append((int.from_bytes(group[:8], "little", signed=True), name, part, a, shift + a - lead, lo, hi, same, b - a))
+        if rows:
+            yield pd.DataFrame(rows, columns=[*GROUP, "same", "more"])
+
+
+GROUP = ["anchor", "name", "piece", "lead", "shift", "lo", "hi"]
+HALVES = (
+    "anchor bigint, name binary, piece binary, lead int, shift int, lo int, hi int, same binary, more int"
+)
+
+
+def split(pieces: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """``pieces(anchor, name, piece, lead)`` -> groups of at most ``COLLECTION`` different pieces, in the
+    columns of ``GROUP``, and the ranges ``(name, ranges)`` that were found on the way, if any anchor had more.
+
+    Pieces with a window in common are in a group together with that window, or have it in the ranges.
+    Of pieces that are equal in all of a range one stays for the others. A range of one window has
+    equal pieces only, so at most nine rounds are made, each over the pieces of too large groups.
+    """
+    pieces = pieces.select(
+        "anchor", "name", "piece", "lead",
+        F.lit(0).alias("shift"), F.lit(0).alias("lo"), F.lit(SPREAD - 1).alias("hi"),
+    )
+    done, ranges = None, None
+
+    def parted(rows: DataFrame, sizes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+        """The rows of groups that are small enough, and the others if there are any."""
+        large = saved(sizes.where(F.col("size") > COLLECTION).select("anchor"), "large-groups")
+        if large.isEmpty():
+            return rows, None
+        return rows.join(large, "anchor", "left_anti"), rows.join(large, "anchor", "left_semi")
+
+    # Rows, of which there are no fewer than different pieces.
+    done, rest = parted(pieces, pieces.groupBy("anchor").agg(F.count("lead").alias("size")))
+    while rest is not None:
+        rows = saved(rest.mapInPandas(halved, HALVES), "halves")
+        classes = saved(
+            rows.groupBy("anchor", "same", "lo", "hi").agg(
+                F.min(F.struct("name", "shift")).alias("one"),
+                (F.min("name") != F.max("name")).alias("several"),
+                F.first("piece").alias("piece"),
+                F.first("lead").alias("lead"),
+            ),
+            "equal-halves",
+        )
+        equal = classes.where("several").select("anchor", "same", "lo", "hi")
+        found = rows.join(equal, ["anchor", "same", "lo", "hi"], "left_semi").select(
+            "name",
+            F.array(
+                F.struct(
+                    F.col("shift").cast("long").alias("lo"), (F.col("shift") + F.col("more")).cast("long").alias("hi")
+                )
+            ).alias("ranges"),
+        )
+        ranges = found if ranges is None else ranges.unionByName(found)
+        sizes = classes.groupBy("anchor").agg(F.count("lead").alias("size"))
+        # What is alone in its group has no window in common with an other piece.
+        shared = classes.join(sizes.where("size > 1").select("anchor"), "anchor", "left_semi").select(
+            "anchor", "one.name", "piece", "lead", "one.shift", "lo", "hi"
+        )
+        small, rest = parted(shared, sizes)
+        done = done.unionByName(small)
+    return done, ranges
+
+
 def united(h_ranges: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
     """(h, text, windows) -> (h, spans): maximal runs of covered bytes, end exclusive, and the rest's hash."""
     for batch in h_ranges:
@@ -326,14 +422,17 @@ def repeated_strings(docs: DataFrame) -> DataFrame:
         ),
         "pieces",
     )
+    groups, equal = split(pieces.where("piece is not null"))
     ranges = saved(
-        pieces.where("piece is not null")
-        .select("anchor", "name", "piece", "lead")
+        groups.select("anchor", "name", "piece", "lead", "shift")
         .repartition("anchor")
         .sortWithinPartitions("anchor", "name")
         .mapInPandas(ordered, f"name binary, ranges {RANGES}"),
         "repeated-windows",
     )
+    if equal is not None:
+        # Of a split piece each range is known apart.
+        ranges = ranges.unionByName(equal).groupBy("name").agg(F.flatten(F.collect_list("ranges")).alias("ranges"))
     times = pieces.groupBy("name").agg(F.count("h").alias("n"))
     whole = F.array(F.struct(F.lit(0).cast("long").alias("lo"), (F.col("last") - F.col("first")).alias("hi")))
     windows = (
