@@ -51,6 +51,34 @@ def test_phrases_by_hand():
     assert phrases(table_, 6, text[:, None])[0] == 4
 
 
+def test_languages_of_large_scripts(spark, monkeypatch):
+    """Two languages of the same 1,500 Chinese letters, told apart by their words; two of small scripts."""
+    import random
+
+    from tidemark.llm import cross_parsing
+
+    rng = random.Random(3)
+    letters = [chr(0x4E00 + i) for i in range(1_500)]
+    rng.shuffle(letters)
+    words = {"aa": ["".join(letters[i : i + 3]) for i in range(0, 1_500, 3)],
+             "bb": ["".join((letters[i], letters[(i + 700) % 1_500], letters[(i + 311) % 1_500])) for i in range(0, 1_500, 3)]}
+    for lang, start in (("el", 0x3B1), ("ru", 0x430)):
+        words[lang] = ["".join(chr(start + rng.randrange(17)) for _ in range(5)) for _ in range(200)]
+    data = [(i, " ".join(rng.choices(words[lang], k=120)), lang) for i, lang in enumerate([*words] * 60)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, lang string")
+    model = train(docs.where("doc_id % 3 > 0"))
+    assert any(isinstance(t, cross_parsing.Displaced) for t in model.tables)
+    got = languages(docs.where("doc_id % 3 = 0"), model).join(docs.select("doc_id", "lang"), "doc_id")
+    assert got.where("lang = lang_pred").count() == got.count() == 80
+    # Either form of the transitions gives the same phrases.
+    texts = [t for _, t, _ in data[:40]] + ["", "unseen \u9fa0 letters", "αβγ " * 300]
+    monkeypatch.setattr(cross_parsing, "DENSE", 1 << 40)
+    rows_ = [(lang, t) for _, t, lang in data]
+    dense = cross_parsing.parse(cross_parsing.learn(rows_, 3_000), texts)[0]
+    monkeypatch.setattr(cross_parsing, "DENSE", 0)
+    assert (dense == cross_parsing.parse(cross_parsing.learn(rows_, 3_000), texts)[0]).all()
+
+
 def test_languages_without_training(awkward):
     model = train(awkward.where("false"))
     assert {r["lang_pred"] for r in languages(awkward, model).collect()} == {"und"}

@@ -6,7 +6,9 @@ followed until it has no transition, there a phrase ends and the next one starts
 n training characters costs ``log2 n`` bits a phrase; the language with the fewest bits per
 character, the cross-parsing entropy, wins.
 
-Texts are lower-cased and every run of other than letters is one blank. They are parsed in blocks of ``BLOCK``
+Texts are lower-cased and every run of other than letters is one blank. Every letter of the training texts
+is a symbol of its own; an automaton numbers the letters of its language, and with many of them (Chinese) its
+transitions lie in one displaced table instead of a row for each state. Texts are parsed in blocks of ``BLOCK``
 characters, whole texts through, so that many blocks advance together; a block's end closes a phrase.
 """
 
@@ -23,38 +25,77 @@ from pyspark.sql import functions as F
 
 BLOCK = 512
 LANES = 4_096
-ALPHABET = 60
+DENSE = 1 << 23  # cells of a table with a row for each state
 UNKNOWN = "und"
 
 
+class Displaced:
+    """Transitions of an automaton over a large alphabet: the row of a state lies at its own offset
+    in one table, between other rows, and a cell tells whose it is."""
+
+    def __init__(self, to: list[dict[int, int]], size: int):
+        self.size = size
+        cells = max(size, 4 * sum(map(len, to)), 16)
+        self.mask = (1 << (cells - 1).bit_length()) - 1
+        self.offset = np.zeros(len(to), np.int64)
+        self.owner = np.zeros(self.mask + 1, np.int32)  # state 0 has no transitions
+        self.target = np.zeros(self.mask + 1, np.int32)
+        taken = bytearray(self.mask + 1)
+        at = 0
+        # The longest rows first, while there is room; at most a quarter of the cells is ever taken.
+        for state in sorted(range(len(to)), key=lambda q: -len(to[q])):
+            row = to[state]
+            if not row:
+                break
+            while any(taken[(at + c) & self.mask] for c in row):
+                at = (at + 0x9E3779B1) & self.mask
+            self.offset[state] = at
+            for c, q in row.items():
+                cell = (at + c) & self.mask
+                taken[cell] = 1
+                self.owner[cell], self.target[cell] = state, q
+
+    def __len__(self) -> int:
+        return len(self.offset)
+
+    def step(self, state: np.ndarray, c: np.ndarray) -> np.ndarray:
+        """The states after ``c``, 0 for no transition; the last symbol stays."""
+        cell = (self.offset[state] + c) & self.mask
+        then = np.where(self.owner[cell] == state, self.target[cell], 0)
+        return np.where(c == self.size - 1, state, then)
+
+
 @dataclass
 class Languages:
     """Automata of the learned languages over one alphabet of symbols.
 
     ``symbols`` maps a code point to 0 (no letter), 1 (a letter the training texts lack) or a
-    letter's number; the last symbol pads a block and leads every state to itself.
+    letter's number; the last symbol, ``size - 1``, pads a block and leads every state to itself.
+    ``numbers`` maps these to the symbols of each language, where letters it lacks are 1 too.
     """
 
     names: list[str]
     symbols: np.ndarray
     size: int
-    tables: list[np.ndarray]  # (states, size), 0 for no transition, state 1 is the root
+    numbers: list[np.ndarray]
+    sizes: list[int]
+    tables: list[np.ndarray | Displaced]  # (states, size), 0 for no transition, state 1 is the root
     lengths: list[int]
 
 
-def suffix_automaton(s: np.ndarray, size: int) -> np.ndarray:
+def suffix_automaton(s: np.ndarray, size: int) -> np.ndarray | Displaced:
     """Transitions of the suffix automaton of ``s``; row 1 is the root, row 0 no state."""
     most = 2 * len(s) + 2
-    to: list[list[int]] = [[0] * size, [0] * size]
+    to: list[dict[int, int]] = [{}, {}]
     link, length = [0, 0], [0, 0]
     last = 1
     for c in s.tolist():
         now = len(to)
-        to.append([0] * size)
+        to.append({})
         length.append(length[last] + 1)
         link.append(1)
         p = last
-        while p and not to[p][c]:
+        while p and c not in to[p]:
             to[p][c] = now
             p = link[p]
         if p:
@@ -63,16 +104,21 @@ def suffix_automaton(s: np.ndarray, size: int) -> np.ndarray:
                 link[now] = q
             else:
                 clone = len(to)
-                to.append(list(to[q]))
+                to.append(dict(to[q]))
                 length.append(length[p] + 1)
                 link.append(link[q])
-                while p and to[p][c] == q:
+                while p and to[p].get(c) == q:
                     to[p][c] = clone
                     p = link[p]
                 link[q] = link[now] = clone
         last = now
     assert len(to) <= most
-    return np.asarray(to, np.int32)
+    if len(to) * size > DENSE:
+        return Displaced(to, size)
+    table = np.zeros((len(to), size), np.int32)
+    for state, row in enumerate(to):
+        table[state, list(row)] = list(row.values())
+    return table
 
 
 def symbols_of(text: str, symbols: np.ndarray) -> np.ndarray:
@@ -91,36 +137,52 @@ def learn(rows: list[tuple[str, str]], train_chars: int) -> Languages:
         by_lang.setdefault(lang, []).append(text)
     names = sorted(by_lang)
     letters = Counter(c for texts in by_lang.values() for t in texts for c in t.lower() if c.isalpha())
-    ranked = sorted(letters, key=lambda c: (-letters[c], c))[:ALPHABET]
-    symbols = np.zeros(0x110000, np.uint8)
+    ranked = sorted(letters, key=lambda c: (-letters[c], c))
+    symbols = np.zeros(0x110000, np.int32)
     symbols[[c for c in range(0x110000) if chr(c).isalpha()]] = 1
     for i, c in enumerate(ranked):
         symbols[ord(c)] = i + 2
     size = len(ranked) + 3
-    tables, lengths, used = [], [], []
+    numbers, sizes, tables, lengths, used = [], [], [], [], []
     for name in names:
         s = np.concatenate([symbols_of(t + " ", symbols) for t in by_lang[name]])[:train_chars]
         if not (s > 0).any():
             continue
-        table = suffix_automaton(s, size)
-        table[:, size - 1] = np.arange(len(table))
+        own = np.unique(s[s > 1])
+        number = np.ones(size, np.int32)
+        number[0] = 0
+        number[own] = np.arange(2, len(own) + 2)
+        number[size - 1] = len(own) + 2
+        table = suffix_automaton(number[s], len(own) + 3)
+        if isinstance(table, np.ndarray):
+            table[:, -1] = np.arange(len(table))
+        numbers.append(number)
+        sizes.append(len(own) + 3)
         tables.append(table)
         lengths.append(len(s))
         used.append(name)
-    return Languages(used, symbols, size, tables, lengths)
+    return Languages(used, symbols, size, numbers, sizes, tables, lengths)
 
 
-def phrases(table: np.ndarray, size: int, blocks: np.ndarray) -> np.ndarray:
+def phrases(table: np.ndarray | Displaced, size: int, blocks: np.ndarray) -> np.ndarray:
     """The number of phrases in each column of ``blocks``; a letter that the training text lacks
     is a phrase of its own and counts twice."""
-    flat = table.ravel()
-    root = table[1]
+    if isinstance(table, Displaced):
+        step = table.step
+        root = step(np.ones(size, np.int64), np.arange(size))
+    else:
+        flat = table.ravel()
+        root = table[1]
+
+        def step(state, c):
+            return flat[state * size + c]
+
     lost = root == 0
     root = np.where(lost, 1, root)
     state = np.ones(blocks.shape[1], np.int64)
     count = np.ones(blocks.shape[1], np.int32)
     for c in blocks:
-        then = flat[state * size + c]
+        then = step(state, c)
         dead = then == 0
         count += dead
         count += dead & lost[c]
@@ -134,16 +196,17 @@ def parse(model: Languages, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     sizes = np.asarray([len(p) if (p > 0).any() else 0 for p in parts], np.int64)
     counts = -(-sizes // BLOCK)
     first = np.concatenate([[0], np.cumsum(counts)])
-    flat = np.full(int(first[-1]) * BLOCK, model.size - 1, np.uint8)
+    flat = np.full(int(first[-1]) * BLOCK, model.size - 1, np.int32)
     for p, n, at in zip(parts, sizes, first, strict=False):
         if n:
             flat[at * BLOCK : at * BLOCK + n] = p
     blocks = np.ascontiguousarray(flat.reshape(-1, BLOCK).T)
     bits = np.zeros((len(texts), len(model.names)))
     owner = np.repeat(np.arange(len(texts)), counts)
-    for k, (table, length) in enumerate(zip(model.tables, model.lengths, strict=True)):
+    of_languages = zip(model.numbers, model.sizes, model.tables, model.lengths, strict=True)
+    for k, (number, size, table, length) in enumerate(of_languages):
         for at in range(0, blocks.shape[1], LANES):
-            found = phrases(table, model.size, blocks[:, at : at + LANES])
+            found = phrases(table, size, number[blocks[:, at : at + LANES]])
             bits[:, k] += np.bincount(owner[at : at + LANES], found, len(texts)) * np.log2(max(2, length))
     return bits / np.maximum(1, sizes)[:, None], sizes
 
