@@ -23,20 +23,35 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document with the smallest id of each group of near duplicates.
+    """One row of each group of near duplicates: of those with the smallest id (NULL last) any text.
 
-    Rows of one id are one document, of which the row with the least text stays. Documents
-    without words and those without an id are all kept.
+    Rows are judged by their texts alone: an id that repeats names as many documents as it has texts, and
+    rows without an id are documents like others. Rows that only repeat an id and its text
+    are one. Documents without words resemble nothing and are all kept.
     """
-    found = multi_prefix_join.near_duplicates(docs, WORDS, PERCENT)
-    first = found.where("doc_id = component_id").select("doc_id").distinct()
-    named = (
-        docs.join(first, "doc_id", "left_semi")
-        .groupBy("doc_id")
-        .agg(F.min_by(F.struct(*docs.columns), F.coalesce("text", F.lit(""))).alias("r"))
+    # Rows of one id and one text have one name; 64 bits, as for sets of shingles.
+    name = F.xxhash64("doc_id", F.col("text").cast("string"))
+    has_words = F.coalesce(F.col("text").cast("string").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
+    worded = docs.where(has_words)
+    found = multi_prefix_join.near_duplicates(worded.select(name.alias("doc_id"), "text"), WORDS, PERCENT)
+    first = (
+        found.select(F.col("doc_id").alias("name"), "component_id")
+        .distinct()
+        .join(worded.select(name.alias("name"), "doc_id").distinct(), "name")
+        .groupBy("component_id")
+        .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "name")).alias("least"))
+        .select("least.name")
+    )
+    # Rows of one name may differ in other columns.
+    others = F.to_json(F.struct(*[c for c in docs.columns if c != "text"]))
+    one = (
+        worded.select(name.alias("name"), F.struct(*docs.columns).alias("r"), others.alias("others"))
+        .join(first, "name", "left_semi")
+        .groupBy("name")
+        .agg(F.min_by("r", "others").alias("r"))
         .select("r.*")
     )
-    return named.unionByName(docs.where("doc_id is null"))
+    return one.unionByName(docs.where(~has_words))
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

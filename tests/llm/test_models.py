@@ -217,3 +217,20 @@ def test_pipeline_stages_on_awkward_rows(spark, sf_dir, awkward):
     for _, stage in corpus_pipeline.STAGES:
         assert stage(spark, rows_, sf_dir).count() >= len(AWKWARD) - 1
         assert stage(spark, rows_.where("false"), sf_dir).count() == 0
+
+
+def test_pipeline_judges_repeated_ids_by_text(spark, rows):
+    def text(seed):
+        return " ".join(f"w{seed}x{i}" for i in range(40))
+
+    data = [(1, text("a"), "x"), (1, text("b"), "x"), (1, text("c"), "x"),  # one id, three documents
+            (2, text("b") + " end", "x"), (3, text("d"), "x"), (4, text("d") + " end", "x"),
+            (None, text("c") + " end", "x"), (None, text("e"), "x"), (None, text("e") + " end", "x"),
+            (None, text("f"), "x"), (5, text("g"), "x"), (5, text("g"), "y"), (6, text("g"), "x"),
+            (7, " ", "x"), (7, None, "x"), (None, None, "x"), (None, None, "x")]
+    df = spark.createDataFrame(data, "doc_id long, text string, node string")
+    got = rows(corpus_pipeline.one_of_each(spark, df, ""))
+    e = [r for r in got if r in data[7:9]]
+    assert len(e) == 1  # either: there is no id to go by
+    want = [data[0], data[1], data[2], data[4], data[9], data[10], *data[13:]]
+    assert sorted([r for r in got if r not in e], key=repr) == sorted(want, key=repr)
