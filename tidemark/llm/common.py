@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from functools import reduce
+
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.session import work_dir
@@ -54,3 +56,42 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         seen = now
     tops = e.select(F.col("v").alias("id")).distinct().select("id", F.col("id").alias("component_id"))
     return e.select(F.col("u").alias("id"), F.col("v").alias("component_id")).unionByName(tops)
+
+
+def ranked(rows: DataFrame, group: list[str], order: list[str]) -> DataFrame:
+    """``rows`` with ``rank`` (place in its group by ``order``, from 0) and ``group_size``.
+
+    NULL sorts first and is a group of its own; rows that are alike in ``order`` stand in any order. Rows
+    are dealt by ranges of (group, order, place of reading), so neither a large group nor equal rows meet in
+    one task; each task's rows are numbered where they lie, and one row per task and group is shifted by
+    what stands before it.
+    """
+    spark = rows.sparkSession
+    tie, line, part = "__tie", "__line", "__part"
+    by = [F.col(c).asc_nulls_first() for c in [*group, *order, tie]]
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    lined = saved(
+        rows.withColumn(tie, F.monotonically_increasing_id())
+        .repartitionByRange(n, *by)
+        .sortWithinPartitions(*by)
+        .drop(tie)
+        .withColumn(line, F.monotonically_increasing_id()),
+        "ranked",
+    ).withColumn(part, F.shiftright(line, 33))
+    runs = lined.groupBy(part, *group).agg(F.min(line).alias("__first"), F.count(F.lit(1)).alias("__n"))
+    # At most one row per task and group.
+    whole = Window.partitionBy(*group)
+    runs = runs.select(
+        *[F.col(c).alias(f"__{i}") for i, c in enumerate([part, *group])],
+        "__first",
+        F.coalesce(
+            F.sum("__n").over(whole.orderBy(part).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+        ).alias("__before"),
+        F.sum("__n").over(whole).alias("group_size"),
+    )
+    same = reduce(
+        lambda a, b: a & b, [F.col(c).eqNullSafe(F.col(f"__{i}")) for i, c in enumerate([part, *group])]
+    )
+    return lined.join(runs, same).select(
+        *rows.columns, (F.col(line) - F.col("__first") + F.col("__before")).alias("rank"), "group_size"
+    )

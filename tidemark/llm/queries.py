@@ -13,6 +13,7 @@ from tidemark.llm.column_bwt import repeated_strings
 from tidemark.llm.common import table
 from tidemark.llm.cross_parsing import languages, train
 from tidemark.llm.decontaminate import leaks
+from tidemark.llm.match_packing import pack, pieces
 from tidemark.llm.multi_prefix_join import near_duplicates
 from tidemark.llm.rotation_codes import near_vectors
 from tidemark.llm.secret_ledger import RULES, secrets
@@ -130,3 +131,9 @@ def op9_weak_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op10_column_bwt(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeated_strings(table(spark, sf_dir, "documents")).drop("spans")
+
+
+@query
+def op11_match_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
+    return pack(cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
