@@ -14,6 +14,7 @@ from tidemark.llm.common import table
 from tidemark.llm.cross_parsing import languages, train
 from tidemark.llm.decontaminate import leaks
 from tidemark.llm.match_packing import pack, pieces
+from tidemark.llm.merkle_layout import audited
 from tidemark.llm.multi_prefix_join import near_duplicates
 from tidemark.llm.rotation_codes import near_vectors
 from tidemark.llm.secret_ledger import RULES, secrets
@@ -137,3 +138,75 @@ def op10_column_bwt(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11_match_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
     return pack(cut.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+
+
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+FIELDS = ["doc_id", "source", "lang", "n_chars", "text"]
+
+
+@query
+def op12_merkle_layout(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lowered = F.when(fold("doc_id", 3) == 0, F.translate("text", UPPER, LOWER)).otherwise(F.col("text"))
+    return audited(table(spark, sf_dir, "documents"), FIELDS, "lang", "doc_id", {"text": lowered})
+
+
+def _leaf_sql(text: str) -> str:
+    """A row's digest; the length of a field is that of its bytes."""
+    fields = [text if f == "text" else f"CAST({f} AS VARCHAR)" for f in FIELDS]
+    return "sha256(" + " || ".join(
+        f"coalesce(CAST(octet_length(encode({f})) AS VARCHAR) || ':' || {f}, '-')" for f in fields
+    ) + ")"
+
+
+def _tree_sql(name: str, leaves: str) -> str:
+    """All nodes of the trees over ``leaves(g, i, h, n)``, and for every leaf its path to the root."""
+    return f"""{name}_t AS (
+  SELECT g, 0 AS level, i, h, n FROM {leaves}
+  UNION ALL
+  SELECT g, level + 1, i // 8, sha256(string_agg(h, '' ORDER BY i)), (n + 7) // 8 FROM {name}_t
+  WHERE n > 1 GROUP BY g, level, i // 8, n),
+{name}_r AS (SELECT g, level, i // 8 AS run, list(h ORDER BY i) AS hs FROM {name}_t WHERE n > 1 GROUP BY ALL)"""
+
+
+# crc32 by its table of 256 remainders; trees level by level; a tampered leaf folded with the siblings it had.
+ORACLES["op12_merkle_layout"] = f"""WITH RECURSIVE
+steps AS (SELECT b AS start, 0 AS k, b AS c FROM (SELECT unnest(range(256)) AS b)
+  UNION ALL SELECT start, k + 1, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END
+  FROM steps WHERE k < 8),
+remainders AS (SELECT list(c ORDER BY start) AS r FROM steps WHERE k = 8),
+ids AS (SELECT doc_id, xor(list_reduce(
+    list_prepend(4294967295::BIGINT, [ord(x)::BIGINT FOR x IN string_split(CAST(doc_id AS VARCHAR), '')]),
+    lambda a, b: xor(a >> 8, r[(xor(a, b) & 255) + 1])), 4294967295) % 3 = 0 AS low
+  FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL), remainders),
+d AS (SELECT doc_id, lang,
+  {_leaf_sql("text")} AS h,
+  CASE WHEN low THEN {_leaf_sql(f"translate(text, '{UPPER}', '{LOWER}')")} ELSE {_leaf_sql("text")} END AS found
+  FROM documents LEFT JOIN ids USING (doc_id)),
+e AS (SELECT *, coalesce('=' || lang, '-') AS g,
+  row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, h) - 1 AS i,
+  count(*) OVER (PARTITION BY lang) AS n FROM d),
+{_tree_sql("low", "e")},
+subroots AS (SELECT g, h AS subroot, row_number() OVER (ORDER BY g) - 1 AS i, count(*) OVER () AS n
+  FROM low_t WHERE n = 1),
+s AS (SELECT '' AS g, i, subroot AS h, n FROM subroots),
+{_tree_sql("top", "s")},
+p AS (
+  SELECT g, i AS nth, 0 AS level, i, found AS f, '' AS proof FROM e
+  UNION ALL
+  SELECT p.g, nth, p.level + 1, p.i // 8,
+    sha256(list_aggregate(list_concat(hs[:p.i % 8], [f], hs[p.i % 8 + 2:]), 'string_agg', '')),
+    proof || coalesce(list_aggregate(list_concat(hs[:p.i % 8], hs[p.i % 8 + 2:]), 'string_agg', ''), '')
+  FROM p JOIN low_r r ON r.g = p.g AND r.level = p.level AND r.run = p.i // 8),
+low_end AS (SELECT g, nth, arg_max(f, level) AS f, arg_max(proof, level) AS proof FROM p GROUP BY ALL),
+q AS (
+  SELECT g, nth, 0 AS level, subroots.i, f, proof FROM low_end JOIN subroots USING (g)
+  UNION ALL
+  SELECT q.g, nth, q.level + 1, q.i // 8,
+    sha256(list_aggregate(list_concat(hs[:q.i % 8], [f], hs[q.i % 8 + 2:]), 'string_agg', '')),
+    proof || coalesce(list_aggregate(list_concat(hs[:q.i % 8], hs[q.i % 8 + 2:]), 'string_agg', ''), '')
+  FROM q JOIN top_r r ON r.level = q.level AND r.run = q.i // 8),
+ended AS (SELECT g, nth, arg_max(f, level) AS f, arg_max(proof, level) AS proof FROM q GROUP BY ALL),
+root AS (SELECT h AS root FROM top_t WHERE n = 1)
+SELECT doc_id, e.h AS leaf, subroot, root, sha256(proof) AS proof_sha256, f AS folded_root,
+  f = root AS verified
+FROM e JOIN ended ON ended.g = e.g AND ended.nth = e.i JOIN subroots ON subroots.g = e.g, root"""
