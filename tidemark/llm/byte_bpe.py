@@ -66,12 +66,14 @@ class ByteBpe:
 
             self.fast = tiktoken.Encoding("ranks", pat_str=PIECES, mergeable_ranks=known, special_tokens={})
 
-    def encode(self, text: str) -> np.ndarray:
-        """The ids of ``text`` without added special tokens; special strings inside it by the
-        library's default."""
+    def encode(self, text: str) -> bytes:
+        """The ids of ``text``, little-endian unsigned 32-bit, without added special tokens; special
+        strings inside it by the library's default."""
         if self.fast is not None and not any(s in text for s in self.special):
-            return np.asarray(self.fast.encode_ordinary(text), "<u4")
-        return np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4")
+            ids = self.fast.encode_ordinary(text)
+        else:
+            ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return np.asarray(ids, "<u4").tobytes()
 
 
 @lru_cache(maxsize=2)

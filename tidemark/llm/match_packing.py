@@ -16,16 +16,20 @@ from __future__ import annotations
 
 from bisect import bisect_left, bisect_right, insort
 from collections import defaultdict
+from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidemark.llm.byte_bpe import byte_bpe
 from tidemark.llm.common import ranked, saved
 
 CAPACITY = 2_048
+SLICE = 256
 
 
 class Plan:
@@ -127,32 +131,46 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end_id: int | N
     NULL, other columns are ignored, an empty table gives no pieces.
     """
 
-    @F.pandas_udf("array<binary>")
-    def cut(texts: pd.Series) -> pd.Series:
-        bpe, end = byte_bpe(path), np.asarray([] if end_id is None else [end_id], "<u4")
-
-        def of(text: str) -> list[bytes]:
-            ids = np.concatenate([bpe.encode(text), end])
-            at = [0, *range(len(ids) % capacity or capacity, len(ids) + 1, capacity)]
-            return [ids[a:b].tobytes() for a, b in zip(at, at[1:], strict=False)]
-
-        return pd.Series([of(t) for t in texts], dtype=object)
-
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    size = (F.octet_length("ids") / 4).cast("long")
-    head = (F.octet_length(F.col("all")[0]) / 4).cast("long")
-    return (
-        docs.select("doc_id", cut(text).alias("all"))
-        .select("doc_id", head.alias("head"), F.posexplode("all").alias("piece", "ids"))
-        .select(
-            "doc_id",
-            "piece",
-            F.when(F.col("piece") == 0, 0).otherwise(F.col("head") + (F.col("piece") - 1) * capacity)
-            .cast("long").alias("start"),
-            size.alias("length"),
-            "ids",
-        )
+    end = np.asarray([] if end_id is None else [end_id], "<u4").tobytes()
+    whole = capacity * 4
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bpe = byte_bpe(path)
+        for batch in batches:
+            # A few texts at a time: their ids are handed on before the next ones are made.
+            for at in range(0, batch.num_rows, SLICE):
+                part = batch.slice(at, SLICE)
+                source, piece, start, ids = [], [], [], []
+                for i, text in enumerate(part.column(1).to_pylist()):
+                    all_ids = bpe.encode(text) + end
+                    low, k = 0, 0
+                    while low < len(all_ids):
+                        high = low + (whole if k else len(all_ids) % whole or whole)
+                        source.append(i)
+                        piece.append(k)
+                        start.append(low // 4)
+                        ids.append(all_ids[low:high])
+                        low, k = high, k + 1
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        part.column(0).take(pa.array(source, pa.int64())), pa.array(piece, pa.int32()),
+                        pa.array(start, pa.int64()), pa.array([len(x) // 4 for x in ids], pa.int64()),
+                        pa.array(ids, pa.binary()),
+                    ],
+                    ["doc_id", "piece", "start", "length", "ids"],
+                )
+
+    texts = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    schema = T.StructType(
+        [
+            T.StructField("doc_id", docs.schema["doc_id"].dataType),
+            T.StructField("piece", T.IntegerType()),
+            T.StructField("start", T.LongType()),
+            T.StructField("length", T.LongType()),
+            T.StructField("ids", T.BinaryType()),
+        ]
     )
+    return texts.mapInArrow(cut, schema)
 
 
 def pack(items: DataFrame, capacity: int = CAPACITY) -> DataFrame:
