@@ -22,6 +22,7 @@ from tidemark.llm.token_counts import count_tokens
 from tidemark.llm.toxic_crf import fit, toxicity
 from tidemark.llm.weak_labels import fit as fit_quality
 from tidemark.llm.weak_labels import quality
+from tidemark.llm.whitening import components
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -210,3 +211,8 @@ root AS (SELECT h AS root FROM top_t WHERE n = 1)
 SELECT doc_id, e.h AS leaf, subroot, root, sha256(proof) AS proof_sha256, f AS folded_root,
   f = root AS verified
 FROM e JOIN ended ON ended.g = e.g AND ended.nth = e.i JOIN subroots ON subroots.g = e.g, root"""
+
+
+@query
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return components(table(spark, sf_dir, "embeddings"))
