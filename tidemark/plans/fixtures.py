@@ -42,6 +42,17 @@ RECIPES = {
         SELECT o_orderkey + 10000000, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
                o_orderpriority
         FROM orders WHERE o_orderkey % 50 = 1""",
+    # A copy that went wrong in two stretches of its keys: wrong prices, lost and extra rows.
+    "orders_drift": """
+        SELECT o_orderkey, o_custkey, o_orderstatus,
+               CASE WHEN o_orderkey BETWEEN 1000 AND 1100 THEN o_totalprice + 1
+                    ELSE o_totalprice END AS o_totalprice,
+               o_orderdate, o_orderpriority
+        FROM orders WHERE o_orderkey NOT BETWEEN 700 AND 720
+        UNION ALL
+        SELECT o_orderkey + 10000000, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
+               o_orderpriority
+        FROM orders WHERE o_orderkey BETWEEN 1 AND 10""",
     # A target loaded up to a cut-off date.
     "orders_hwm_tgt": f"""
         SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '{CUTOFF}'""",

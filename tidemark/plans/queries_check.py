@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.types import ColumnSpec
 from tidemark.operators import audit as A
 from tidemark.operators import data_tests as D
+from tidemark.operators import digests as G
 from tidemark.operators import paging as P
 from tidemark.operators import reconcile as R
 from tidemark.operators.shape import quality_report as quality
@@ -216,6 +217,25 @@ def reconcile_rows(t: Tables) -> DataFrame:
     return R.reconcile_rows(t.orders, t.orders_tgt, "o_orderkey")
 
 
+@query("reconcile_rows_digest", rows_sql(VALUES), uses=("orders_tgt",))
+def reconcile_rows_digest(t: Tables) -> DataFrame:
+    """Differences everywhere: no range can be left out."""
+    return G.reconcile_rows_digest(t.orders, t.orders_tgt, "o_orderkey")
+
+
+@query(
+    "reconcile_rows_drift", rows_sql(VALUES).replace("orders_tgt", "orders_drift"), uses=("orders_drift",)
+)
+def reconcile_rows_drift(t: Tables) -> DataFrame:
+    """Differences in few ranges, found in several rounds."""
+    return G.reconcile_rows_digest(t.orders, t.orders_drift, "o_orderkey", fan_out=64, enough=200)
+
+
+@query("reconcile_keys_digest", keys_sql("orders", "orders_drift"), uses=("orders_drift",))
+def reconcile_keys_digest(t: Tables) -> DataFrame:
+    return G.reconcile_keys_digest(t.orders, t.orders_drift, "o_orderkey")
+
+
 @query(
     "reconcile_multi",
     """, c AS (SELECT 'copy' AS target, count(*) AS target_count FROM orders_ymd
