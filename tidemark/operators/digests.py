@@ -19,8 +19,7 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.literals import typed
-from tidemark.functions.names import as_list, col, cols, require_columns
+from tidemark.functions.names import as_list, col, cols, quote, require_columns
 from tidemark.operators.keys import any_null
 from tidemark.operators.reconcile import reconcile_keys, reconcile_rows
 
@@ -28,7 +27,7 @@ from tidemark.operators.reconcile import reconcile_keys, reconcile_rows
 Bound = tuple[str, ...] | None
 
 PARTS = ("d0", "d1", "d2", "d3")
-FAN_OUT = 256
+FAN_OUT = 64
 # A range boundary is picked out of so many sampled keys.
 OVERSAMPLE = 16
 
@@ -67,44 +66,50 @@ def _types(df: DataFrame, keys: Sequence[str]) -> list[str]:
     return [df.schema[k].dataType.simpleString() for k in keys]
 
 
-def _before(keys: Sequence[str], types: Sequence[str], bound: tuple[str, ...]) -> Column:
+# Range tests are built as SQL text: some hundred nested columns would cost a call to the JVM each.
+def _literal(value: str, dtype: str) -> str:
+    text = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"CAST('{text}' AS {dtype})"
+
+
+def _before(keys: Sequence[str], types: Sequence[str], bound: tuple[str, ...]) -> str:
     """The key lies below a bound, part by part."""
-    k, b = col(keys[0]), typed(bound[0], types[0])
+    k, b = quote(keys[0]), _literal(bound[0], types[0])
     if len(keys) == 1:
-        return k < b
-    return (k < b) | ((k == b) & _before(keys[1:], types[1:], bound[1:]))
+        return f"{k} < {b}"
+    return f"({k} < {b} OR ({k} = {b} AND {_before(keys[1:], types[1:], bound[1:])}))"
 
 
-def _between(keys: Sequence[str], types: Sequence[str], low: Bound, high: Bound) -> Column:
+def _between(keys: Sequence[str], types: Sequence[str], low: Bound, high: Bound) -> str:
     """low <= key < high; the bare first part goes along, as files keep statistics of it."""
-    tests = []
-    first = col(keys[0])
+    tests, first = [], quote(keys[0])
     if low is not None:
+        tests.append(f"{first} >= {_literal(low[0], types[0])}")
         if len(keys) > 1:
-            tests.append(first >= typed(low[0], types[0]))
-        tests.append(~_before(keys, types, low) if len(keys) > 1 else first >= typed(low[0], types[0]))
+            tests.append(f"NOT {_before(keys, types, low)}")
     if high is not None:
         if len(keys) > 1:
-            tests.append(first <= typed(high[0], types[0]))
+            tests.append(f"{first} <= {_literal(high[0], types[0])}")
         tests.append(_before(keys, types, high))
-    return reduce(lambda a, b: a & b, tests) if tests else F.lit(True)
+    return " AND ".join(tests) or "true"
 
 
 def _within(keys, types, intervals: Sequence[tuple[Bound, Bound]]) -> Column:
-    tests = [_between(keys, types, low, high) for low, high in intervals]
-    return reduce(lambda a, b: a | b, tests) if tests else F.lit(False)
+    tests = [f"({_between(keys, types, low, high)})" for low, high in intervals]
+    return F.expr(" OR ".join(tests) or "false")
 
 
 def range_of(keys: Sequence[str], types: Sequence[str], bounds: Sequence[tuple[str, ...]]) -> Column:
     """Number of bounds at or below the key, by halving."""
 
-    def among(low: int, high: int) -> Column:
+    def among(low: int, high: int) -> str:
         if low == high:
-            return F.lit(low)
+            return str(low)
         mid = (low + high) // 2
-        return F.when(_before(keys, types, bounds[mid]), among(low, mid)).otherwise(among(mid + 1, high))
+        left, right = among(low, mid), among(mid + 1, high)
+        return f"CASE WHEN {_before(keys, types, bounds[mid])} THEN {left} ELSE {right} END"
 
-    return among(0, len(bounds))
+    return F.expr(among(0, len(bounds)))
 
 
 def range_digests(
@@ -142,9 +147,12 @@ def _sorted_bounds(
     edges = {b for ends in intervals for b in ends if b is not None}
     if edges:
         parts = [
-            F.struct(*[typed(v, t).alias(k) for v, t, k in zip(b, types, keys, strict=True)]) for b in edges
+            "struct(" + ", ".join(
+                f"{_literal(v, t)} AS {quote(k)}" for v, t, k in zip(b, types, keys, strict=True)
+            ) + ")"
+            for b in edges
         ]
-        one = source.sparkSession.range(1).select(F.explode(F.array(*parts)).alias("k")).select("k.*")
+        one = source.sparkSession.range(1).select(F.expr(f"inline(array({', '.join(parts)}))"))
         places = places.unionByName(one).distinct()
     found = places.orderBy(*cols(keys)).select(*[col(k).cast("string") for k in keys]).collect()
     return [tuple(r) for r in found]

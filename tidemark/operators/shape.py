@@ -136,36 +136,51 @@ def profile(df: DataFrame, exact: bool = False, rsd: float = 0.02) -> DataFrame:
     """Per column: rows, NULLs, distinct values, lowest and highest value as text.
 
     Distinct counts are HyperLogLog estimates (``rsd`` relative error), all from one scan.
-    ``exact`` groups each column by value instead, one narrow scan and shuffle per column,
-    with partial counts so that a frequent value is no hot spot.
+    ``exact`` counts values instead, all columns in one further scan and shuffle of (column, value
+    as text), with partial counts so that a frequent value is no hot spot. Columns that are no single
+    values are grouped one by one.
     """
-    if exact:
-        return reduce(DataFrame.unionByName, (_exact_profile(df, c) for c in df.columns))
+    exactly = _exact_distinct(df) if exact else None
     aggs: list[Column] = []
     for i, name in enumerate(df.columns):
         c = col(name)
         aggs += [
             F.count(F.lit(1)).alias(f"{i}_row_count"),
             F.count_if(c.isNull()).alias(f"{i}_null_count"),
-            F.approx_count_distinct(c, rsd).alias(f"{i}_distinct_count"),
+            *([] if exact else [F.approx_count_distinct(c, rsd).alias(f"{i}_distinct_count")]),
             F.min(c).cast("string").alias(f"{i}_min_value"),
             F.max(c).cast("string").alias(f"{i}_max_value"),
         ]
     measures = ["row_count", "null_count", "distinct_count", "min_value", "max_value"]
-    return unpivot_counts(df.agg(*aggs), df.columns, measures)
-
-
-def _exact_profile(df: DataFrame, name: str) -> DataFrame:
-    values = df.groupBy(col(name).alias("v")).agg(F.count(F.lit(1)).alias("n"))
-    rows = F.coalesce(F.sum("n"), F.lit(0))
-    nulls = F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0))
-    return values.agg(
-        rows.alias("row_count"),
-        nulls.alias("null_count"),
-        F.count("v").alias("distinct_count"),
-        F.min("v").cast("string").alias("min_value"),
-        F.max("v").cast("string").alias("max_value"),
-    ).select(F.lit(name).alias("column_name"), "*")
+    if not exact:
+        return unpivot_counts(df.agg(*aggs), df.columns, measures)
+    rest = unpivot_counts(df.agg(*aggs), df.columns, [m for m in measures if m != "distinct_count"])
+    # A row per column on either side.
+    return rest.join(F.broadcast(exactly), "column_name", "left").select(
+        "column_name",
+        *(F.coalesce(m, F.lit(0)).alias(m) if m == "distinct_count" else F.col(m) for m in measures),
+    )
+
+
+def _exact_distinct(df: DataFrame) -> DataFrame:
+    """``(column_name, distinct_count)`` of the columns that hold values."""
+    single, parts = [], []
+    for f in df.schema.fields:
+        c, name = col(f.name), F.lit(f.name).alias("column_name")
+        if isinstance(f.dataType, T.AtomicType):
+            # The two zeros are one value, but two texts.
+            zero = isinstance(f.dataType, (T.FloatType, T.DoubleType))
+            text = (c + F.lit(0.0).cast(f.dataType) if zero else c).cast("string")
+            single.append(F.struct(name, text.alias("v")))
+        elif not isinstance(f.dataType, T.NullType):
+            parts.append(df.where(c.isNotNull()).select(name, c.alias("v")).distinct())
+    if single:
+        values = df.select(F.inline(F.array(*single))).where("v IS NOT NULL")
+        parts.insert(0, values.distinct())
+    if not parts:
+        return df.limit(0).select(F.lit("").alias("column_name"), F.lit(0).cast("long").alias("distinct_count"))
+    counts = [p.groupBy("column_name").agg(F.count(F.lit(1)).alias("distinct_count")) for p in parts]
+    return reduce(DataFrame.unionByName, counts)
 
 
 def clean(df: DataFrame, schema: T.StructType | Sequence[ColumnSpec]) -> DataFrame:

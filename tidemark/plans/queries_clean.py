@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from tidemark.functions import clean as C
 from tidemark.functions.types import ColumnSpec
 from tidemark.operators import shape as S
+from tidemark.operators import sketches as K
 from tidemark.operators.keys import dedupe
 from tidemark.plans.registry import Tables, query
+from tidemark.session import work_dir
 
 TOKENS = "('', ' ', 'nan', 'None', 'NULL', 'null')"
 
@@ -333,6 +335,96 @@ ORDER_COLUMNS = [
 ]
 
 
+def profiles_by_year(t: Tables) -> K.ProfileStore:
+    """Every year of orders as a load, profiled on its own."""
+    orders = t.orders
+    store = K.ProfileStore(t.spark, work_dir(t.spark, "profiles"), orders.schema)
+    for r in orders.select(F.year("o_orderdate").alias("y")).distinct().collect():
+        store.add(str(r["y"]), orders.where(F.year("o_orderdate").eqNullSafe(F.lit(r["y"]))))
+    return store
+
+
+@query(
+    "profile_by_loads",
+    f"""SELECT * EXCLUDE (distinct_count) FROM ({profile_sql("orders", ORDER_COLUMNS)})""",
+)
+def profile_by_loads(t: Tables) -> DataFrame:
+    """What is exact in a profile merged from those of the loads."""
+    return profiles_by_year(t).report().select(
+        "column_name", "row_count", "null_count", "min_value", "max_value"
+    )
+
+
+@query(
+    "profile_frequent",
+    """SELECT 'o_orderstatus' AS column_name, o_orderstatus AS value, count(*) AS n FROM orders GROUP BY 2
+       UNION ALL
+       SELECT 'o_orderpriority', o_orderpriority, count(*) FROM orders GROUP BY 2""",
+)
+def profile_frequent(t: Tables) -> DataFrame:
+    """Fewer values than the sketch tracks are counted exactly."""
+    found = profiles_by_year(t).report().where("column_name IN ('o_orderstatus', 'o_orderpriority')")
+    return found.select("column_name", F.inline("frequent")).withColumnRenamed("count", "n")
+
+
+@query(
+    "profile_error_bounds",
+    "\nUNION ALL ".join(
+        f"SELECT '{c}' AS column_name, true AS distinct_in_bounds, {q} AS median_in_bounds"
+        for c, q in zip(ORDER_COLUMNS, ["true", "true", "NULL::BOOLEAN", "true", "true", "NULL::BOOLEAN"], strict=True)
+    ),
+)
+def profile_error_bounds(t: Tables) -> DataFrame:
+    """Estimates from merged sketches against exact counts and exact ranks."""
+    orders = t.orders
+    sketch = profiles_by_year(t).report().select(
+        "column_name", "distinct_count", F.col("quantiles")[1].alias("median")
+    )
+    exact = S.profile(orders, exact=True).select("column_name", F.col("distinct_count").alias("exact"))
+    # Share of values up to the estimated median, and below it: the median's rank lies between.
+    medians = {r["column_name"]: r["median"] for r in sketch.collect() if r["median"] is not None}
+    ranks = orders.agg(
+        *(
+            F.struct(
+                F.avg((F.col(c) < F.lit(m).cast(orders.schema[c].dataType)).cast("int")).alias("low"),
+                F.avg((F.col(c) <= F.lit(m).cast(orders.schema[c].dataType)).cast("int")).alias("high"),
+            ).alias(c)
+            for c, m in medians.items()
+        )
+    ).select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("r")) for c in medians])))
+    return (
+        sketch.join(exact, "column_name").join(ranks, "column_name", "left")
+        .select(
+            "column_name",
+            (F.abs(F.col("distinct_count") - F.col("exact")) <= 0.05 * F.col("exact")).alias("distinct_in_bounds"),
+            ((F.col("r.low") <= 0.53) & (F.col("r.high") >= 0.47)).alias("median_in_bounds"),
+        )
+    )
+
+
+@query(
+    "profile_value_drift",
+    """, old AS (SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '1998-01-01'),
+         new AS (SELECT * FROM orders WHERE o_orderdate >= TIMESTAMP '1998-01-01')
+       SELECT 'o_orderstatus' AS column_name, (SELECT count(*) FROM (
+                SELECT o_orderstatus FROM new EXCEPT SELECT o_orderstatus FROM old)) AS new_values
+       UNION ALL SELECT 'o_orderdate', (SELECT count(*) FROM (
+                SELECT o_orderdate FROM new EXCEPT SELECT o_orderdate FROM old))
+       UNION ALL SELECT 'o_orderpriority', (SELECT count(*) FROM (
+                SELECT o_orderpriority FROM new EXCEPT SELECT o_orderpriority FROM old))""".replace(
+        ", old AS", "WITH old AS", 1
+    ),
+)
+def profile_value_drift(t: Tables) -> DataFrame:
+    """Values of later years that earlier ones lack, from the stored sketches alone."""
+    store = profiles_by_year(t)
+    years = [str(y) for y in range(1990, 2010)]
+    before, after = store.profile(years[:8]), store.profile(years[8:])
+    return K.value_drift(before, after, store.schema).where(
+        "column_name IN ('o_orderstatus', 'o_orderdate', 'o_orderpriority')"
+    ).select("column_name", "new_values")
+
+
 @query("column_profile", profile_sql("orders", ORDER_COLUMNS))
 def column_profile(t: Tables) -> DataFrame:
     return S.profile(t.orders, exact=True)
