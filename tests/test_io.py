@@ -3,12 +3,14 @@
 import datetime as dt
 import json
 import os
+import shutil
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions.types import ColumnSpec
 from tidemark.operators import audit
+from tidemark.operators.change_log import record_id
 from tidemark.operators.merge import merge
 from tidemark.operators.stage import stage, staged
 from tidemark.plans import models
@@ -402,24 +404,112 @@ def test_stream_merge_equals_batch_merge(spark, tmp_path, buckets):
     assert t.version() == version
 
 
+def log_stream(spark, inbox, log, schema, checkpoint):
+    stream = streams.file_stream(spark, inbox, schema)
+    streams.stream_change_log(stream, log, "t", "k", "at", checkpoint).awaitTermination()
+
+
 def test_stream_replays_do_not_repeat(spark, tmp_path):
-    """A lost checkpoint replays every batch; the table stays as it was."""
-    inbox, log = str(tmp_path / "in"), str(tmp_path / "log")
+    """A batch that is run again, and a lost checkpoint of a merge; the table stays as it was."""
+    inbox, log, cp = (str(tmp_path / n) for n in ("in", "log", "cp1"))
     t = VersionedTable(spark, str(tmp_path / "t"))
     t.write(table(spark, [(1, "a", 1)]))
     arrive(spark, inbox, [(2, "b", 2)])
     run_merge(spark, inbox, t, str(tmp_path / "cp"))
     before = content(t.read())
-    stream = streams.file_stream(spark, inbox, t.read().schema)
-    for checkpoint in ("cp1", "cp2"):
-        streams.stream_change_log(
-            stream, log, "t", "k", "at", str(tmp_path / checkpoint)
-        ).awaitTermination()
+    for _ in range(2):
+        log_stream(spark, inbox, log, t.read().schema, cp)
+        # The batch's end is forgotten: it runs again.
+        for f in (tmp_path / "cp1" / "commits").glob("*0*"):
+            f.unlink()
     assert spark.read.parquet(log).count() == 1
     run_merge(spark, inbox, t, str(tmp_path / "cp9"))
     assert content(t.read()) == before
 
 
+def test_two_checkpoints_add_to_one_change_log(spark, tmp_path):
+    """Both number their batches from 0."""
+    log = str(tmp_path / "log")
+    for k, rows in enumerate(([(i, "a", 1) for i in range(5)], [(i, "b", 1) for i in range(10, 15)])):
+        inbox = str(tmp_path / f"in{k}")
+        arrive(spark, inbox, rows)
+        log_stream(spark, inbox, log, table(spark, []).schema, str(tmp_path / f"cp{k}"))
+    assert spark.read.parquet(log).count() == 10
+
+
+def test_a_checkpoint_made_anew_at_the_same_place_is_another_stream(spark, tmp_path):
+    """Its first batch isn't the one the old checkpoint committed."""
+    t, cp = VersionedTable(spark, str(tmp_path / "t")), tmp_path / "cp"
+    t.write(table(spark, [(1, "a", 1)]))
+    arrive(spark, str(tmp_path / "in1"), [(2, "b", 2)])
+    run_merge(spark, str(tmp_path / "in1"), t, str(cp))
+    shutil.rmtree(cp)
+    arrive(spark, str(tmp_path / "in2"), [(3, "c", 3)])
+    run_merge(spark, str(tmp_path / "in2"), t, str(cp))
+    assert content(t.read()) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_cdc_logs_what_the_policy_for_repeated_keys_keeps(spark, tmp_path):
+    rows = table(spark, [(1, "a", 1), (1, "b", 2), (2, "x", 1)])
+    spec = SyncSpec("t", rows, "k", "cdc", on_duplicate="latest", order_by=("at",))
+    for _ in range(2):
+        sync_table(spark, spec, str(tmp_path), dt.datetime(2024, 1, 1))
+    log = spark.read.parquet(f"{tmp_path}/t_cdc").select("operation", "record_id").collect()
+    assert sorted(map(tuple, log)) == [("INSERT", "1"), ("INSERT", "2")]
+    fan_out(spark, rows, [TargetSpec("f", "cdc", keys=("k",), on_duplicate="latest", order_by=("at",))], str(tmp_path))
+    assert spark.read.parquet(f"{tmp_path}/f_cdc").count() == 2
+
+
+def test_record_ids_of_different_keys_differ(spark):
+    rows = [("a|b", "c"), ("a", "b|c"), ("a\\", "b"), ("a", "\\|b"), ("a\\|", "b"), ("plain", "x")]
+    df = spark.createDataFrame(rows, "p string, q string")
+    ids = [r[0] for r in df.select(record_id(["p", "q"])).collect()]
+    assert len(set(ids)) == len(rows) and ids[-1] == "plain|x"
+
+
+def test_late_rows_are_routed(spark, tmp_path):
+    """On time, late and unseen, late repeats, NULL keys, no time; then a replay and a new checkpoint."""
+    inbox, out, cp = (str(tmp_path / n) for n in ("in", "out", "cp"))
+    schema = "k int, v string, at timestamp_ntz"
+
+    def day(d, h=0):
+        return dt.datetime(2024, 1, d, h)
+
+    def run(checkpoint):
+        stream = streams.file_stream(spark, inbox, spark.createDataFrame([], schema).schema)
+        streams.stream_dedupe_into(stream, out, "k", "at", checkpoint, "1 day").awaitTermination()
+
+    polls = [
+        [(1, "a", day(1)), (2, "b", day(10)), (2, "later", day(10, 1)), (None, "n", day(10))],
+        # 1 again but late, 3 late and unseen, twice; 2 again in time; 4 in time; without a key; without a time
+        [(1, "again", day(2)), (3, "c", day(3)), (3, "cc", day(4)), (2, "again", day(10, 5)), (4, "d", day(11)),
+         (None, "n", day(10)), (5, "e", None), (1, "no time", None)],
+        # Late repeats of rows that came late.
+        [(3, "again", day(3)), (5, "again", day(5)), (6, "f", day(20))],
+    ]
+    for rows in polls:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(inbox)
+        run(cp)
+    unique = streams.UniqueRows(spark, out)
+    want = [(1, "a"), (2, "b"), (3, "c"), (4, "d"), (5, "e"), (6, "f"), (None, "n"), (None, "n")]
+
+    def found():
+        rows = unique.rows(spark.createDataFrame([], schema).schema).select("k", "v").collect()
+        return sorted(map(tuple, rows), key=repr)
+
+    assert found() == sorted(want, key=repr)
+    marks = [tuple(r) for r in unique.marks().orderBy("batch_id").select("on_time", "late", "repeated").collect()]
+    assert marks == [(3, 0, 1), (2, 2, 4), (1, 0, 2)]
+    # The last batch runs again.
+    for f in (tmp_path / "cp" / "commits").glob("*2*"):
+        f.unlink()
+    run(cp)
+    assert found() == sorted(want, key=repr)
+    # Everything comes again under a new checkpoint: only rows without a key equal nothing.
+    run(str(tmp_path / "cp2"))
+    assert found() == sorted([*want, (None, "n"), (None, "n")], key=repr)
+
+
 def test_stream_dedupe_across_polls(spark, tmp_path):
     inbox, out, cp = (str(tmp_path / n) for n in ("in", "out", "cp"))
     for rows in ([(1, "a", 1), (2, "b", 2)], [(2, "b", 2), (3, "c", 2)]):

@@ -27,11 +27,17 @@ def _json(row: Column) -> Column:
 
 
 def record_id(keys: Sequence[str], row: str | None = None) -> Column:
-    """The key as text: one part as it is, several joined by ``|``; NULL if any is NULL."""
+    """The key as text: one part as it is, several joined by ``|``; NULL if any is NULL.
+
+    Of several, ``|`` and the escape itself are escaped by ``\\`` inside a part, so different keys have
+    different texts.
+    """
     parts = [F.col(row)[k] if row else F.col(f"`{k}`") for k in keys]
     texts = [p.cast("string") for p in parts]
     if len(texts) == 1:
         return texts[0]
+    # Only text parts can hold either sign.
+    texts = [F.regexp_replace(t, r"([|\\])", r"\\$1") for t in texts]
     joined = texts[0]
     for t in texts[1:]:
         joined = F.concat(joined, F.lit("|"), t)

@@ -434,6 +434,45 @@ def stream_dedupe(t: Tables) -> DataFrame:
     return t.spark.read.parquet(out)
 
 
+@query("stream_dedupe_late", "SELECT * FROM events")
+def stream_dedupe_late(t: Tables) -> DataFrame:
+    """Polls in order of time, then repeats of old rows, and rows of unseen keys that come weeks late."""
+    events = t.events
+    inbox, out = work_dir(t.spark, "inbox"), work_dir(t.spark, "unique")
+    checkpoint = work_dir(t.spark, "checkpoint")
+    missed = F.col("event_id") % 10 == 0
+    polls = (
+        events.where(~missed),
+        events.where(F.col("event_id") % 3 == 1).unionByName(events.where(missed)),
+        events.where(F.col("event_id") % 4 == 0),
+    )
+    for poll in polls:
+        poll.write.mode("append").parquet(inbox)
+        stream = streams.file_stream(t.spark, inbox, events.schema)
+        streams.stream_dedupe_into(stream, out, "event_id", "ts", checkpoint, "2 days").awaitTermination()
+    return streams.UniqueRows(t.spark, out).rows(events.schema)
+
+
+@query(
+    "sync_cdc_repeated_keys",
+    f"""{LATEST_SQL}
+        SELECT CASE WHEN t.o_orderkey IS NULL THEN 'INSERT' ELSE 'UPDATE' END AS operation,
+               CAST(l.o_orderkey AS VARCHAR) AS record_id
+        FROM latest l LEFT JOIN orders_hwm_tgt t USING (o_orderkey)""",
+    uses=("orders_hwm_tgt", "stage_dup"),
+)
+def sync_cdc_repeated_keys(t: Tables) -> DataFrame:
+    """Keys that are staged twice are logged as they are merged, once; a second run logs nothing."""
+    base = work_dir(t.spark, "synced")
+    table_at(t.spark, base, "orders").write(t.orders_hwm_tgt)
+    spec = SyncSpec(
+        "orders", t.stage_dup, "o_orderkey", "cdc", on_duplicate="latest", order_by=("o_orderdate",)
+    )
+    for _ in range(2):
+        sync_table(t.spark, spec, base, RUN_TS)
+    return t.spark.read.parquet(f"{base}/orders_cdc").select("operation", "record_id")
+
+
 SYNC_SQL = """
     SELECT 'orders' AS target, 'full_sync' AS mode, 'completed' AS status,
            count(*) AS staged_rows, count(*) AS target_rows FROM orders

@@ -28,6 +28,7 @@ from tidemark.operators.incremental import (
     version_mode,
     watermark_value,
 )
+from tidemark.operators.keys import resolve_duplicates
 from tidemark.operators.merge import merge
 from tidemark.operators.reconcile import reconcile_keys
 from tidemark.operators.shape import clean, conform, lost_values
@@ -206,22 +207,24 @@ def sync_table(spark: SparkSession, spec: SyncSpec, base: str, run_ts: object) -
             # Nothing new: the target is not rewritten.
             return {"staged_rows": 0, **_outcome(table), **bad}
         version = table.next_version()
+        rows, options = stage.rows, {"on_duplicate": spec.on_duplicate, "order_by": spec.order_by}
         if spec.mode == "cdc":
-            write_changes(current, stage.rows, spec.target, spec.keys, base, version, run_ts)
-        merge_into(
-            table,
-            stage.rows,
-            spec.keys,
-            spec.mode,
-            version,
-            on_duplicate=spec.on_duplicate,
-            order_by=spec.order_by,
-            run_ts=run_ts,
-        )
+            rows, options = one_per_key(rows, spec.keys, **options), {"on_duplicate": "unique"}
+            write_changes(current, rows, spec.target, spec.keys, base, version, run_ts)
+        merge_into(table, rows, spec.keys, spec.mode, version, run_ts=run_ts, **options)
         found = check_keys(spec, stage.rows, table) if spec.check_keys else {}
         return {"staged_rows": stage.row_count, **_outcome(table), **found, **bad}
 
 
+def one_per_key(
+    rows: DataFrame, keys: Sequence[str], on_duplicate: str, order_by: Sequence[str] = ()
+) -> DataFrame:
+    """Staged rows as the log and the table both take them: the policy for repeated keys applied."""
+    if on_duplicate == "keep":
+        raise ValueError("a change log needs one row per key; on_duplicate can't be 'keep'")
+    return resolve_duplicates(rows, list(keys), on_duplicate, as_list(order_by))
+
+
 def write_changes(
     current: DataFrame | None,
     rows: DataFrame,
@@ -232,7 +235,8 @@ def write_changes(
     run_ts: object,
 ) -> None:
     """Log what ``rows`` change in the stored table: INSERT and UPDATE with old and new values,
-    nothing for rows that are equal. Stored rows that an extract lacks are no deletions.
+    nothing for rows that are equal. Stored rows that an extract lacks are no deletions. ``rows``
+    hold a key once (:func:`one_per_key`).
 
     The folder is named by version and replaced as a whole: a retry does not log twice.
     """
@@ -371,12 +375,13 @@ def fan_out(
                 raise ValueError(f"{t.mode} needs at least one key column")
             options = {"on_duplicate": t.on_duplicate, "order_by": t.order_by, "run_ts": run_ts}
             with staged(spark, mine) as stage:
+                rows = stage.rows
                 if t.mode == "cdc":
+                    rows = one_per_key(rows, own_keys, t.on_duplicate, t.order_by)
+                    options["on_duplicate"] = "unique"
                     current = table.read() if table.exists() else None
-                    write_changes(
-                        current, stage.rows, t.name, own_keys, base, table.next_version(), run_ts
-                    )
-                merge_into(table, stage.rows, own_keys, t.mode, **options)
+                    write_changes(current, rows, t.name, own_keys, base, table.next_version(), run_ts)
+                merge_into(table, rows, own_keys, t.mode, **options)
             return t.name, table.row_count(), None
         except Exception as e:  # the other targets go on
             return t.name, None, f"{type(e).__name__}: {e}"
