@@ -33,7 +33,7 @@ def test_narrowing_covers_all_that_differs(tables, rows):
     assert found.equal_rows == source.where(outside).count()
 
 
-@pytest.mark.parametrize("fan_out", [2, 7, 64])
+@pytest.mark.parametrize("fan_out", [3, 64])
 def test_same_report_as_the_full_comparison(tables, rows, fan_out):
     source, target = tables
     want = rows(R.reconcile_rows(source, target, "o_orderkey"))
@@ -105,7 +105,6 @@ def test_empty_sides(spark, rows):
     [
         ("string", lambda i: f"k{i:04d}é'"),
         ("date", lambda i: dt.date(2000, 1, 1) + dt.timedelta(i)),
-        ("timestamp", lambda i: dt.datetime(2000, 1, 1) + dt.timedelta(minutes=i)),
         ("timestamp_ntz", lambda i: dt.datetime(2000, 1, 1) + dt.timedelta(minutes=i, microseconds=i)),
         ("decimal(12,3)", lambda i: Decimal(i) / 8),
         ("double", lambda i: i / 3 if i < 299 else float("nan")),

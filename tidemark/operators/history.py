@@ -8,13 +8,20 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.literals import timestamp
 from tidemark.functions.names import as_list, col, cols, require_columns
-from tidemark.operators.keys import differs, pair_by_key
+from tidemark.operators.keys import (
+    any_null,
+    differs,
+    pair_by_key,
+    reject_duplicates,
+    split_null_keys,
+)
 
 
 @dataclass(frozen=True)
@@ -138,6 +145,162 @@ def snapshot(
     return closed.unionByName(after)
 
 
+def next_load(loads: Sequence[object], run_ts: object) -> object | None:
+    """The earliest of ``loads`` after ``run_ts``."""
+    return min((t for t in loads if t > run_ts), default=None)
+
+
+def splice_load(
+    history: DataFrame | None,
+    source: DataFrame,
+    key: str | Sequence[str],
+    run_ts: object,
+    next_run_ts: object | None = None,
+    check_cols: Sequence[str] | None = None,
+    names: HistoryColumns = HistoryColumns(),
+) -> DataFrame:
+    """The history after a whole load of the source that was taken at ``run_ts``, however late it comes.
+
+    As ``snapshot(..., "check", hard_deletes=True)``, but ``history`` may hold later loads already;
+    ``next_run_ts`` is the first of them (:func:`next_load`), which confirmed what lasted beyond it. Loads
+    spliced in any order give the history of their order in time, if all columns are checked; a column that isn't is that of the
+    load that opened the version, or of the version it was cut from.
+
+    Per key: an equal version around ``run_ts`` stays; another one ends there and, if it outlasted the next load, starts again
+    at it; the load's row holds until the next load, or joins the version that starts with it
+    and equals it; a key that the load lacks has a gap there. A load at a time that is known
+    changes nothing that is known.
+
+    Only versions around ``run_ts`` and those that start at ``next_run_ts`` take part, found by literal filters on the
+    bookkeeping columns; all others pass through untouched. At most one of each per key meet in a
+    join, so a key with many versions is no hot spot. A repeated key in the load fails the job; a NULL key matches no version.
+    """
+    keys = as_list(key)
+    require_columns(source.columns, keys, "source")
+    if run_ts is None:
+        raise ValueError("run_ts is needed to stamp versions")
+    if history is None:
+        return first_snapshot(source, run_ts, None, names)
+    at = timestamp(run_ts)
+    since, until = col(names.valid_from), col(names.valid_to)
+    around = (since <= at) & (until.isNull() | (until > at))
+    follows = since == timestamp(next_run_ts) if next_run_ts is not None else F.lit(False)
+    data = [c for c in history.columns if c not in names.all]
+    types = {f.name: f.dataType for f in history.schema.fields}
+    compared = list(check_cols) if check_cols is not None else [c for c in data if c not in keys]
+
+    # NULL keys of the history equal nothing; what follows them is a version of its own.
+    row = F.struct(*cols(history.columns))
+    ahead = history.where(follows & ~any_null(keys)).select(
+        *(col(k).alias(f"__k{i}") for i, k in enumerate(keys)), row.alias("w")
+    )
+    lone = history.where(follows & any_null(keys))
+    pairs = pair_by_key(history.where(around), source, keys).select(
+        *(F.coalesce(F.col("before")[k], F.col("after")[k]).alias(f"__k{i}") for i, k in enumerate(keys)),
+        "before", "after",
+    )
+    pairs = pairs.join(ahead, [f"__k{i}" for i in range(len(keys))], "full")
+
+    v, r, w = F.col("before"), F.col("after"), F.col("w")
+    has_v, has_r, has_w = v.isNotNull(), r.isNotNull(), w.isNotNull()
+    same_v = has_v & has_r & ~differs("before", "after", compared)
+    known = has_v & (v[names.valid_from] == at)
+    have = set(source.columns)
+
+    def version(values: Column, start: Column, end: Column, loaded: bool = False) -> Column:
+        def of(c: str) -> Column:
+            return (F.lit(None) if loaded and c not in have else values[c]).cast(types[c]).alias(c)
+
+        stamps = {names.valid_from: start, names.valid_to: end, names.updated_at: start}
+        return F.struct(
+            *(stamps[c].cast(types[c]).alias(c) if c in stamps else of(c) for c in history.columns)
+        )
+
+    ahead_at = timestamp(next_run_ts) if next_run_ts is not None else F.lit(None).cast("timestamp_ntz")
+    lasts = v[names.valid_to].isNull() | (v[names.valid_to] > ahead_at)
+    cut = has_v & ~known & ~same_v
+    same_w = has_r & has_w & ~differs("after", "w", compared)
+    opens = has_r & ~known & ~same_v
+    versions = F.array_compact(
+        F.array(
+            F.when(has_v & ~cut, v),
+            F.when(cut, version(v, v[names.valid_from], at)),
+            # What the next load confirmed starts again with it.
+            F.when(cut & ahead_at.isNotNull() & lasts, version(v, ahead_at, v[names.valid_to])),
+            F.when(opens & ~same_w, version(r, at, ahead_at, loaded=True)),
+            F.when(opens & same_w, version(r, at, w[names.valid_to], loaded=True)),
+            F.when(has_w & ~(opens & same_w), w),
+        )
+    )
+    rest = history.where(~F.coalesce(around | follows, F.lit(False)))
+    return rest.unionByName(lone).unionByName(pairs.select(F.inline(versions)))
+
+
+def splice_rows(
+    history: DataFrame | None,
+    rows: DataFrame,
+    key: str | Sequence[str],
+    updated_at: str,
+    names: HistoryColumns = HistoryColumns(),
+) -> DataFrame:
+    """The history after rows that changed at their ``updated_at``, however late they come.
+
+    As ``snapshot(..., "timestamp")``, but a row older than its key's open version is put where it
+    belongs: it ends the version around its time and lasts to where that ended, or to the next version. Rows
+    spliced in any order give one history. A key's version of the same time stays as it is. A
+    repeated key among ``rows`` and a NULL time fail the job; a NULL key matches no version, so it opens one.
+
+    The history is joined with the rows twice, never shuffled for a small load, and no key's
+    versions are gathered: neighbours are minima and maxima per key.
+    """
+    keys = as_list(key)
+    require_columns(rows.columns, [*keys, updated_at], "rows")
+    time = F.coalesce(
+        col(updated_at).cast("timestamp_ntz"),
+        F.raise_error(F.lit(f"{updated_at} is NULL")).cast("timestamp_ntz"),
+    )
+    if history is None:
+        history = first_snapshot(rows.limit(0), None, updated_at, names)
+    keyed, unkeyed = split_null_keys(rows, keys)
+    keyed = reject_duplicates(keyed, keys, "rows")
+    types = {f.name: f.dataType for f in history.schema.fields}
+    at, since, until = F.col("__at"), col(names.valid_from), col(names.valid_to)
+    times = keyed.select(*cols(keys), time.alias("__at"))
+    inside = (since < at) & (until.isNull() | (until > at))
+    near = history.select(*cols(keys), since, until).join(times, keys)
+    cuts = near.groupBy(*cols(keys)).agg(
+        F.bool_or(since == at).alias("__known"),
+        F.min(F.when(since > at, since)).alias("__next"),
+        # A struct, as an open version's end is NULL.
+        F.max(F.when(inside, F.struct(until.alias("to")))).alias("__inside"),
+    )
+    placed = keyed.withColumn("__at", time).join(cuts, keys, "left")
+    end = F.when(F.col("__inside").isNotNull(), F.col("__inside.to")).otherwise(F.col("__next"))
+    fresh = placed.where(~F.coalesce(F.col("__known"), F.lit(False))).withColumn("__end", end)
+    alone = unkeyed.withColumn("__at", time).withColumn("__end", F.lit(None).cast("timestamp_ntz"))
+    have = set(rows.columns)
+
+    def opened(df: DataFrame) -> DataFrame:
+        stamps = {names.valid_from: at, names.valid_to: F.col("__end"), names.updated_at: at}
+        return df.select(
+            *(
+                (stamps[c] if c in stamps else col(c) if c in have else F.lit(None)).cast(types[c]).alias(c)
+                for c in history.columns
+            )
+        )
+
+    own, none = split_null_keys(history, keys)
+    marks = times.select(*(col(k).alias(f"__k{i}") for i, k in enumerate(keys)), "__at")
+    match = reduce(lambda a, b: a & b, (col(k) == F.col(f"__k{i}") for i, k in enumerate(keys)))
+    cut = own.join(marks, match & inside, "left").select(
+        *(
+            (F.coalesce(at.cast(types[c]), col(c)).alias(c) if c == names.valid_to else col(c))
+            for c in history.columns
+        )
+    )
+    return cut.unionByName(none).unionByName(opened(fresh)).unionByName(opened(alone))
+
+
 def as_of(
     history: DataFrame, t: object, names: HistoryColumns = HistoryColumns()
 ) -> DataFrame:

@@ -28,8 +28,8 @@ QUANTILES = (0.25, 0.5, 0.75)
 EPOCH = "TIMESTAMP_NTZ '1970-01-01 00:00:00'"
 
 
-def _ordinal(name: str, dtype: T.DataType) -> tuple[str, Column] | None:
-    """The kind of quantile sketch for a type, and the value to put in; None where it has none."""
+def ordinal_of(name: str, dtype: T.DataType) -> tuple[str, Column] | None:
+    """A column as a number in its order, ``bigint`` or ``double``; None where its type has none."""
     c = col(name)
     if isinstance(dtype, T.IntegralType):
         return "bigint", c.cast("long")
@@ -80,7 +80,7 @@ def sketched(df: DataFrame) -> DataFrame:
             F.theta_sketch_agg(F.concat(F.lit("="), text), LG_NOMINAL).alias(f"{i}_theta"),
             F.call_function("approx_top_k_accumulate", text, F.lit(TRACKED)).alias(f"{i}_top"),
         ]
-        ordinal = _ordinal(f.name, f.dataType)
+        ordinal = ordinal_of(f.name, f.dataType)
         if ordinal:
             kind, value = ordinal
             aggs.append(F.call_function(f"kll_sketch_agg_{kind}", value, F.lit(K)).alias(f"{i}_kll"))
@@ -98,7 +98,7 @@ def merged(profiles: DataFrame, schema: T.StructType) -> DataFrame:
             F.theta_union_agg(f"{i}_theta", LG_NOMINAL).alias(f"{i}_theta"),
             F.call_function("approx_top_k_combine", F.col(f"{i}_top"), F.lit(TRACKED)).alias(f"{i}_top"),
         ]
-        ordinal = _ordinal(f.name, f.dataType)
+        ordinal = ordinal_of(f.name, f.dataType)
         if ordinal:
             merge = F.call_function(f"kll_merge_agg_{ordinal[0]}", F.col(f"{i}_kll"))
             aggs.append(merge.alias(f"{i}_kll"))
@@ -118,7 +118,7 @@ def report(
     measures = ["row_count", "null_count", "distinct_count", "min_value", "max_value", "quantiles", "frequent"]
     out = []
     for i, f in enumerate(fields):
-        ordinal = _ordinal(f.name, f.dataType)
+        ordinal = ordinal_of(f.name, f.dataType)
         values = F.lit(None)
         if ordinal:
             kind = ordinal[0]
@@ -179,7 +179,7 @@ def value_drift(before: DataFrame, after: DataFrame, schema: T.StructType, point
             F.when(s["row_count"] > 0, s[f"{i}_nulls"] / s["row_count"]).otherwise(F.lit(0.0)) for s in (a, b)
         ]
         shift = F.lit(None).cast("double")
-        ordinal = _ordinal(f.name, f.dataType)
+        ordinal = ordinal_of(f.name, f.dataType)
         if ordinal:
             kind, pair_of = ordinal[0], (a[f"{i}_kll"], b[f"{i}_kll"])
             grid = F.array(*[F.lit(k / points) for k in range(points + 1)])

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tidemark.functions.names import cols
 from tidemark.operators import change_log as log
 from tidemark.operators import history as H
+from tidemark.operators.asof import as_of_join
 from tidemark.operators.keys import dedupe, key_violations
 from tidemark.operators.merge import merge, merge_stats
 from tidemark.operators.stage import staged
@@ -24,6 +25,7 @@ from tidemark.streaming import streams
 
 RUN_TS = "2025-08-13 01:00:00"
 FIRST_TS = "2025-08-12 01:00:00"
+MIDDLE_TS = "2025-08-12 13:00:00"
 ORDERS = "o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority"
 
 # Orders that changed since the target was loaded: the staged delta of most merges.
@@ -587,6 +589,127 @@ def snapshot_three_runs(t: Tables) -> DataFrame:
     return table.read().select(*SNAPSHOT_COLUMNS)
 
 
+# The same history under a name, for SQL that goes on from it.
+HISTORY_SQL = snapshot_sql(True).replace("SELECT o.pk,", ", h AS (SELECT o.pk,", 1) + ")"
+
+
+MIDDLE_SQL = """, middle AS (
+    SELECT code, exchange, gts_exnm, ticker, country_code, isin, name_local, name_en, as_of,
+           CASE WHEN ticker LIKE '%5' THEN close_price + 7e0 ELSE close_price END AS close_price, curr
+    FROM stock_master WHERE ticker NOT LIKE '%2')"""
+
+
+def three_loads_sql() -> str:
+    """Versions of three whole loads in order of time: every run of equal rows of a key is one."""
+    every = ", ".join(["pk", "ticker", *CHECKED])
+    return f"""{MIDDLE_SQL}, loads AS (
+      SELECT 1 AS n, {every} FROM (SELECT *, {PK_SQL} AS pk FROM stock_master)
+      UNION ALL SELECT 2, {every} FROM (SELECT *, {PK_SQL} AS pk FROM middle)
+      UNION ALL SELECT 3, {every} FROM (SELECT *, {PK_SQL} AS pk FROM stock_master_v2)),
+    marked AS (SELECT *, lag(n) OVER w AS before_n,
+        lag(struct_pack({", ".join(f"{c} := {c}" for c in CHECKED)})) OVER w AS before_row
+      FROM loads WHERE pk IS NOT NULL WINDOW w AS (PARTITION BY pk ORDER BY n)),
+    starts AS (SELECT *, before_n IS NULL OR before_n <> n - 1 OR before_row IS DISTINCT FROM
+        struct_pack({", ".join(f"{c} := {c}" for c in CHECKED)}) AS begins FROM marked),
+    numbered AS (SELECT *, sum(begins::INT) OVER (PARTITION BY pk ORDER BY n) AS v FROM starts),
+    stops AS (SELECT * FROM (VALUES (1, TIMESTAMP '{FIRST_TS}'), (2, TIMESTAMP '{MIDDLE_TS}'),
+      (3, TIMESTAMP '{RUN_TS}'), (4, NULL)) AS x(n, ts))
+    SELECT pk, close_price, a.ts AS scd_valid_from, b.ts AS scd_valid_to
+    FROM (SELECT pk, v, min(n) AS low, max(n) AS high, any_value(close_price) AS close_price
+          FROM numbered GROUP BY pk, v) JOIN stops a ON a.n = low JOIN stops b ON b.n = high + 1"""
+
+
+@query("snapshot_out_of_order", three_loads_sql(), uses=STOCK)
+def snapshot_out_of_order(t: Tables) -> DataFrame:
+    """The second of three loads comes last, the first one second."""
+    first = t.stock_master
+    late = F.col("ticker").like("%5")
+    middle = first.where("ticker NOT LIKE '%2'").withColumn(
+        "close_price", F.when(late, F.col("close_price") + 7).otherwise(F.col("close_price"))
+    )
+    loads = {FIRST_TS: first, MIDDLE_TS: middle, RUN_TS: t.stock_master_v2}
+    history, seen = None, []
+    for ts in (RUN_TS, FIRST_TS, MIDDLE_TS):
+        rows = with_pk(loads[ts]).select("pk", "ticker", *CHECKED).where("pk IS NOT NULL")
+        history = H.splice_load(history, rows, "pk", ts, H.next_load(seen, ts), check_cols=CHECKED)
+        seen.append(ts)
+    return history.select("pk", "close_price", "scd_valid_from", "scd_valid_to")
+
+
+LATE_DAYS = (10, 30, 20)
+LATE_SQL = " ".join(
+    f"""UNION ALL SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice - {d}, o_orderdate - INTERVAL {d} DAY,
+        o_orderpriority FROM orders WHERE o_orderkey % {d} < 5"""
+    for d in LATE_DAYS
+)
+
+
+@query(
+    "snapshot_late_rows",
+    f"""SELECT {ORDERS}, o_orderdate AS scd_valid_from, lead(o_orderdate) OVER (
+          PARTITION BY o_orderkey ORDER BY o_orderdate) AS scd_valid_to
+        FROM (SELECT {ORDERS} FROM orders {LATE_SQL})""",
+)
+def snapshot_late_rows(t: Tables) -> DataFrame:
+    """A history by row time that gets older rows, before all it holds and in between."""
+    history = H.splice_rows(None, t.orders, "o_orderkey", "o_orderdate")
+    for d in LATE_DAYS:
+        old = t.orders.where(F.col("o_orderkey") % d < 5).withColumns(
+            {"o_totalprice": F.col("o_totalprice") - d,
+             "o_orderdate": F.col("o_orderdate") - F.expr(f"INTERVAL '{d}' DAY")}
+        )
+        history = H.splice_rows(history, old, "o_orderkey", "o_orderdate")
+    return history.select(*cols(t.orders.columns), "scd_valid_from", "scd_valid_to")
+
+
+LAST_ORDER = """SELECT o.o_orderkey, p.o_orderkey AS last_orderkey, p.o_totalprice AS last_totalprice
+    FROM (SELECT * FROM orders WHERE o_orderkey % 2 = 1) o ASOF LEFT JOIN (
+      SELECT * FROM orders WHERE o_orderkey % 2 = 0
+      QUALIFY row_number() OVER (PARTITION BY {key}, o_orderdate ORDER BY o_orderkey DESC) = 1) p
+    ON o.{key} = p.{key} AND o.o_orderdate >= p.o_orderdate"""
+
+
+def last_order(t: Tables, key: str) -> DataFrame:
+    """For every second order the last of the others with the same key."""
+    orders = t.orders
+    facts = orders.where("o_orderkey % 2 = 1").select("o_orderkey", key, F.col("o_orderdate").alias("at"))
+    others = orders.where("o_orderkey % 2 = 0").select(
+        key, F.col("o_orderdate").alias("since"), F.col("o_orderkey").alias("orderkey"),
+        F.col("o_totalprice").alias("totalprice"),
+    )
+    found = as_of_join(facts, others, key, "at", "since", prefix="last_")
+    return found.select("o_orderkey", "last_orderkey", "last_totalprice")
+
+
+@query("asof_join", LAST_ORDER.format(key="o_custkey"))
+def asof_join(t: Tables) -> DataFrame:
+    return last_order(t, "o_custkey")
+
+
+@query("asof_join_hot_key", LAST_ORDER.format(key="o_orderstatus"))
+def asof_join_hot_key(t: Tables) -> DataFrame:
+    """A third of all rows have one key."""
+    return last_order(t, "o_orderstatus")
+
+
+@query(
+    "asof_join_history",
+    f"""{HISTORY_SQL}, facts AS (
+          SELECT pk, ts FROM (SELECT {PK_SQL} AS pk FROM stock_master), (VALUES
+            (TIMESTAMP '2025-08-01 00:00:00'), (TIMESTAMP '{FIRST_TS}'), (TIMESTAMP '2025-08-30 00:00:00')) AS x(ts))
+        SELECT f.pk, ts, h.close_price AS was_close_price FROM facts f LEFT JOIN h ON h.pk = f.pk
+          AND h.scd_valid_from <= ts AND (h.scd_valid_to IS NULL OR h.scd_valid_to > ts)""",
+    uses=STOCK,
+)
+def asof_join_history(t: Tables) -> DataFrame:
+    """Rows of several times against a history with ends: a deleted key holds nothing afterwards."""
+    times = F.array(*[F.lit(x).cast("timestamp_ntz") for x in ("2025-08-01 00:00:00", FIRST_TS, "2025-08-30 00:00:00")])
+    facts = with_pk(t.stock_master).select("pk", F.explode(times).alias("ts"))
+    history = two_loads(t, True).select("pk", "close_price", "scd_valid_from", "scd_valid_to")
+    found = as_of_join(facts, history, "pk", "ts", "scd_valid_from", "scd_valid_to", prefix="was_")
+    return found.select("pk", "ts", "was_close_price")
+
+
 @query(
     "snapshot_timestamp",
     f"""{LATEST_SQL}
@@ -619,10 +742,6 @@ def snapshot_as_of(t: Tables) -> DataFrame:
     return state.select(*PK, "country_code", "isin", "close_price", "curr", "pk")
 
 
-# The same history under a name, for SQL that goes on from it.
-HISTORY_SQL = snapshot_sql(True).replace("SELECT o.pk,", ", h AS (SELECT o.pk,", 1) + ")"
-
-
 @query(
     "snapshot_history",
     f"{HISTORY_SQL} SELECT * FROM h WHERE country_code = 'KR'",
