@@ -14,8 +14,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.names import as_list, col, cols, require_columns
-from tidemark.operators.digests import range_of
 from tidemark.operators.keys import any_null
+from tidemark.operators.ranges import range_of
 from tidemark.operators.sketches import ordinal_of
 
 BUCKETS = 256

@@ -16,20 +16,16 @@ from collections.abc import Sequence
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.names import as_list, col, cols, quote, require_columns
 from tidemark.operators.keys import any_null
+from tidemark.operators.ranges import Bound, literal, merged, range_of, sampled_bounds, types_of, within
 from tidemark.operators.reconcile import reconcile_keys, reconcile_rows
 
-# A place between keys: the texts of its parts, None for the open end.
-Bound = tuple[str, ...] | None
-
 PARTS = ("d0", "d1", "d2", "d3")
 FAN_OUT = 64
-# A range boundary is picked out of so many sampled keys.
-OVERSAMPLE = 16
 
 
 class Level(NamedTuple):
@@ -62,56 +58,6 @@ def row_hashes(columns: Sequence[str]) -> list[Column]:
     return out
 
 
-def _types(df: DataFrame, keys: Sequence[str]) -> list[str]:
-    return [df.schema[k].dataType.simpleString() for k in keys]
-
-
-# Range tests are built as SQL text: some hundred nested columns would cost a call to the JVM each.
-def _literal(value: str, dtype: str) -> str:
-    text = value.replace("\\", "\\\\").replace("'", "\\'")
-    return f"CAST('{text}' AS {dtype})"
-
-
-def _before(keys: Sequence[str], types: Sequence[str], bound: tuple[str, ...]) -> str:
-    """The key lies below a bound, part by part."""
-    k, b = quote(keys[0]), _literal(bound[0], types[0])
-    if len(keys) == 1:
-        return f"{k} < {b}"
-    return f"({k} < {b} OR ({k} = {b} AND {_before(keys[1:], types[1:], bound[1:])}))"
-
-
-def _between(keys: Sequence[str], types: Sequence[str], low: Bound, high: Bound) -> str:
-    """low <= key < high; the bare first part goes along, as files keep statistics of it."""
-    tests, first = [], quote(keys[0])
-    if low is not None:
-        tests.append(f"{first} >= {_literal(low[0], types[0])}")
-        if len(keys) > 1:
-            tests.append(f"NOT {_before(keys, types, low)}")
-    if high is not None:
-        if len(keys) > 1:
-            tests.append(f"{first} <= {_literal(high[0], types[0])}")
-        tests.append(_before(keys, types, high))
-    return " AND ".join(tests) or "true"
-
-
-def _within(keys, types, intervals: Sequence[tuple[Bound, Bound]]) -> Column:
-    tests = [f"({_between(keys, types, low, high)})" for low, high in intervals]
-    return F.expr(" OR ".join(tests) or "false")
-
-
-def range_of(keys: Sequence[str], types: Sequence[str], bounds: Sequence[tuple[str, ...]]) -> Column:
-    """Number of bounds at or below the key, by halving."""
-
-    def among(low: int, high: int) -> str:
-        if low == high:
-            return str(low)
-        mid = (low + high) // 2
-        left, right = among(low, mid), among(mid + 1, high)
-        return f"CASE WHEN {_before(keys, types, bounds[mid])} THEN {left} ELSE {right} END"
-
-    return F.expr(among(0, len(bounds)))
-
-
 def range_digests(
     df: DataFrame,
     keys: str | Sequence[str],
@@ -121,34 +67,22 @@ def range_digests(
     """``(range, n, d0 .. d3)`` of the rows with a complete key; at most ``len(bounds) + 1`` rows."""
     keys = as_list(keys)
     sums = [F.sum(h).alias(p) for h, p in zip(row_hashes(columns), PARTS, strict=True)]
-    place = range_of(keys, _types(df, keys), bounds).alias("range")
+    place = range_of(keys, types_of(df, keys), bounds).alias("range")
     return df.where(~any_null(keys)).groupBy(place).agg(F.count(F.lit(1)).alias("n"), *sums)
 
 
 def _sorted_bounds(
     source: DataFrame, target: DataFrame, keys, types, intervals, fan_out: int
 ) -> list[tuple[str, ...]]:
-    """Ends of the intervals and, between them, keys that split their rows evenly; sorted by Spark.
-
-    A uniform sample of rows: a frequent key takes a large part of it but is one bound.
-    """
-    within = _within(keys, types, intervals) & ~any_null(keys)
-    rows = source.where(within).select(*cols(keys)).unionByName(target.where(within).select(*cols(keys)))
-    some = rows.orderBy(F.rand(7)).limit(fan_out * OVERSAMPLE)
-    w = Window.orderBy(*cols(keys))
-    places = (
-        some.groupBy(*cols(keys)).count()
-        # The sample is bounded, so one task may rank it.
-        .withColumn("upto", F.sum("count").over(w) - F.col("count"))
-        .withColumn("step", F.floor(F.col("upto") / OVERSAMPLE))
-        .groupBy("step").agg(F.min(F.struct(*cols(keys))).alias("k"))
-        .select("k.*")
-    )
+    """Ends of the intervals and, between them, keys that split their rows evenly; sorted by Spark."""
+    inside = within(keys, types, intervals) & ~any_null(keys)
+    rows = source.where(inside).select(*cols(keys)).unionByName(target.where(inside).select(*cols(keys)))
+    places = sampled_bounds(rows, keys, fan_out)
     edges = {b for ends in intervals for b in ends if b is not None}
     if edges:
         parts = [
             "struct(" + ", ".join(
-                f"{_literal(v, t)} AS {quote(k)}" for v, t, k in zip(b, types, keys, strict=True)
+                f"{literal(v, t)} AS {quote(k)}" for v, t, k in zip(b, types, keys, strict=True)
             ) + ")"
             for b in edges
         ]
@@ -158,18 +92,6 @@ def _sorted_bounds(
     return [tuple(r) for r in found]
 
 
-def _merged(numbers: Sequence[int], bounds: Sequence[tuple[str, ...]]) -> list[tuple[Bound, Bound]]:
-    """Neighbouring ranges as one interval."""
-    out: list[list[int]] = []
-    for i in sorted(numbers):
-        if out and out[-1][1] == i:
-            out[-1][1] = i + 1
-        else:
-            out.append([i, i + 1])
-    ends = [None, *bounds, None]
-    return [(ends[a], ends[b]) for a, b in out]
-
-
 def narrow(
     source: DataFrame,
     target: DataFrame,
@@ -192,14 +114,14 @@ def narrow(
     require_columns(source.columns, wanted, "source")
     require_columns(target.columns, wanted, "target")
     source, target = source.select(*cols(wanted)), target.select(*cols(wanted))
-    types = _types(source, keys)
+    types = types_of(source, keys)
     intervals: list[tuple[Bound, Bound]] = [(None, None)]
     equal_rows, levels = 0, []
     while True:
         bounds = _sorted_bounds(source, target, keys, types, intervals, fan_out)
-        within = _within(keys, types, intervals)
+        inside = within(keys, types, intervals)
         sides = [
-            range_digests(df.where(within), keys, wanted, bounds).withColumn("side", F.lit(side))
+            range_digests(df.where(inside), keys, wanted, bounds).withColumn("side", F.lit(side))
             for side, df in enumerate((source, target))
         ]
         found: dict[int, list] = {}
@@ -208,11 +130,11 @@ def narrow(
         count = {i: sum(d[0] for d in both if d) for i, both in found.items()}
         differing = [i for i, (s, t) in found.items() if s != t]
         equal_rows += sum(s[0] for s, t in found.values() if s == t)
-        intervals = _merged(differing, bounds)
+        intervals = merged(differing, bounds)
         rows, left = sum(count.values()), sum(count[i] for i in differing)
         levels.append(Level(len(found), len(differing), rows, left))
         if left <= enough or left * 2 > rows or len(intervals) * 2 > fan_out:
-            return Narrowed(_within(keys, types, intervals), equal_rows, levels)
+            return Narrowed(within(keys, types, intervals), equal_rows, levels)
 
 
 def reconcile_rows_digest(

@@ -46,7 +46,7 @@ def ordinal_of(name: str, dtype: T.DataType) -> tuple[str, Column] | None:
     return None
 
 
-def _value(q: Column, dtype: T.DataType) -> Column:
+def value_of(q: Column, dtype: T.DataType) -> Column:
     """A quantile as text of the column's type."""
     if isinstance(dtype, T.DateType):
         q = F.date_from_unix_date(q.cast("int"))
@@ -124,7 +124,7 @@ def report(
             kind = ordinal[0]
             n = F.call_function(f"kll_sketch_get_n_{kind}", F.col(f"`{i}_kll`"))
             picked = [
-                _value(F.call_function(f"kll_sketch_get_quantile_{kind}", F.col(f"`{i}_kll`"), F.lit(float(q))), f.dataType)
+                value_of(F.call_function(f"kll_sketch_get_quantile_{kind}", F.col(f"`{i}_kll`"), F.lit(float(q))), f.dataType)
                 for q in quantiles
             ]
             values = F.when(n > 0, F.array(*picked))

@@ -11,6 +11,7 @@ from tidemark.operators.reconcile import side_by_side
 from tidemark.operators.stage import stage
 from tidemark.plans.fixtures import CUTOFF
 from tidemark.plans.models import dim_stock_master, materialize
+from tidemark.plans.chunked_copy import ChunkedCopy
 from tidemark.plans.registry import Tables, query
 from tidemark.plans.sync import fan_out, fan_out_counts, full_load
 from tidemark.session import work_dir
@@ -76,6 +77,43 @@ def scan_chunked(t: Tables) -> DataFrame:
     return chunk_stats(chunk_by_key(t.orders, "o_orderkey", 16), "o_orderkey")
 
 
+@query("copy_resumed", "SELECT * FROM lineitem")
+def copy_resumed(t: Tables) -> DataFrame:
+    """A copy in chunks that stops after two waves and goes on in another run."""
+    source, path = t.lineitem, work_dir(t.spark, "copy")
+    for waves in (2, None):
+        copy = ChunkedCopy(
+            t.spark, path, ("l_orderkey", "l_linenumber"), chunks=24, per_wave=6
+        )
+        copy.run(source, waves)
+    return copy.read(source.schema)
+
+
+@query(
+    "copy_chunk_sizes",
+    """SELECT 32 AS chunks, (SELECT count(*) FROM events) AS row_count, true AS balanced""",
+)
+def copy_chunk_sizes(t: Tables) -> DataFrame:
+    """Chunks of a key whose values are unevenly spread: the square of the id."""
+    source = t.events.withColumn("key", F.col("event_id") * F.col("event_id"))
+    copy = ChunkedCopy(t.spark, work_dir(t.spark, "copy"), "key", chunks=32, per_wave=64)
+    copy.run(source)
+    sizes = copy.done().where("row_count > 0")
+    even = F.max(F.abs(F.col("row_count") * 32 / F.lit(source.count()) - 1)) < 0.25
+    return sizes.agg(
+        F.count(F.lit(1)).cast("int").alias("chunks"), F.sum("row_count").alias("row_count"), even.alias("balanced")
+    )
+
+
+@query("copy_refreshed", "SELECT * FROM orders_drift", uses=("orders_drift",))
+def copy_refreshed(t: Tables) -> DataFrame:
+    """A finished copy of another state: only chunks whose digests differ are copied again."""
+    copy = ChunkedCopy(t.spark, work_dir(t.spark, "copy"), "o_orderkey", chunks=40, per_wave=20)
+    copy.run(t.orders)
+    copy.refresh(t.orders_drift)
+    return copy.read(t.orders.schema)
+
+
 @query(
     "csv_round_trip",
     """SELECT CAST(event_id AS VARCHAR) AS event_id, nullif(raw_int, '') AS raw_int,
