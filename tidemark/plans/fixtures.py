@@ -53,6 +53,16 @@ RECIPES = {
         SELECT o_orderkey + 10000000, o_custkey, o_orderstatus, o_totalprice, o_orderdate,
                o_orderpriority
         FROM orders WHERE o_orderkey BETWEEN 1 AND 10""",
+    # Documents as text: nested, with values of several types at one path, broken ones, none.
+    "orders_json": """
+        SELECT o_orderkey, CASE o_orderkey % 13 WHEN 0 THEN NULL WHEN 1 THEN chr(123) || 'broken' WHEN 2 THEN '[]'
+          ELSE chr(123) || '"id": ' || CAST(o_orderkey AS STRING) || ', "customer": ' || chr(123) || '"key": ' ||
+            CASE WHEN o_orderkey % 5 = 0 THEN '"' || CAST(o_custkey AS STRING) || '"'
+                 ELSE CAST(o_custkey AS STRING) END ||
+            ', "vip": ' || CASE o_orderkey % 3 WHEN 0 THEN 'true' WHEN 1 THEN 'null' ELSE '"no"' END ||
+            chr(125) || ', "tags": [' || CASE WHEN o_orderkey % 2 = 0 THEN '"a", 1, ' || chr(123) || '"deep": [2.5]' || chr(125) ELSE '"b"' END ||
+            '], "status": "' || o_orderstatus || '"' || chr(125) END AS doc
+        FROM orders""",
     # A target loaded up to a cut-off date.
     "orders_hwm_tgt": f"""
         SELECT * FROM orders WHERE o_orderdate < TIMESTAMP '{CUTOFF}'""",

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import clean as C
 from tidemark.functions.types import ColumnSpec
+from tidemark.operators import json_shape as J
 from tidemark.operators import shape as S
 from tidemark.operators import sketches as K
 from tidemark.operators.keys import dedupe
@@ -335,6 +336,60 @@ ORDER_COLUMNS = [
 ]
 
 
+TREE_SQL = """, tree AS (
+    SELECT o_orderkey, regexp_replace(t.fullkey, '\\[\\d+\\]', '[*]', 'g') AS path,
+           CASE t.type WHEN 'VARCHAR' THEN 'string' WHEN 'UBIGINT' THEN 'integer' WHEN 'BIGINT' THEN 'integer'
+             WHEN 'DOUBLE' THEN 'decimal' ELSE lower(t.type) END AS kind
+    FROM (SELECT * FROM orders_json WHERE json_valid(doc)) AS o, json_tree(o.doc) AS t
+    UNION ALL
+    SELECT o_orderkey, '$', CASE WHEN doc IS NULL THEN 'absent' ELSE 'invalid' END
+    FROM orders_json WHERE doc IS NULL OR NOT json_valid(doc)),
+  paths AS (SELECT path, kind, count(*) AS "values", count(DISTINCT o_orderkey) AS documents
+    FROM tree GROUP BY ALL)"""
+
+
+@query("json_paths", f"{TREE_SQL} SELECT * FROM paths", uses=("orders_json",))
+def json_paths(t: Tables) -> DataFrame:
+    return J.json_paths(t.orders_json, "doc")
+
+
+DECLARED_JSON = {
+    "$": "object", "$.id": "integer", "$.customer": "object", "$.customer.key": "integer",
+    "$.customer.vip": "boolean", "$.tags": "array", "$.status": "string", "$.total": "decimal",
+}
+
+
+@query(
+    "json_drift",
+    f"""{TREE_SQL}, want AS (SELECT * FROM (VALUES {", ".join(f"('{p}', '{k}')" for p, k in DECLARED_JSON.items())})
+          AS x(path, declared))
+        SELECT path, declared,
+               coalesce(sum("values") FILTER (declared IS NOT NULL AND kind IN (declared, 'null')), 0)::BIGINT AS fitting,
+               coalesce(sum("values") FILTER (declared IS NULL OR kind NOT IN (declared, 'null')), 0)::BIGINT AS other
+        FROM paths FULL JOIN want USING (path) GROUP BY ALL""",
+    uses=("orders_json",),
+)
+def json_drift(t: Tables) -> DataFrame:
+    return J.json_drift(J.json_paths(t.orders_json, "doc"), DECLARED_JSON).drop("found")
+
+
+JSON_SHAPE = {
+    "id": ("$.id", "bigint"), "customer": ("$.customer.key", "bigint"), "vip": ("$.customer.vip", "boolean"),
+    "status": ("$.status", "string"),
+}
+
+
+@query(
+    "json_columns",
+    """SELECT o_orderkey, TRY_CAST(d->>'$.id' AS BIGINT) AS id, TRY_CAST(d->>'$.customer.key' AS BIGINT) AS customer,
+              TRY_CAST(d->>'$.customer.vip' AS BOOLEAN) AS vip, d->>'$.status' AS status
+       FROM (SELECT o_orderkey, CASE WHEN json_valid(doc) THEN doc END AS d FROM orders_json)""",
+    uses=("orders_json",),
+)
+def json_columns(t: Tables) -> DataFrame:
+    return J.json_columns(t.orders_json, "doc", JSON_SHAPE).drop("doc")
+
+
 def profiles_by_year(t: Tables) -> K.ProfileStore:
     """Every year of orders as a load, profiled on its own."""
     orders = t.orders
