@@ -97,6 +97,18 @@ RECIPES = {
             WHEN 3 THEN '' WHEN 4 THEN 'NA' ELSE '2024-01-05' END AS raw_date,
           event_type AS raw_text
         FROM events""",
+    # Dates in several formats, impossible ones, and numbers, as text.
+    "dirty_dates": """
+        SELECT event_id, d,
+          CASE event_id % 8 WHEN 0 THEN d WHEN 1 THEN y || '-' || m || '-' || dd
+            WHEN 2 THEN dd || '/' || m || '/' || y WHEN 3 THEN dd || '.' || m || '.' || y
+            WHEN 4 THEN ' ' || dd || '/' || m || '/' || y || ' ' WHEN 5 THEN 'null'
+            WHEN 6 THEN y || '/' || m || '/' || dd ELSE '31/02/' || y END AS mixed,
+          CASE event_id % 5 WHEN 0 THEN '' ELSE m || '/' || dd || '/' || y END AS american,
+          CASE event_id % 4 WHEN 0 THEN '1.5e3' ELSE CAST(event_id AS STRING) END AS amount,
+          CASE event_id % 3 WHEN 0 THEN 'Yes' WHEN 1 THEN 'off' ELSE 'TRUE' END AS flag
+        FROM (SELECT event_id, {YMD:ts} AS d, substr({YMD:ts}, 1, 4) AS y, substr({YMD:ts}, 5, 2) AS m,
+                     substr({YMD:ts}, 7, 2) AS dd FROM events) AS e""",
     # A securities master: NULL and empty keys, countries, NULL and zero prices.
     "stock_master": """
         SELECT

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import clean as C
 from tidemark.functions.types import ColumnSpec
+from tidemark.operators import infer as I
 from tidemark.operators import json_shape as J
 from tidemark.operators import shape as S
 from tidemark.operators import sketches as K
@@ -336,6 +337,57 @@ ORDER_COLUMNS = [
 ]
 
 
+DIRTY_DATES = ["mixed", "american", "amount", "flag"]
+
+
+def candidates_sql() -> str:
+    """What every value fits, by looks and, for dates, by whether the day exists."""
+    fits = [f"""CASE WHEN regexp_matches(v, '{p.replace("(?i:", "(").replace("^(", "^(?i)(") if name == "boolean" else p}')
+            THEN '{name}' END""" for name, p in I.PLAIN.items()]
+    signs = {"yyyy": "%Y", "MM": "%m", "dd": "%d", "HH": "%H", "mm": "%M", "ss": "%S", "'T'": "T"}
+    for fmt, looks in {**I.DATES, **I.TIMES}.items():
+        strf = fmt
+        for a, b in signs.items():
+            strf = strf.replace(a, b)
+        years = f"AND year(try_strptime(v, '{strf}')) BETWEEN 1900 AND 2100" if fmt in ("yyyyMMdd", "yyyyMMddHHmmss") else ""
+        quoted = fmt.replace("'", "''")
+        fits.append(
+            f"CASE WHEN regexp_matches(v, '{looks}') AND try_strptime(v, '{strf}') IS NOT NULL {years} THEN '{quoted}' END"
+        )
+    cells = " UNION ALL ".join(
+        f"SELECT '{c}' AS column_name, CASE WHEN trim({c}) NOT IN {TOKENS} THEN trim({c}) END AS v FROM dirty_dates"
+        for c in DIRTY_DATES
+    )
+    return f""", cells AS ({cells}), fit AS (SELECT column_name, v, CASE WHEN v IS NOT NULL THEN
+        array_to_string(list_filter([{", ".join(fits)}], lambda x: x IS NOT NULL), '|') END AS candidates FROM cells)"""
+
+
+@query(
+    "format_counts",
+    f"""{candidates_sql()} SELECT column_name, candidates, count(*) AS n, min(v) AS example FROM fit GROUP BY 1, 2""",
+    uses=("dirty_dates",),
+)
+def format_counts(t: Tables) -> DataFrame:
+    found = I.format_counts(t.dirty_dates, DIRTY_DATES)
+    return found.withColumn("candidates", F.array_join("candidates", "|"))
+
+
+@query(
+    "typed_by_inference",
+    """SELECT event_id,
+              CASE WHEN event_id % 8 NOT IN (5, 7) THEN CAST(strptime(d, '%Y%m%d') AS DATE) END AS mixed,
+              CASE WHEN event_id % 5 <> 0 THEN CAST(strptime(d, '%Y%m%d') AS DATE) END AS american,
+              CASE WHEN event_id % 4 = 0 THEN 1500 ELSE event_id END::DOUBLE AS amount, event_id % 3 <> 1 AS flag
+       FROM dirty_dates""",
+    uses=("dirty_dates",),
+)
+def typed_by_inference(t: Tables) -> DataFrame:
+    """Mixed formats, a ninth part of them impossible days, read as the dates they were written from."""
+    dirty = t.dirty_dates.drop("d")
+    found = I.infer(I.format_counts(dirty, DIRTY_DATES), tolerance=0.2)
+    return I.typed(dirty, found)
+
+
 TREE_SQL = """, tree AS (
     SELECT o_orderkey, regexp_replace(t.fullkey, '\\[\\d+\\]', '[*]', 'g') AS path,
            CASE t.type WHEN 'VARCHAR' THEN 'string' WHEN 'UBIGINT' THEN 'integer' WHEN 'BIGINT' THEN 'integer'
