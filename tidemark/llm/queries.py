@@ -17,7 +17,7 @@ from tidemark.llm.match_packing import pack, pieces
 from tidemark.llm.merkle_layout import audited
 from tidemark.llm.multi_prefix_join import near_duplicates
 from tidemark.llm.rotation_codes import near_vectors
-from tidemark.llm.secret_ledger import RULES, secrets
+from tidemark.llm.secret_ledger import RULES, scanned, secrets
 from tidemark.llm.token_counts import count_tokens
 from tidemark.llm.toxic_crf import fit, toxicity
 from tidemark.llm.weak_labels import fit as fit_quality
@@ -61,7 +61,11 @@ def op6_toxic_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op7_secret_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return secrets(table(spark, sf_dir, "documents"))
+    """An earlier state of the history is scanned first, then all of it with the ledger that left:
+    contents of the first scan are not scanned again."""
+    docs = table(spark, sf_dir, "documents")
+    ledger = scanned(docs.where(fold("doc_id", 2) == 0))
+    return secrets(docs, ledger)
 
 
 def _spans_sql() -> str:

@@ -15,7 +15,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import saved
@@ -72,42 +72,29 @@ SCAN = f"struct<rule: string, version: int, spans: array<{SPAN}>>"
 LEDGER = f"blob string, scans array<{SCAN}>"
 
 
-def rule_spans(text: Column, rule: Rule) -> Column:
-    """``array<struct<start, end>>`` of one rule's matches in ``text``."""
+STEP = "struct<gap: bigint, whole: bigint, size: bigint>"
+
+
+def rule_steps(text: Column, rule: Rule) -> Column:
+    """One rule's matches in ``text``, in order: characters since the last one, its length, and the
+    length that counts."""
     pattern = F.lit(rule.pattern)
-    between = F.transform(F.split(text, rule.pattern, -1), lambda x: F.length(x).cast("long"))
-    whole = F.transform(
-        F.regexp_extract_all(text, pattern, 0), lambda x: F.length(x).cast("long")
-    )
-    size = F.transform(
-        F.regexp_extract_all(text, pattern, rule.group), lambda x: F.length(x).cast("long")
-    )
-    # (gap before it, its length, the length that counts) per match, then a running sum. The gap
-    # behind the last match has no match to go with. Zipped, for an array named in a lambda
-    # function would be made again for each element.
+
+    def lengths(parts: Column) -> Column:
+        return F.transform(parts, lambda x: F.length(x).cast("long"))
+
+    between = lengths(F.split(text, rule.pattern, -1))
+    whole = lengths(F.regexp_extract_all(text, pattern, 0))
+    size = lengths(F.regexp_extract_all(text, pattern, rule.group))
+    # Zipped, for an array named in a lambda function would be made again for each element. The
+    # gap behind the last match has no match to go with.
     steps = F.zip_with(
         between,
         F.zip_with(whole, size, lambda w, s: F.struct(w.alias("whole"), s.alias("size"))),
         lambda gap, m: F.struct(gap.alias("gap"), m["whole"].alias("whole"), m["size"].alias("size")),
     )
-    start = F.struct(
-        F.lit(0).cast("long").alias("at"),
-        F.array().cast(f"array<{SPAN}>").alias("spans"),
-    )
-
-    def step(state, s):
-        begin = state["at"] + s["gap"]
-        end = begin + s["whole"]
-        span = F.array(F.struct(begin.alias("start"), end.alias("end")))
-        return F.struct(
-            F.coalesce(end, state["at"]).alias("at"),
-            F.when(s["size"] >= rule.at_least, F.concat(state["spans"], span))
-            .otherwise(state["spans"])
-            .alias("spans"),
-        )
-
-    found = F.aggregate(steps, start, step, lambda state: state["spans"])
-    return F.when(text.rlike(rule.hint), found).otherwise(F.array().cast(f"array<{SPAN}>"))
+    matches = F.filter(steps, lambda m: m["whole"].isNotNull())
+    return F.when(text.rlike(rule.hint), matches).otherwise(F.array()).cast(f"array<{STEP}>")
 
 
 def _tag(rule: Rule) -> str:
@@ -133,18 +120,50 @@ def scan_new(history: DataFrame, ledger: DataFrame | None, rules: tuple[Rule, ..
             .withColumn("seen", F.coalesce("seen", F.array().cast("array<string>")))
             .where(F.size(F.array_except(every, F.col("seen"))) > 0)
         )
-    scans = [
+    steps = [
         F.when(
             ~F.array_contains("seen", _tag(r)),
-            F.struct(
-                F.lit(r.name).alias("rule"),
-                F.lit(r.version).alias("version"),
-                rule_spans(F.col("text"), r).alias("spans"),
-            ),
+            F.struct(F.lit(r.name).alias("rule"), F.lit(r.version).alias("version"),
+                     rule_steps(F.col("text"), r).alias("steps")),
         )
         for r in rules
     ]
-    return todo.select("blob", F.array_compact(F.array(*scans)).cast(f"array<{SCAN}>").alias("scans"))
+    # Written: lengths only, which the two readers below share.
+    raw = saved(todo.select("blob", F.array_compact(F.array(*steps)).alias("scans")), "matches")
+    # Where a match ends is a running sum, over rows: a text with any number of them costs as many steps.
+    line = Window.partitionBy("blob", "rule", "version").orderBy("i")
+    need = F.create_map(*[F.lit(x) for r in rules for x in (_tag(r), r.at_least)])
+    found = (
+        raw.select("blob", F.explode("scans").alias("s"))
+        .select("blob", "s.rule", "s.version", F.posexplode("s.steps").alias("i", "m"))
+        .withColumn("end", F.sum(F.col("m.gap") + F.col("m.whole")).over(line.rowsBetween(Window.unboundedPreceding, 0)))
+        .where(F.col("m.size") >= F.element_at(need, F.concat_ws("@", "rule", "version")))
+        .groupBy("blob")
+        .agg(
+            F.array_sort(
+                F.collect_list(F.struct((F.col("end") - F.col("m.whole")).alias("start"), "end", "rule", "version"))
+            ).alias("found")
+        )
+    )
+    nothing = F.array().cast("array<struct<start: bigint, end: bigint, rule: string, version: int>>")
+    every_scan = F.transform(
+        "tags",
+        lambda t: F.struct(
+            t["rule"].alias("rule"),
+            t["version"].alias("version"),
+            F.transform(
+                F.filter("found", lambda f: (f["rule"] == t["rule"]) & (f["version"] == t["version"])),
+                lambda f: F.struct(f["start"].alias("start"), f["end"].alias("end")),
+            ).alias("spans"),
+        ),
+    )
+    tags = F.transform("scans", lambda s: F.struct(s["rule"].alias("rule"), s["version"].alias("version")))
+    return (
+        raw.select("blob", tags.alias("tags"))
+        .join(found, "blob", "left")
+        .withColumn("found", F.coalesce("found", nothing))
+        .select("blob", every_scan.cast(f"array<{SCAN}>").alias("scans"))
+    )
 
 
 def addressed(versions: DataFrame) -> DataFrame:
@@ -197,18 +216,22 @@ def listed(found: Column, kinds: tuple[str, ...] | None = None) -> Column:
     )
 
 
+def scanned(docs: DataFrame, ledger: DataFrame | None = None, rules: tuple[Rule, ...] = RULES) -> DataFrame:
+    """The ledger after a scan of ``docs(text)``: earlier rows and, written, those of what was new."""
+    new = saved(scan_new(addressed(docs.select(F.lit(None).alias("doc_id"), "text")), ledger, rules), "ledger")
+    return new if ledger is None else ledger.unionByName(new)
+
+
 def secrets(docs: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
     """``(doc_id, n_assign, n_access, n_hex, base_sha256, spans)`` of every row of ``docs(doc_id, text)``.
 
-    A NULL text counts as empty: no spans, the hash of the empty string. Repeated rows stay
-    repeated, a NULL ``doc_id`` stays NULL, other columns are ignored. An empty table gives an
-    empty result. ``ledger`` holds scans of earlier runs, which aren't repeated.
+    A NULL text counts as empty: no spans, the hash of the empty string. Texts are scanned whole,
+    in time that grows with their length and matches. Repeated rows stay repeated, a NULL ``doc_id``
+    stays NULL, other columns are ignored. An empty table gives an empty result. ``ledger`` holds scans of
+    earlier runs, which aren't repeated.
     """
     versions = addressed(docs)
-    # Written, as a ledger is: the scans are also read several times.
-    ledger_now = saved(scan_new(versions, ledger), "ledger")
-    if ledger is not None:
-        ledger_now = ledger.unionByName(ledger_now)
+    ledger_now = scanned(docs, ledger)
     base = tuple(r.name for r in BASE_RULES)
 
     def count(kind: str) -> Column:
@@ -222,43 +245,49 @@ def secrets(docs: DataFrame, ledger: DataFrame | None = None) -> DataFrame:
     )
 
 
-def redact(docs: DataFrame, mark: str = "[secret]") -> DataFrame:
-    """``docs`` with every found span replaced by ``mark``; overlapping spans become one mark.
+def redact(docs: DataFrame, mark: str = "[secret]", ledger: DataFrame | None = None) -> DataFrame:
+    """``docs`` with every found span replaced by ``mark``; overlapping and touching spans become one mark.
 
-    All columns stay as they are but ``text``; rows without findings are unchanged, NULL texts
-    stay NULL. Rows go by content, so repeated and NULL ids need no care.
+    All columns stay as they are but ``text``, whatever their names; rows without findings are
+    unchanged, NULL texts stay NULL. Rows go by content, so repeated and NULL ids need no care. Long texts
+    are cut in time that grows with their length (a text's UTF-32 form must fit 2 GB). ``ledger`` as in :func:`secrets`.
     """
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    versions = addressed(docs)
-    spans = findings(
-        versions.select(F.col("blob").alias("doc_id"), "blob").distinct(),
-        saved(scan_new(versions, None), "ledger"),
-    ).where(F.size("found") > 0)
-    start = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("out"))
-
-    def step(state, s):
-        # Text up to the span and a mark, or nothing for a span inside what is cut already.
-        gap = s["start"] - state["at"]
-        more = F.when(
-            (gap >= 0) & ~((gap == 0) & (state["at"] > 0)),
-            F.concat(F.substring(F.col("__text"), (state["at"] + 1).cast("int"), gap.cast("int")), F.lit(mark)),
-        ).otherwise(F.lit(""))
-        return F.struct(
-            F.greatest(state["at"], s["end"]).alias("at"), F.concat(state["out"], more).alias("out")
-        )
-
-    cut = F.aggregate(
-        F.col("__found"),
-        start,
-        step,
-        lambda state: F.concat(
-            state["out"],
-            F.substring(F.col("__text"), (state["at"] + 1).cast("int"), F.length("__text")),
-        ),
+    spans = (
+        scanned(docs, ledger)
+        .select("blob", F.explode("scans").alias("s"))
+        .where(F.array_contains(F.array(*[F.lit(_tag(r)) for r in RULES]), F.concat_ws("@", "s.rule", "s.version")))
+        .select("blob", F.explode("s.spans").alias("x"))
+        .select("blob", "x.start", "x.end")
+    )
+    before = Window.partitionBy("blob").orderBy("start", "end").rowsBetween(Window.unboundedPreceding, -1)
+    # What is kept in front of each mark: from where the spans so far end to where the next one starts.
+    kept = spans.withColumn("upto", F.max("end").over(before)).groupBy("blob").agg(
+        F.array_sort(
+            F.collect_list(
+                F.when(
+                    F.col("upto").isNull() | (F.col("start") > F.col("upto")),
+                    F.struct(F.coalesce("upto", F.lit(0)).alias("low"), F.col("start").alias("high")),
+                )
+            )
+        ).alias("kept"),
+        F.max("end").alias("last"),
+    )
+    # The caller's columns travel as one, so that no name of his can meet one of these.
+    text = F.col("row.text").cast("string")
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    found = rows.withColumn("blob", F.sha2(F.coalesce(text, F.lit("")), 256)).join(kept, "blob", "left")
+    # Four bytes a character: a stretch is found without counting characters from the front. Used twice
+    # below, so that it is a column made once.
+    found = found.withColumn("wide", F.when(F.col("kept").isNotNull(), F.encode(text, "UTF-32")))
+
+    def stretch(low: Column, high: Column) -> Column:
+        return F.decode(F.substring(F.col("wide"), (low * 4 + 1).cast("int"), ((high - low) * 4).cast("int")), "UTF-32")
+
+    parts = F.concat(
+        F.transform("kept", lambda k: stretch(k["low"], k["high"])),
+        F.array(stretch(F.col("last"), F.octet_length("wide") / 4)),
     )
-    joined = docs.withColumn("__text", text).withColumn("__blob", F.sha2("__text", 256)).join(
-        spans.select(F.col("doc_id").alias("__blob"), F.col("found").alias("__found")), "__blob", "left"
+    cut = F.when(F.col("kept").isNull(), F.col("row.text")).otherwise(F.array_join(parts, mark))
+    return found.select(
+        *[(cut if c == "text" else F.col("row")[c]).alias(c) for c in docs.columns]
     )
-    return joined.withColumn(
-        "text", F.when(F.col("__found").isNull(), F.col("text")).otherwise(cut)
-    ).select(*docs.columns)
