@@ -22,6 +22,7 @@ from tidemark.session import work_dir
 from tidemark.sources.versions import BucketedTable, VersionedTable
 from tidemark.spec import SyncSpec
 from tidemark.streaming import streams
+from tidemark.streaming.polling import PolledTable
 
 RUN_TS = "2025-08-13 01:00:00"
 FIRST_TS = "2025-08-12 01:00:00"
@@ -455,6 +456,18 @@ def stream_dedupe_late(t: Tables) -> DataFrame:
     return streams.UniqueRows(t.spark, out).rows(events.schema)
 
 
+@query("stream_polled_table", "SELECT * FROM orders")
+def stream_polled_table(t: Tables) -> DataFrame:
+    """A growing table polled four times, the third time in vain, and streamed under one checkpoint."""
+    orders, path = t.orders, work_dir(t.spark, "polled")
+    out, checkpoint = work_dir(t.spark, "streamed"), work_dir(t.spark, "checkpoint")
+    polled = PolledTable(t.spark, path, "o_orderdate")
+    for before in ("1997-01-01", "1999-06-15", "1999-06-15", "2100-01-01"):
+        polled.poll(orders.where(F.col("o_orderdate") < F.lit(before).cast("timestamp_ntz")))
+        streams.write_stream(polled.stream(orders.schema), out, checkpoint).awaitTermination()
+    return t.spark.read.schema(orders.schema).parquet(out)
+
+
 @query(
     "sync_cdc_repeated_keys",
     f"""{LATEST_SQL}
