@@ -12,6 +12,7 @@ from tidemark.operators import change_log as log
 from tidemark.operators import history as H
 from tidemark.operators.asof import as_of_join
 from tidemark.operators.keys import dedupe, key_violations
+from tidemark.operators.lookup import rows_of_keys, write_clustered
 from tidemark.operators.merge import merge, merge_stats
 from tidemark.operators.stage import staged
 from tidemark.plans import models
@@ -456,6 +457,33 @@ def stream_dedupe_late(t: Tables) -> DataFrame:
     return streams.UniqueRows(t.spark, out).rows(events.schema)
 
 
+FEW_SQL = """SELECT {columns} FROM lineitem WHERE l_orderkey IN (
+    SELECT o_orderkey FROM orders WHERE o_orderkey % {step} = 3)"""
+LINE_COLUMNS = "l_orderkey, l_linenumber, l_partkey, l_quantity"
+
+
+def lookup_rows(t: Tables, step: int) -> DataFrame:
+    """Rows of a clustered table with Bloom filters, for every ``step``-th order."""
+    path = work_dir(t.spark, "clustered")
+    source = t.lineitem.select("l_orderkey", "l_linenumber", "l_partkey", "l_quantity")
+    write_clustered(source, path, ("l_orderkey", "l_linenumber"), 8, 1 << 20)
+    target = t.spark.read.schema(source.schema).parquet(path)
+    keys = t.orders.where(F.col("o_orderkey") % step == 3).select(F.col("o_orderkey").alias("l_orderkey"))
+    return rows_of_keys(target, keys, "l_orderkey")
+
+
+@query("lookup_few_keys", FEW_SQL.format(columns=LINE_COLUMNS, step=150))
+def lookup_few_keys(t: Tables) -> DataFrame:
+    """As lists of keys."""
+    return lookup_rows(t, 150)
+
+
+@query("lookup_many_keys", FEW_SQL.format(columns=LINE_COLUMNS, step=7))
+def lookup_many_keys(t: Tables) -> DataFrame:
+    """As ranges around them."""
+    return lookup_rows(t, 7)
+
+
 @query("stream_polled_table", "SELECT * FROM orders")
 def stream_polled_table(t: Tables) -> DataFrame:
     """A growing table polled four times, the third time in vain, and streamed under one checkpoint."""

@@ -29,6 +29,7 @@ from tidemark.operators.incremental import (
     watermark_value,
 )
 from tidemark.operators.keys import resolve_duplicates
+from tidemark.operators.lookup import rows_of_keys
 from tidemark.operators.merge import merge
 from tidemark.operators.reconcile import reconcile_keys
 from tidemark.operators.shape import clean, conform, lost_values
@@ -210,7 +211,7 @@ def sync_table(spark: SparkSession, spec: SyncSpec, base: str, run_ts: object) -
         rows, options = stage.rows, {"on_duplicate": spec.on_duplicate, "order_by": spec.order_by}
         if spec.mode == "cdc":
             rows, options = one_per_key(rows, spec.keys, **options), {"on_duplicate": "unique"}
-            write_changes(current, rows, spec.target, spec.keys, base, version, run_ts)
+            write_changes(current, rows, spec.target, spec.keys, base, version, run_ts, stage.rows)
         merge_into(table, rows, spec.keys, spec.mode, version, run_ts=run_ts, **options)
         found = check_keys(spec, stage.rows, table) if spec.check_keys else {}
         return {"staged_rows": stage.row_count, **_outcome(table), **found, **bad}
@@ -233,19 +234,18 @@ def write_changes(
     base: str,
     version: int,
     run_ts: object,
+    stage: DataFrame | None = None,
 ) -> None:
     """Log what ``rows`` change in the stored table: INSERT and UPDATE with old and new values,
     nothing for rows that are equal. Stored rows that an extract lacks are no deletions. ``rows``
-    hold a key once (:func:`one_per_key`).
+    hold a key once (:func:`one_per_key`); ``stage`` has their keys, as a table that is cheap to read.
 
     The folder is named by version and replaced as a whole: a retry does not log twice.
     """
     if current is None:
         log = append_log(rows, name, keys, run_ts)
     else:
-        before = current.select(*cols(rows.columns)).join(
-            rows.select(*cols(keys)).distinct(), list(keys), "left_semi"
-        )
+        before = rows_of_keys(current.select(*cols(rows.columns)), rows if stage is None else stage, keys)
         log = to_log(diff(before, rows, list(keys)), name, list(keys), run_ts)
     log.write.mode("overwrite").parquet(f"{base}/{name}_cdc/version={version}")
 
@@ -380,7 +380,9 @@ def fan_out(
                     rows = one_per_key(rows, own_keys, t.on_duplicate, t.order_by)
                     options["on_duplicate"] = "unique"
                     current = table.read() if table.exists() else None
-                    write_changes(current, rows, t.name, own_keys, base, table.next_version(), run_ts)
+                    write_changes(
+                        current, rows, t.name, own_keys, base, table.next_version(), run_ts, stage.rows
+                    )
                 merge_into(table, rows, own_keys, t.mode, **options)
             return t.name, table.row_count(), None
         except Exception as e:  # the other targets go on
