@@ -116,3 +116,14 @@ def test_keyset_on_two_columns(spark):
     assert seen == rows
     with pytest.raises(ValueError):
         P.keyset_page(df, ["a", "b"], 1)
+
+
+def test_a_unique_key_is_the_only_tie_break(spark):
+    rows = [(i, i % 3, "x") for i in range(30)]
+    df = spark.createDataFrame(rows, "k int, s int, other string")
+    pages = [r["k"] for n in (1, 2, 3) for r in P.page(df, n, 10, "s", "DESC", "k", unique_key=True).collect()]
+    assert pages == [k for k, _, _ in sorted(rows, key=lambda r: (-r[1], r[0]))]
+    plan = P.page(df, 2, 10, "s", "ASC", "k", unique_key=True)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Sort [s#" in plan and plan.split("Sort [", 1)[1].split("]", 1)[0].count(" ASC") == 2
+    with pytest.raises(ValueError, match="needs a key"):
+        P.page(df, unique_key=True)

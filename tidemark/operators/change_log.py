@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.literals import timestamp
 from tidemark.functions.names import as_list, cols, require_columns
-from tidemark.operators.keys import KEY, differs, latest_per_key, pair_by_key
+from tidemark.operators.keys import KEY, differs, latest_per_key, pair_by_key, split_null_keys
 
 # The operations of a change log.
 INSERT, UPDATE, DELETE = "INSERT", "UPDATE", "DELETE"
@@ -130,9 +130,14 @@ def apply_log(
     )
     if seq:
         last = latest_per_key(last, [KEY], ["__seq"])
-    untouched = (
-        base.withColumn(KEY, F.struct(*cols(keys)))
-        .join(last.select(KEY), KEY, "left_anti")
+    # Complete keys meet as columns, so that statistics, bucketing and runtime filters of the base
+    # count; only keys with a NULL, which equals NULL here, are compared as structs.
+    keyed, unkeyed = split_null_keys(base, keys)
+    logged = last.select(*(F.col(KEY)[k].alias(k) for k in keys))
+    logged_keyed, logged_unkeyed = split_null_keys(logged, keys)
+    untouched = keyed.join(logged_keyed, keys, "left_anti").select(*cols(base.columns)).unionByName(
+        unkeyed.withColumn(KEY, F.struct(*cols(keys)))
+        .join(logged_unkeyed.select(F.struct(*cols(keys)).alias(KEY)), KEY, "left_anti")
         .select(*cols(base.columns))
     )
     rows = last.where(F.col("operation") != DELETE).select("after.*")

@@ -73,18 +73,22 @@ def page(
     sort_by: str | None = None,
     order: str = "ASC",
     key: str | Sequence[str] | None = None,
+    unique_key: bool = False,
 ) -> DataFrame:
     """Page ``number`` of ``size`` rows.
 
     All pages of a table follow one total order: the sort column, the key, then every other
-    column that has an order. So pages neither overlap nor miss rows, with or without a key; rows
-    that differ in a map column only are taken as equal. The cost grows with the depth of the
-    page; walk a table with :func:`keyset_page`.
+    column that has an order, unless the caller vouches for a ``unique_key``, which leaves no ties. So pages
+    neither overlap nor miss rows, with or without a key; rows that differ in a map column only are
+    taken as equal. The cost grows with the depth of the page; walk a table with :func:`keyset_page`.
     """
+    if unique_key and not key:
+        raise ValueError("unique_key needs a key")
     skip = check_page(number, size)
     ordering = _ordering(df, sort_by, order, key)
     named = {n for n, _ in ordering}
-    ordering += [(f.name, True) for f in df.schema.fields if f.name not in named and _has_order(f.dataType)]
+    if not unique_key:
+        ordering += [(f.name, True) for f in df.schema.fields if f.name not in named and _has_order(f.dataType)]
     return df.orderBy(*_order_columns(ordering)).offset(skip).limit(size)
 
 
