@@ -57,7 +57,49 @@ def test_phrases_by_hand():
     table_ = suffix_automaton(np.asarray([2, 3, 2, 4]), 6)
     table_[:, 5] = np.arange(len(table_))
     text = np.asarray([2, 3, 2, 2, 4, 3, 3, 5, 5])  # 2 3 2 | 2 4 | 3 | 3
-    assert phrases(table_, 6, text[:, None])[0] == 4
+    assert 1 + phrases(table_, 6, text[:, None])[0][0] == 4
+
+
+def test_parse_of_whole_texts_by_brute_force(monkeypatch):
+    """Phrases found by trying all substrings, over texts of many blocks, at every offset of the cut."""
+    import random
+
+    import numpy as np
+
+    from tidemark.llm import cross_parsing
+
+    rng = random.Random(8)
+    words = ["der", "die", "und", "the", "and", "ing", "tion", "aaaa", "ab", "q"]
+    trained = {lang: " ".join(rng.choices(words, k=300)) for lang in ("xx", "yy")}
+    model = cross_parsing.learn(list(trained.items()), 10_000)
+    texts = ["", "?!", "a" * 700, "ä unseen " * 40, "ab" * 300]
+    texts += [" " * k + " ".join(rng.choices([*words, "zebra"], k=200)) for k in range(0, 40, 3)]
+
+    def count(train, text):
+        n, at = 1, 0
+        known = "".join(chr(c) for c in train.tolist())
+        s = "".join(chr(c) for c in text.tolist())
+        while True:
+            end = at
+            while end < len(s) and s[at : end + 1] in known:
+                end += 1
+            if end == len(s):
+                return n
+            # A symbol that the training text lacks is a phrase, and the next one begins behind it.
+            lost = s[end] not in known
+            n, at = n + 1 + lost, end + lost
+
+    for block, warm in ((16, 4), (33, 1), (512, 64)):
+        monkeypatch.setattr(cross_parsing, "BLOCK", block)
+        monkeypatch.setattr(cross_parsing, "WARM_UP", warm)
+        bits, sizes = cross_parsing.parse(model, texts)
+        for k, (name, number) in enumerate(zip(model.names, model.numbers, strict=True)):
+            train_symbols = number[cross_parsing.symbols_of(trained[name] + " ", model.symbols)]
+            for text, got, n in zip(texts, bits[:, k], sizes, strict=True):
+                own = number[cross_parsing.symbols_of(text, model.symbols)]
+                if n:
+                    found = got * n / np.log2(model.lengths[k])
+                    assert abs(found - count(train_symbols, own)) < 1e-6, (block, text[:30])
 
 
 def test_languages_of_large_scripts(spark, monkeypatch):

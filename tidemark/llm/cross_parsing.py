@@ -9,7 +9,10 @@ character, the cross-parsing entropy, wins.
 Texts are lower-cased and every run of other than letters is one blank. Every letter of the training texts
 is a symbol of its own; an automaton numbers the letters of its language, and with many of them (Chinese) its
 transitions lie in one displaced table instead of a row for each state. Texts are parsed in blocks of ``BLOCK``
-characters, whole texts through, so that many blocks advance together; a block's end closes a phrase.
+characters, so that many blocks advance together, and phrases go on across them: a block starts in the state in which the
+characters before it, parsed from some way back, leave the automaton. Longest-match parses that start at different places soon
+agree; where a block's start differs from its predecessor's end, the block is parsed again from there, until
+all agree. The phrases are then those of the whole text.
 """
 
 from __future__ import annotations
@@ -25,8 +28,10 @@ from pyspark.sql import functions as F
 
 BLOCK = 512
 LANES = 4_096
+WARM_UP = 64  # characters before a block from which its start is guessed
 DENSE = 1 << 23  # cells of a table with a row for each state
 UNKNOWN = "und"
+MOST_LANGUAGES = 10_000
 
 
 class Displaced:
@@ -164,9 +169,12 @@ def learn(rows: list[tuple[str, str]], train_chars: int) -> Languages:
     return Languages(used, symbols, size, numbers, sizes, tables, lengths)
 
 
-def phrases(table: np.ndarray | Displaced, size: int, blocks: np.ndarray) -> np.ndarray:
-    """The number of phrases in each column of ``blocks``; a letter that the training text lacks
-    is a phrase of its own and counts twice."""
+def phrases(
+    table: np.ndarray | Displaced, size: int, blocks: np.ndarray, state: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray]:
+    """How many phrases begin in each column of ``blocks`` besides the one that is open before it, and the
+    state behind it; from ``state``, or the root. A letter that the training text lacks is a phrase of
+    its own, and the next one begins behind it."""
     if isinstance(table, Displaced):
         step = table.step
         root = step(np.ones(size, np.int64), np.arange(size))
@@ -179,14 +187,43 @@ def phrases(table: np.ndarray | Displaced, size: int, blocks: np.ndarray) -> np.
 
     lost = root == 0
     root = np.where(lost, 1, root)
-    state = np.ones(blocks.shape[1], np.int64)
-    count = np.ones(blocks.shape[1], np.int32)
+    state = np.ones(blocks.shape[1], np.int64) if state is None else state
+    count = np.zeros(blocks.shape[1], np.int32)
     for c in blocks:
         then = step(state, c)
         dead = then == 0
         count += dead
         count += dead & lost[c]
         state = np.where(dead, root[c], then).astype(np.int64)
+    return count, state
+
+
+def in_lanes(table, size: int, number: np.ndarray, blocks: np.ndarray, state: np.ndarray):
+    """:func:`phrases` of any number of blocks, some thousands at a time."""
+    count, end = np.zeros(blocks.shape[1], np.int32), np.zeros(blocks.shape[1], np.int64)
+    for at in range(0, blocks.shape[1], LANES):
+        part = slice(at, at + LANES)
+        count[part], end[part] = phrases(table, size, number[blocks[:, part]], state[part])
+    return count, end
+
+
+def joined_phrases(table, size: int, number: np.ndarray, blocks: np.ndarray, follows: np.ndarray) -> np.ndarray:
+    """Phrases that begin in each block, where a block that ``follows`` goes on with the one before it."""
+    start = np.ones(blocks.shape[1], np.int64)
+    after = np.flatnonzero(follows)
+    if len(after):
+        start[after] = in_lanes(table, size, number, blocks[-WARM_UP:, after - 1], start[after])[1]
+    count, end = in_lanes(table, size, number, blocks, start)
+    while len(after):
+        # Only blocks behind one that has just been parsed can start elsewhere than it ends.
+        after = after[start[after] != end[after - 1]]
+        if not len(after):
+            break
+        start[after] = end[after - 1]
+        count[after], end[after] = in_lanes(table, size, number, blocks[:, after], start[after])
+        after = after + 1
+        after = after[after < len(follows)]
+        after = after[follows[after]]
     return count
 
 
@@ -203,47 +240,57 @@ def parse(model: Languages, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
     blocks = np.ascontiguousarray(flat.reshape(-1, BLOCK).T)
     bits = np.zeros((len(texts), len(model.names)))
     owner = np.repeat(np.arange(len(texts)), counts)
+    follows = np.zeros(len(owner), bool)
+    follows[1:] = owner[1:] == owner[:-1]
     of_languages = zip(model.numbers, model.sizes, model.tables, model.lengths, strict=True)
     for k, (number, size, table, length) in enumerate(of_languages):
-        for at in range(0, blocks.shape[1], LANES):
-            found = phrases(table, size, number[blocks[:, at : at + LANES]])
-            bits[:, k] += np.bincount(owner[at : at + LANES], found, len(texts)) * np.log2(max(2, length))
+        found = joined_phrases(table, size, number, blocks, follows)
+        # And the phrase that each text begins with.
+        whole = np.bincount(owner, found, len(texts)) + (counts > 0)
+        bits[:, k] = whole * np.log2(max(2, length))
     return bits / np.maximum(1, sizes)[:, None], sizes
 
 
 def train(docs: DataFrame, train_docs: int = 400, train_chars: int = 40_000) -> Languages:
-    """A model of ``docs(doc_id, text, lang)`` with a language: per language at most ``train_docs``
-    documents, the first by a hash of their id, and ``train_chars`` characters."""
-    known = docs.where("lang is not null and text is not null and doc_id is not null")
-    span = 2**31
-    spread = known.select("doc_id", "lang", F.pmod(F.xxhash64("doc_id"), F.lit(span)).alias("u"))
-    # Some more than are wanted by a threshold on the hash, so that few rows are ranked.
-    sizes = known.groupBy("lang").agg(F.count("doc_id").alias("size"))
-    some = spread.join(sizes, "lang").where(
-        F.col("u") < F.lit(float(span * (2 * train_docs + 1_000))) / F.col("size")
-    )
-    order = Window.partitionBy("lang").orderBy("u", "doc_id")
-    ids = (
-        some.withColumn("place", F.row_number().over(order))
-        .where(F.col("place") <= train_docs)
-        .select("doc_id", "lang")
-    )
-    # At most train_docs ids for each language; of a text no more travels than is learned from.
-    rows = (
-        known.join(F.broadcast(ids), ["doc_id", "lang"])
-        .select("lang", F.substring("text", 1, train_chars).alias("text"), F.xxhash64("doc_id").alias("h"))
-        .collect()
+    """A model of ``docs(doc_id, text, lang)`` with a language.
+
+    Per language a sample of at most ``train_docs`` rows, the first by a hash of id and text, and of each a passage of at most
+    a tenth of ``train_chars`` characters that starts anywhere in it, by the same hash; so the driver gets at
+    most ``train_docs * train_chars / 10`` characters a language. Rows without a language, text or id are
+    left out, repeated rows are one; a table without any gives a model without languages. Languages are
+    few: more than ``MOST_LANGUAGES`` fail.
+    """
+    known = docs.where("lang is not null and text is not null and doc_id is not null").select(
+        "doc_id", "lang", F.col("text").cast("string").alias("text")
     )
-    # Spread over the sample: no document gives more than a tenth.
-    rows = sorted((r["h"], r["lang"], r["text"]) for r in rows)
-    return learn([(lang, text[: train_chars // 10]) for _, lang, text in rows], train_chars)
+    span = 2**31
+    spread = known.withColumn("u", F.pmod(F.xxhash64("doc_id", "text"), F.lit(span)))
+    # A row per language: their sizes set a threshold on the hash, which few rows pass, before any are
+    # dealt by language and ranked.
+    sizes = {r["lang"]: r["count"] for r in known.groupBy("lang").count().limit(MOST_LANGUAGES + 1).collect()}
+    if len(sizes) > MOST_LANGUAGES:
+        raise ValueError(f"more than {MOST_LANGUAGES} languages")
+    if not sizes:
+        return learn([], train_chars)
+    wanted = span * (2 * train_docs + 1_000)
+    limit = F.element_at(F.create_map(*[F.lit(x) for n, k in sizes.items() for x in (n, wanted / k)]), F.col("lang"))
+    chars = max(1, train_chars // 10)
+    # Passages start by the hash at one of the places that leave room for a whole one.
+    places = F.greatest(F.length("text") - chars, F.lit(0)) + 1
+    passage = F.substring(F.col("text"), (F.pmod(F.shiftright(F.xxhash64("text", "doc_id"), 3), places) + 1).cast("int"), F.lit(chars))
+    some = spread.where(F.col("u") < limit).select("lang", "u", "doc_id", passage.alias("text")).distinct()
+    order = Window.partitionBy("lang").orderBy("u", "doc_id", "text")
+    rows = some.withColumn("place", F.row_number().over(order)).where(F.col("place") <= train_docs).collect()
+    rows = sorted((r["u"], r["lang"], r["doc_id"], r["text"]) for r in rows)
+    return learn([(lang, text) for _, lang, _, text in rows], train_chars)
 
 
 def languages(docs: DataFrame, model: Languages) -> DataFrame:
     """``(doc_id, lang_pred, score)``, one row per row of ``docs(doc_id, text)``.
 
-    NULL texts and texts without a letter are ``und`` with score 0. ``score`` (0 to 1) weighs the
-    languages by their entropies. Repeated rows stay repeated, a NULL ``doc_id`` stays NULL, other
+    NULL texts and texts without a letter are ``und`` with score 0. Texts of any length are parsed
+    whole. ``score`` (0 to 1) weighs the languages by their entropies; of equal ones the first by name is
+    predicted. Repeated rows stay repeated, a NULL ``doc_id`` stays NULL, other
     columns are ignored, an empty table gives an empty result. A model without languages answers
     ``und``.
     """
