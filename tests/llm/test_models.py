@@ -171,7 +171,7 @@ def test_forward_backward_by_enumeration():
         weight[tags] = w * np.exp(sum(field.transition[a, b] for a, b in zip(tags, tags[1:])))
     total = sum(weight.values())
     want = [sum(w for t, w in weight.items() if t[i]) / total for i in range(4)]
-    marginal, joint = forward_backward(field, x, pairs=True)
+    marginal, joint = forward_backward(field, x, x >= 0)
     assert np.allclose(marginal[:, 0], [*want, 0])
     pairs = sum(w for t, w in weight.items() for a, b in zip(t, t[1:]) if (a, b) == (1, 0)) / total
     assert np.isclose(joint[1, 0], pairs)
@@ -189,6 +189,29 @@ def test_quality(spark, awkward):
     assert quality(empty, *fit_quality(empty)).count() == 0
 
 
+def test_a_phrase_scores_alike_at_every_offset(spark):
+    """The cut between lanes goes through the phrase, beside it, and far from it."""
+    import numpy as np
+
+    from tidemark.llm.toxic_crf import KindIds, document_features, packed
+
+    docs, labels = (table(spark, "/root/testdata/sf0.01", t) for t in ("documents", "labels"))
+    field = fit(docs, labels)
+    marked = [k for k, i in field.kinds.items() if field.emission[0][i] > 0.5][:4] or list(field.kinds)[:4]
+    filler = [k for k, i in field.kinds.items() if abs(field.emission[0][i]) < 0.1][:40] or ["x"]
+    for before in range(100, 160):
+        ids = packed(KindIds(field.kinds), (filler * 10)[:before] + marked + (filler * 10)[:200])
+        _, (m,) = document_features(field, [ids])
+        assert np.abs(m - uncut(field, ids)).max() < 1e-5, before
+
+
+def uncut(field, ids):
+    """Marginals of one chain over the whole text."""
+    from tidemark.llm.toxic_crf import forward_backward
+
+    return forward_backward(field, ids[:, None])[:, 0]
+
+
 def test_secrets_agree_with_sql(spark):
     sf = "/root/testdata/sf0.01"
     assert check(spark, duck(sf), "op7_secret_ledger", sf) is None

@@ -1,8 +1,9 @@
 """Toxic spans by a linear-chain conditional random field, and document scores from its marginals.
 
 Two tags, clean and toxic. Features of a word: itself, its first four and its first
-five letters, the word before, the word after; plus tag transitions. A chain is ``CHAIN`` consecutive words, so that any text is a set of equal lanes and
-forward-backward runs over all lanes of a batch at once.
+five letters, the word before, the word after; plus tag transitions. A text is a set of lanes of ``CHAIN`` consecutive words, so that
+forward-backward runs over all lanes of a batch at once; a lane also has ``CONTEXT`` words of the text on either side, which are
+read but whose marginals are the neighbouring lane's, so a phrase scores the same wherever a text is cut.
 
 Labels are given for documents only. Tokens are labelled from them: in the training sample a word
 of a toxic document is tagged toxic if it, or one of its prefixes, occurs in toxic documents far beyond expectation,
@@ -12,7 +13,7 @@ logistic function of its largest token marginal and of the expected number of to
 fitted to the sample's document labels with weights that undo the balanced sampling.
 
 The sample is bounded: at most ``train_docs`` labelled documents, half of either label, chosen
-by a hash of the id.
+by a hash of the id, and of each a passage of at most ``train_chars`` characters.
 """
 
 from __future__ import annotations
@@ -27,7 +28,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 WORD = re.compile(r"[^\W\d_]+")
-CHAIN = 64
+CHAIN = 128
+CONTEXT = 16
 LANES = 8_192
 BITS = 20
 LEXICON = 60_000  # kinds with a weight of their own, below 2 ** BITS
@@ -84,14 +86,26 @@ def kinds_of(x: np.ndarray) -> list[np.ndarray]:
     return [(x >> (k * BITS)) & (2**BITS - 1) for k in range(3)]
 
 
-def lanes(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
-    """Words of several texts as columns of ``CHAIN`` rows, -1 below the end; first lane of each text."""
+def lanes(ids: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Words of several texts as columns of up to ``CHAIN`` words of its own (``core``) and ``CONTEXT`` more of
+    the text on either side, -1 below the end; first lane of each text.
+
+    Marginals are taken from the core alone: what lies beyond the context no longer moves them, so they don't
+    depend on where a text is cut.
+    """
     counts = np.asarray([-(-len(x) // CHAIN) for x in ids], np.int64)
     first = np.concatenate([[0], np.cumsum(counts)])
-    out = np.full(int(first[-1]) * CHAIN, -1, np.int64)
-    for x, at in zip(ids, first, strict=False):
-        out[at * CHAIN : at * CHAIN + len(x)] = x
-    return np.ascontiguousarray(out.reshape(-1, CHAIN).T), first
+    height = CHAIN + 2 * CONTEXT
+    out = np.full((int(first[-1]), height), -1, np.int64)
+    core = np.zeros(out.shape, bool)
+    for x, lane in zip(ids, first.tolist(), strict=False):
+        for at in range(0, len(x), CHAIN):
+            low = max(0, at - CONTEXT)
+            part = x[low : at + CHAIN + CONTEXT]
+            out[lane, : len(part)] = part
+            core[lane, at - low : min(at + CHAIN, len(x)) - low] = True
+            lane += 1
+    return np.ascontiguousarray(out.T), first, np.ascontiguousarray(core.T)
 
 
 def odds(field: Field, x: np.ndarray) -> np.ndarray:
@@ -103,8 +117,9 @@ def odds(field: Field, x: np.ndarray) -> np.ndarray:
     return np.exp(np.where(x >= 0, np.clip(e, -30, 30), 0))
 
 
-def forward_backward(field: Field, x: np.ndarray, pairs: bool = False):
-    """Marginals of tag toxic (0 below the end), and the sums of the pair marginals if asked."""
+def forward_backward(field: Field, x: np.ndarray, core: np.ndarray | None = None):
+    """Marginals of tag toxic (0 below the end), and the sums of the pair marginals whose second
+    word is in the ``core``, if that is given."""
     n, m = x.shape
     e, a = odds(field, x), np.exp(field.transition)
     f, b = np.empty((n, m)), np.empty((n, m))
@@ -124,9 +139,9 @@ def forward_backward(field: Field, x: np.ndarray, pairs: bool = False):
         b[t] = q
     one = f * b
     marginal = np.where(x >= 0, one / (one + (1 - f) * (1 - b)), 0)
-    if not pairs:
+    if core is None:
         return marginal
-    live = x[1:] >= 0
+    live = core[1:]
     joint = np.empty((2, 2, n - 1, m))
     for i, before in ((0, 1 - f[:-1]), (1, f[:-1])):
         joint[i, 0] = before * a[i, 0] * (1 - b[1:])
@@ -198,7 +213,7 @@ def fitted_chains(sample: Sample) -> Field:
     field = Field(kinds, np.zeros((5, size)), -3.0, np.zeros((2, 2)), np.zeros(3))
     is_marked = np.zeros(size, bool)
     is_marked[[kinds[k] for k in marked if k in kinds]] = True
-    every, first = lanes(sample.packed(kinds))
+    every, first, cores = lanes(sample.packed(kinds))
     lane_toxic = np.repeat(np.asarray(sample.toxic, bool), np.diff(first))
     parts = [slice(k, k + LANES) for k in range(0, every.shape[1], LANES)]
     square = [np.full_like(field.emission, 1e-8), 1e-8, np.full((2, 2), 1e-8)]
@@ -206,10 +221,10 @@ def fitted_chains(sample: Sample) -> Field:
         grads, pairs, bias, off, total = -0.01 * field.emission, np.zeros((2, 2)), 0.0, 0.0, 0
         # A part of the lanes at a time, to bound memory.
         for part in parts:
-            x = every[:, part]
-            live, each = x >= 0, kinds_of(x)
+            x, live = every[:, part], cores[:, part]
+            each = kinds_of(x)
             y = (is_marked[each[0]] | is_marked[each[1]] | is_marked[each[2]]) & live & lane_toxic[part]
-            p, joint = forward_backward(field, x, pairs=True)
+            p, joint = forward_backward(field, x, live)
             g = np.where(live, y - p, 0)
             w = each[0]
             for row, (at, values) in enumerate(
@@ -234,12 +249,14 @@ def fitted_chains(sample: Sample) -> Field:
 
 def document_features(field: Field, ids: list[np.ndarray]) -> tuple[np.ndarray, list]:
     """(constant, log odds of the largest marginal, log of 1 + expected toxic words) per text, and marginals."""
-    x, first = lanes(ids)
+    x, _, core = lanes(ids)
     parts = [forward_backward(field, x[:, k : k + LANES]) for k in range(0, x.shape[1], LANES)]
-    p = np.concatenate(parts, axis=1).T.reshape(-1) if parts else np.zeros(0)
+    # Cores in the order of lanes are the words of the texts in their order.
+    p = np.concatenate(parts, axis=1).T[core.T] if parts else np.zeros(0)
+    ends = np.cumsum([len(v) for v in ids])
     out, each = np.zeros((len(ids), 3)), []
     for k, v in enumerate(ids):
-        m = p[first[k] * CHAIN : first[k] * CHAIN + len(v)]
+        m = p[ends[k] - len(v) : ends[k]]
         top = np.clip(m.max(initial=0), 1e-4, 1 - 1e-4)
         # A word counts by how far it is beyond doubt, so long texts don't gather crumbs.
         out[k] = 1, np.log(top / (1 - top)), np.log1p(m[m > 0.1].sum())
@@ -257,11 +274,14 @@ def fitted_documents(x: np.ndarray, y: np.ndarray, weight: np.ndarray) -> np.nda
     return w
 
 
-def fit(docs: DataFrame, labels: DataFrame, train_docs: int = 4_000) -> Field:
+def fit(
+    docs: DataFrame, labels: DataFrame, train_docs: int = 4_000, train_chars: int = 50_000
+) -> Field:
     """The field of ``docs(doc_id, text)`` and ``labels(doc_id, toxic)``, from a bounded sample.
 
     NULL labels, NULL texts and ids that no document has are left out; without any label the
-    field scores every text alike.
+    field scores every text alike. The driver gets at most ``2 * train_docs`` rows, however often an
+    id occurs, of at most ``train_chars`` characters, which start anywhere in a longer text, by its hash.
     """
     labels = labels.where("toxic is not null and doc_id is not null").select(
         "doc_id", (F.col("toxic") == 1).alias("toxic")
@@ -273,12 +293,17 @@ def fit(docs: DataFrame, labels: DataFrame, train_docs: int = 4_000) -> Field:
             train_docs // 2
         )
         ids = part if ids is None else ids.unionByName(part)
+    places = F.greatest(F.length("text") - train_chars, F.lit(0)) + 1
+    start = (F.pmod(F.xxhash64("text"), places) + 1).cast("int")
     rows = (
         docs.select("doc_id", "text")
         .where("text is not null")
         # At most train_docs ids: a bounded side.
         .join(F.broadcast(ids), "doc_id")
-        .select("text", "toxic")
+        .select(F.col("text").cast("string").alias("text"), "toxic")
+        .select(F.substring(F.col("text"), start, F.lit(train_chars)).alias("text"), "toxic")
+        .orderBy(F.xxhash64("text"), "text", "toxic")
+        .limit(2 * train_docs)
         .collect()
     )
     sample = Sample(sorted((r[0], r[1]) for r in rows))
@@ -330,7 +355,7 @@ def scorer(spark, field: Field):
 def toxicity(docs: DataFrame, field: Field, threshold: float = 0.7) -> DataFrame:
     """``(doc_id, score, predicted, spans)``, one row per row of ``docs(doc_id, text)``.
 
-    NULL and empty texts have the score of a text without words. Repeated rows stay repeated, a
+    Texts of any length are scored whole. NULL and empty texts have the score of a text without words. Repeated rows stay repeated, a
     NULL ``doc_id`` stays NULL, other columns are ignored; an empty table gives an empty result.
     """
     scored = docs.select("doc_id", scorer(docs.sparkSession, field)(F.col("text").cast("string")).alias("s"))
