@@ -8,70 +8,64 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import chunk_bpe, decontaminate, multi_prefix_join, secret_ledger, toxic_crf
+from tidemark.llm import chunk_bpe, decontaminate, secret_ledger, toxic_crf
 from tidemark.llm.common import saved, table
+from tidemark.llm.one_of_each import one_of_each
 
 THRESHOLD = 0.7
 WORDS, PERCENT = 5, 80
 
 
 def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with a toxicity score below the threshold; a NULL text has no toxic word."""
+    """Documents with a toxicity score below the threshold.
+
+    Texts are scored whole; a NULL or empty one has no toxic word and stays. Repeated rows go or stay
+    together, NULL ids count as others; an empty table stays empty, columns of any name stay.
+    """
     field = toxic_crf.fit(docs, table(spark, sf_dir, "labels"))
     score = toxic_crf.scorer(spark, field)(F.col("text").cast("string"))["score"]
     return docs.where(score < THRESHOLD)
 
 
-def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of near duplicates: of those with the smallest id (NULL last) any text.
+def without_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near duplicates, of those with the smallest id any text.
 
-    Rows are judged by their texts alone: an id that repeats names as many documents as it has texts, and
-    rows without an id are documents like others. Rows that only repeat an id and its text
-    are one. Documents without words resemble nothing and are all kept.
+    Judged by texts alone, whole; ids may repeat or be NULL. Documents without words and an empty
+    table stay as they are, as do columns of any name.
     """
-    # Rows of one id and one text have one name; 64 bits, as for sets of shingles.
-    name = F.xxhash64("doc_id", F.col("text").cast("string"))
-    has_words = F.coalesce(F.col("text").cast("string").rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
-    worded = docs.where(has_words)
-    found = multi_prefix_join.near_duplicates(worded.select(name.alias("doc_id"), "text"), WORDS, PERCENT)
-    first = (
-        found.select(F.col("doc_id").alias("name"), "component_id")
-        .distinct()
-        .join(worded.select(name.alias("name"), "doc_id").distinct(), "name")
-        .groupBy("component_id")
-        .agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "name")).alias("least"))
-        .select("least.name")
-    )
-    # Rows of one name may differ in other columns.
-    others = F.to_json(F.struct(*[c for c in docs.columns if c != "text"]))
-    one = (
-        worded.select(name.alias("name"), F.struct(*docs.columns).alias("r"), others.alias("others"))
-        .join(first, "name", "left_semi")
-        .groupBy("name")
-        .agg(F.min_by("r", "others").alias("r"))
-        .select("r.*")
-    )
-    return one.unionByName(docs.where(~has_words))
+    return one_of_each(docs, WORDS, PERCENT)
 
 
 def without_benchmarks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
+    """Documents that hold no benchmark item.
+
+    Whole texts are searched; NULL and empty ones hold nothing and stay, as do repeated rows, NULL ids,
+    an empty table and columns of any name.
+    """
     return decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, with a mark in place of each secret."""
+    """All documents, with a mark in place of each secret.
+
+    Whole texts are scanned, equal ones once; NULL and empty texts, repeated rows, NULL ids, an empty table
+    and columns of any name stay as they are.
+    """
     return secret_ledger.redact(docs)
 
 
 def as_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token counts and digests of ids and decoded text of all documents."""
+    """Token counts and digests of ids and decoded text of all documents.
+
+    Whole texts are encoded; a NULL text counts as empty, repeated rows and NULL ids stay, other columns
+    go; an empty table gives an empty result.
+    """
     return chunk_bpe.digests(docs, public_tokenizers.path("word_bpe_49k.json"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
     ("toxicity", without_toxic),
-    ("near_duplicates", one_of_each),
+    ("near_duplicates", without_copies),
     ("decontamination", without_benchmarks),
     ("secrets", without_secrets),
     ("bpe", as_tokens),
