@@ -12,6 +12,7 @@ from tests.compare import check, duck
 from tidemark.llm.common import saved, table
 from tidemark.llm.cross_parsing import languages, train
 from tidemark.llm.decontaminate import leaks
+from tidemark.llm.one_of_each import one_of_each
 from tidemark.llm.queries import fold
 from tidemark.llm.secret_ledger import (
     Rule,
@@ -330,7 +331,7 @@ def test_pipeline_judges_repeated_ids_by_text(spark, rows):
             (None, text("f"), "x"), (5, text("g"), "x"), (5, text("g"), "y"), (6, text("g"), "x"),
             (7, " ", "x"), (7, None, "x"), (None, None, "x"), (None, None, "x")]
     df = spark.createDataFrame(data, "doc_id long, text string, node string")
-    got = rows(corpus_pipeline.one_of_each(spark, df, ""))
+    got = rows(one_of_each(df))
     e = [r for r in got if r in data[7:9]]
     assert len(e) == 1  # either: there is no id to go by
     want = [data[0], data[1], data[2], data[4], data[9], data[10], *data[13:]]
