@@ -276,17 +276,18 @@ def redact(docs: DataFrame, mark: str = "[secret]", ledger: DataFrame | None = N
     text = F.col("row.text").cast("string")
     rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
     found = rows.withColumn("blob", F.sha2(F.coalesce(text, F.lit("")), 256)).join(kept, "blob", "left")
-    # Four bytes a character: a stretch is found without counting characters from the front. Used twice
-    # below, so that it is a column made once.
-    found = found.withColumn("wide", F.when(F.col("kept").isNotNull(), F.encode(text, "UTF-32")))
-
-    def stretch(low: Column, high: Column) -> Column:
-        return F.decode(F.substring(F.col("wide"), (low * 4 + 1).cast("int"), ((high - low) * 4).cast("int")), "UTF-32")
-
-    parts = F.concat(
-        F.transform("kept", lambda k: stretch(k["low"], k["high"])),
-        F.array(stretch(F.col("last"), F.octet_length("wide") / 4)),
-    )
+    def stretch(wide: Column, low: Column, high: Column) -> Column:
+        return F.decode(F.substring(wide, (low * 4 + 1).cast("int"), ((high - low) * 4).cast("int")), "UTF-32")
+
+    # Four bytes a character: a stretch is found without counting characters from the front. A lambda's
+    # variable, so that a text is encoded once and not for each stretch.
+    parts = F.transform(
+        F.array(F.encode(text, "UTF-32")),
+        lambda wide: F.concat(
+            F.transform("kept", lambda k: stretch(wide, k["low"], k["high"])),
+            F.array(stretch(wide, F.col("last"), F.octet_length(wide) / 4)),
+        ),
+    )[0]
     cut = F.when(F.col("kept").isNull(), F.col("row.text")).otherwise(F.array_join(parts, mark))
     return found.select(
         *[(cut if c == "text" else F.col("row")[c]).alias(c) for c in docs.columns]
