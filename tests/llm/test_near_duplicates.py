@@ -5,6 +5,7 @@ import re
 
 import pytest
 
+from tidemark.llm import multi_prefix_join
 from tidemark.llm.common import components, table
 from tidemark.llm.multi_prefix_join import near_duplicates
 
@@ -84,6 +85,31 @@ def test_one_large_group(spark, rows):
     assert {r["component_id"] for r in got} == {0} and len(got) == 300
 
 
+def test_copies_below_the_threshold(spark, rows, monkeypatch):
+    """Copies that share most of a text, few of which are linked: they don't meet in all pairs."""
+    rng = random.Random(3)
+    base = [f"t{i}" for i in range(150)]
+    data = []
+    for i in range(240):
+        copy = list(base)
+        for k in rng.sample(range(4, 146), 2):
+            copy[k] = f"x{i}y{k}"
+        data.append((i, " ".join(copy)))
+    data += [(1000 + i, t + f" z{i} z z{i}" * (i % 3)) for i, t in data[:12]]
+    asked = []
+    inner = multi_prefix_join._links
+
+    def counted(pairs, *more):
+        asked.append(pairs.count())
+        return inner(pairs, *more)
+
+    monkeypatch.setattr(multi_prefix_join, "_links", counted)
+    got = rows(near_duplicates(spark.createDataFrame(data, "doc_id long, text string")))
+    assert got == brute(data)
+    assert len({r[2] for r in got}) > 50
+    assert sum(asked) < 10 * len(data)
+
+
 def test_empty_table(spark):
     assert near_duplicates(spark.createDataFrame([], "doc_id long, text string")).collect() == []
 

@@ -9,11 +9,16 @@ pair must share as many as the smaller ``m`` of the two.
 
 Only connected components are asked for, so pairs within a group aren't all visited:
 1. Texts with equal sets are one node.
-2. Each node is verified against the node that is the least one in most of its prefix entries.
-   Near copies of one text thereby become one component, in time linear in their number.
-3. Of all pairs that share enough entries and lie in different components, first each node is
-   verified against the one it shares most with, then the pairs that still lie apart. No link is
-   lost: a pair that isn't visited is connected already.
+2. Each token has a pivot, the node whose prefix tokens are the most common. Each node is verified against
+   the pivot of most of its prefix entries. Near copies of one text thereby become one component, in time
+   linear in their number.
+3. Nodes of one pivot are compared by what sets them apart from it: with differences ``D`` from the pivot,
+   two sets differ in ``|D1| + |D2| - 2 |D1 and D2|`` shingles. If nothing shared is needed both are linked
+   with the pivot, else they meet at a rare shared difference. So copies that lie just below the threshold
+   of each other don't meet by all that the copies have in common.
+4. Of all these pairs, and of those that share enough entries of tokens whose pivot isn't both nodes' own,
+   which lie in different components, first each node is verified against the one it shares most with, then
+   the pairs that still lie apart. No link is lost: a pair that isn't visited is connected already.
 Verification counts exactly, over whole sets made again from the texts.
 """
 
@@ -32,6 +37,7 @@ from tidemark.llm.shingles import mixed, shingle_sets
 CELLS = 1 << 17  # of the frequency sketch: bounds what is broadcast
 MOST = 4
 VERIFY = 8.0  # cost of a verification in entries read
+NEAR = 4  # a set is described by its differences from a pivot if they are at most 1 / NEAR of both sizes
 ENTRIES_PER_BATCH = 500_000
 
 
@@ -128,29 +134,65 @@ def entries(shared, words: int, percent: int):
     return run
 
 
+def set_pairs(batch: pd.DataFrame, last: list, words: int) -> Iterator[tuple]:
+    """(a, b, set of a, set of b) of the rows (a, text_a, b, text_b) whose texts are their nodes' own.
+
+    ``last`` keeps what is known of the last ``b`` from batch to batch.
+    """
+    left = shingle_sets(batch["text_a"], words)
+    for a, b, text_b, s in zip(batch["a"], batch["b"], batch["text_b"], left, strict=True):
+        if not last or last[0] != b or last[2] != text_b:
+            t = next(shingle_sets([text_b], words))
+            last[:] = b, t, text_b, node_of(t) == b
+        if last[3] and node_of(s) == a:
+            yield a, b, s, last[1]
+
+
+def similar(s: np.ndarray, t: np.ndarray, percent: int) -> bool:
+    both = len(np.intersect1d(s, t, assume_unique=True))
+    return both > 0 and 100 * both >= percent * (len(s) + len(t) - both)
+
+
 def verified(words: int, percent: int):
     """(a, text_a, b, text_b) -> the pairs (a, b) whose whole sets are similar enough."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        last: tuple = (None, None, None)
-        own = False
+        last: list = []
         for batch in batches:
-            found = []
-            left = shingle_sets(batch["text_a"], words)
-            for a, b, text_b, s in zip(batch["a"], batch["b"], batch["text_b"], left, strict=True):
-                if last[0] != b or last[2] != text_b:
-                    last = (b, next(shingle_sets([text_b], words)), text_b)
-                    own = node_of(last[1]) == b
-                if not own or node_of(s) != a:
-                    continue
-                both = len(np.intersect1d(s, last[1], assume_unique=True))
-                if both and 100 * both >= percent * (len(s) + len(last[1]) - both):
-                    found.append((a, b))
+            found = [(a, b) for a, b, s, t in set_pairs(batch, last, words) if similar(s, t, percent)]
             yield pd.DataFrame(found, columns=["a", "b"]).astype("int64")
 
     return run
 
 
+def differences(s: np.ndarray, pivot: np.ndarray, sketch: np.ndarray) -> np.ndarray:
+    """What ``s`` has more or less than ``pivot``, by what is rare among the pivot's copies; the order
+    depends on the pivot alone."""
+    apart = np.setxor1d(s, pivot, assume_unique=True)
+    seen = sketch[(apart & np.uint64(CELLS - 1)).astype(np.int64)]
+    usual = int(np.median(sketch[(pivot & np.uint64(CELLS - 1)).astype(np.int64)]))
+    lacking = np.isin(apart, pivot, assume_unique=True)
+    return apart[np.lexsort((apart, np.where(lacking, np.maximum(usual - seen, 0), seen)))]
+
+
+def compared(shared, words: int, percent: int):
+    """(a, text_a, b, text_b) -> rows (a, b, n, linked, apart): the size of a's set, and its differences from
+    b's unless they are many."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        last: list = []
+        for batch in batches:
+            found = []
+            for a, b, s, t in set_pairs(batch, last, words):
+                apart = differences(s, t, shared.value)
+                near = NEAR * len(apart) <= len(s) + len(t)
+                found.append((a, b, len(s), similar(s, t, percent), apart.astype(np.int64) if near else None))
+            if found:
+                yield pd.DataFrame(found, columns=["a", "b", "n", "linked", "apart"])
+
+    return run
+
+
 def _texts(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     """``(node, text)`` of the nodes in ``pairs``, fetched once."""
     asked = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
@@ -163,14 +205,66 @@ def _texts(pairs: DataFrame, nodes: DataFrame, docs: DataFrame) -> DataFrame:
     )
 
 
-def _links(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """The pairs ``(a, b)`` of nodes that are linked."""
+def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     a = texts.select(F.col("node").alias("a"), F.col("text").alias("text_a"))
     b = texts.select(F.col("node").alias("b"), F.col("text").alias("text_b"))
-    rows = pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "text_a", "b", "text_b")
+    return pairs.select("a", "b").join(a, "a").join(b, "b").select("a", "text_a", "b", "text_b")
+
+
+def _links(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
+    """The pairs ``(a, b)`` of nodes that are linked."""
+    rows = _with_texts(pairs, texts)
     return saved(rows.mapInPandas(verified(words, percent), "a bigint, b bigint"), "links")
 
 
+def _by_differences(members: DataFrame, percent: int) -> DataFrame:
+    """``(a, b, shared)``: pairs of ``members(node, pivot, n, c, apart)`` of one pivot and different components
+    ``c`` that may be linked.
+
+    Sets of ``n1`` and ``n2`` shingles are linked if and only if they differ in at most
+    ``(100 - percent) (n1 + n2) / (100 + percent)``. So differences of d1 and d2 shingles must share ``needed``
+    of them, up to ``MOST`` of which stand so early that there is room for the others behind them. Pairs that need none are both
+    linked with the pivot: the excess of one of them is at most 0, and the sizes differ by no more than that.
+    """
+    excess = F.size("apart") * (100 + percent) - F.col("n") * (100 - percent)
+
+    def needed(a: str, b: str) -> Column:
+        return F.greatest(F.ceil((F.col(a) + F.col(b)) / (2 * (100 + percent))), F.lit(1))
+
+    known = members.withColumn("excess", excess)
+    groups = known.groupBy("pivot").agg(
+        F.min("excess").alias("least_excess"), F.min("c").alias("lo"), F.max("c").alias("hi")
+    )
+    placed = saved(
+        known.join(groups.where("lo <> hi").drop("lo", "hi"), "pivot")
+        .select(
+            "pivot", "node", "c", "excess", F.size("apart").alias("d"), "least_excess",
+            F.posexplode("apart").alias("place", "token"),
+        )
+        .where(F.col("place") < F.col("d") - needed("excess", "least_excess") + MOST)
+        .drop("least_excess"),
+        "differences",
+    )
+
+    def side(name: str, i: int) -> DataFrame:
+        return placed.select(
+            "pivot", "token", F.col("node").alias(name), *[F.col(x).alias(f"{x}{i}") for x in ("c", "excess", "d", "place")]
+        )
+
+    need = needed("excess1", "excess2")
+    matches = F.least(need, F.lit(MOST))
+    rest = need - matches
+    return (
+        side("a", 1)
+        .join(side("b", 2), ["pivot", "token"])
+        .where((F.col("c1") < F.col("c2")) & (F.col("place1") < F.col("d1") - rest) & (F.col("place2") < F.col("d2") - rest))
+        .groupBy("a", "b", matches.alias("matches"))
+        .agg(F.count("token").alias("shared"))
+        .where("shared >= matches")
+        .select("a", "b", "shared")
+    )
+
+
 def _standing_for(pairs: DataFrame, joined: DataFrame) -> DataFrame:
     """``pairs`` with the components ``ca`` and ``cb`` of their ends."""
     for end in ("a", "b"):
@@ -216,7 +310,7 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 85) -> DataF
     # Keep entries whose token stands in another node too: its least and largest node differ.
     # Counted before the shuffle, and joined back, so that a hot token can be split.
     ends = found.groupBy("token").agg(F.min("node").alias("least"), F.max("node").alias("largest"))
-    common = found.join(ends.where("least <> largest").select("token", "least"), "token").distinct()
+    common = found.join(ends.where("least <> largest").select("token"), "token").distinct()
     common = saved(
         common.select(
             "token",
@@ -224,7 +318,6 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 85) -> DataF
             F.shiftright("nm", 31).alias("n"),
             F.shiftright("nm", 3).bitwiseAND(2**28 - 1).alias("place"),
             F.col("nm").bitwiseAND(7).alias("m"),
-            "least",
         ),
         "common-entries",
     )
@@ -252,34 +345,67 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 85) -> DataF
             *more,
         )
 
-    least = side(common.where("node = least"), "b", 2)
+    often = common.groupBy("token").agg(F.count("node").alias("times"))
+    score = common.join(often, "token").groupBy("node").agg(F.sum("times").alias("score"))
+    pivots = saved(
+        common.join(score, "node")
+        .groupBy("token")
+        .agg(F.max_by(F.struct("node", "n", "place", "m"), F.struct("score", "node")).alias("top"))
+        .select("token", "top.*"),
+        "pivots",
+    )
     stars = (
-        side(common.where("node <> least"), "a", 1)
-        .join(least, "token")
-        .where(within())
-        .groupBy("a", "b", F.least("m1", "m2").alias("needed"))
+        side(common, "a", 1)
+        .join(side(pivots, "b", 2), "token")
+        .where((F.col("a") != F.col("b")) & within())
+        .groupBy("a", "b")
         .agg(F.count("token").alias("shared"))
-        .where("shared >= needed")
+        # Fewer than a link asks for too: what just misses a link with the pivot is told by its differences.
         .groupBy("a")
         .agg(F.max_by("b", F.struct("shared", "b")).alias("b"))
     )
     stars = saved(stars, "stars")
-    star_links = _links(stars, _texts(stars, nodes, docs), words, percent)
-    joined = saved(components(star_links), "star-components")
-    labelled = common.drop("least").join(joined.withColumnRenamed("id", "node"), "node", "left").select(
-        "token", "node", "n", "place", "m", F.coalesce("component_id", "node").alias("c")
+    seen = saved(
+        _with_texts(stars, _texts(stars, nodes, docs)).mapInPandas(
+            compared(shared, words, percent), "a bigint, b bigint, n bigint, linked boolean, apart array<bigint>"
+        ),
+        "compared",
+    )
+    joined = saved(components(seen.where("linked").select("a", "b")), "star-components")
+    of_nodes = joined.select(F.col("id").alias("node"), F.col("component_id").alias("c"))
+    members = seen.where("apart is not null").select(
+        F.col("a").alias("node"), F.col("b").alias("pivot"), "n", "apart"
+    )
+    labelled = (
+        common.join(of_nodes, "node", "left")
+        .join(members.select("node", "pivot"), "node", "left")
+        .join(pivots.select("token", F.col("node").alias("top")), "token")
+        .select(
+            "token", "node", "n", "place", "m", F.coalesce("c", "node").alias("c"),
+            ((F.col("node") == F.col("top")) | F.coalesce(F.col("pivot") == F.col("top"), F.lit(False))).alias("near"),
+        )
     )
     mixed_tokens = labelled.groupBy("token").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo <> hi")
     open_entries = saved(labelled.join(mixed_tokens.select("token"), "token"), "open-entries")
-    rest = (
-        side(open_entries, "a", 1, F.col("c").alias("c1"))
-        .join(side(open_entries, "b", 2, F.col("c").alias("c2")), "token")
-        .where((F.col("c1") < F.col("c2")) & within())
-        .groupBy("a", "b", F.least("m1", "m2").alias("needed"))
+    # Where the token's pivot is both nodes' own they meet by their differences from it, or have met as stars.
+    lower = F.col("c1") < F.col("c2")
+    by_entries = (
+        side(open_entries.where("not near"), "x", 1, F.col("c").alias("c1"))
+        .join(side(open_entries, "y", 2, F.col("c").alias("c2"), "near"), "token")
+        .where((F.col("c1") != F.col("c2")) & (F.col("near") | lower) & within())
+        .groupBy(
+            F.when(lower, F.col("x")).otherwise(F.col("y")).alias("a"),
+            F.when(lower, F.col("y")).otherwise(F.col("x")).alias("b"),
+            F.least("m1", "m2").alias("needed"),
+        )
         .agg(F.count("token").alias("shared"))
         .where("shared >= needed")
         .select("a", "b", "shared")
     )
+    by_differences = _by_differences(
+        members.join(of_nodes, "node", "left").withColumn("c", F.coalesce("c", "node")), percent
+    )
+    rest = by_entries.unionByName(by_differences).groupBy("a", "b").agg(F.max("shared").alias("shared"))
     rest = saved(rest, "rest")
     # First each node with the one it shares most with, then what still lies apart.
     texts = _texts(rest, nodes, docs)
