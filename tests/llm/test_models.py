@@ -334,3 +334,19 @@ def test_pipeline_judges_repeated_ids_by_text(spark, rows):
     assert len(e) == 1  # either: there is no id to go by
     want = [data[0], data[1], data[2], data[4], data[9], data[10], *data[13:]]
     assert sorted([r for r in got if r not in e], key=repr) == sorted(want, key=repr)
+
+
+def test_memory_of_the_fit(monkeypatch):
+    """A part of the lanes at a time: what the driver holds doesn't grow with their number."""
+    import tracemalloc
+
+    from tidemark.llm import toxic_crf
+
+    monkeypatch.setattr(toxic_crf, "ITERATIONS", 1)
+    sample = toxic_crf.Sample([(f"some words of text{'abcdef'[k % 6]}", k % 2 == 0) for k in range(9_000)])
+    tracemalloc.start()
+    field = toxic_crf.fitted_chains(sample)
+    toxic_crf.document_features(field, sample.packed(field.kinds))
+    peak = tracemalloc.get_traced_memory()[1] / 2**20
+    tracemalloc.stop()
+    assert peak < 160

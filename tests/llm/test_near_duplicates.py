@@ -2,10 +2,12 @@
 
 import random
 import re
+import tracemalloc
 
+import pyarrow as pa
 import pytest
 
-from tidemark.llm import multi_prefix_join
+from tidemark.llm import multi_prefix_join, shingles as shingles_module
 from tidemark.llm.common import components, table
 from tidemark.llm.multi_prefix_join import near_duplicates
 
@@ -118,3 +120,34 @@ def test_components_of_chains(spark, rows):
     edges = [(i, i + 1) for i in range(50)] + [(100, 101), (105, 101), (7, 7), (None, 3)]
     got = dict(rows(components(spark.createDataFrame(edges, "a long, b long"))))
     assert got == {**{i: 0 for i in range(51)}, 100: 100, 101: 100, 105: 100}
+
+
+def peak_mb(run):
+    shingles_module._powers.update({k: v[:1].copy() for k, v in shingles_module._powers.items()})
+    tracemalloc.start()
+    try:
+        run()
+        return tracemalloc.get_traced_memory()[1] / 2**20
+    finally:
+        tracemalloc.stop()
+
+
+def test_memory_of_a_worker():
+    """It depends on the block, not on how many texts a batch brings."""
+    text = " ".join(f"w{i}" for i in range(400))
+    texts = [f"{k} {text}" for k in range(2_000)]
+    assert peak_mb(lambda: sum(len(s) for s in shingles_module.shingle_sets(texts, 4))) < 24
+
+    batch = pa.RecordBatch.from_pydict({"text": pa.array([t[::-1] for t in texts])})
+    given = iter(multi_prefix_join.texts_of(batch))
+    assert next(given) == texts[0][::-1] and peak_mb(lambda: sum(len(t) for t in given)) < 1
+
+
+def test_blocks_do_not_change_sets(monkeypatch):
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice("abcdef") * rng.randint(1, 9) for _ in range(rng.randint(0, 60))) for _ in range(50)]
+    texts += [None, "", "x" * 5_000]
+    want = [s.tolist() for s in shingles_module.shingle_sets(texts, 4)]
+    for size in (1, 100, 1 << 20):
+        monkeypatch.setattr(shingles_module, "BLOCK_BYTES", size)
+        assert [s.tolist() for s in shingles_module.shingle_sets(texts, 4)] == want

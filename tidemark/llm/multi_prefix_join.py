@@ -27,7 +27,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -38,7 +38,16 @@ CELLS = 1 << 17  # of the frequency sketch: bounds what is broadcast
 MOST = 4
 VERIFY = 8.0  # cost of a verification in entries read
 NEAR = 4  # a set is described by its differences from a pivot if they are at most 1 / NEAR of both sizes
-ENTRIES_PER_BATCH = 500_000
+ENTRIES_PER_BATCH = 100_000
+PAIR = pa.schema({"a": pa.int64(), "b": pa.int64()})
+COMPARED = pa.schema(
+    {"a": pa.int64(), "b": pa.int64(), "n": pa.int64(), "linked": pa.bool_(), "apart": pa.list_(pa.int64())}
+)
+
+
+def texts_of(batch: pa.RecordBatch, name: str = "text") -> Iterator[str | None]:
+    """A column's texts one at a time: a worker holds the batch and one block of texts, not a second copy of all."""
+    return (t.as_py() for t in batch.column(name))
 
 
 def node_of(shingles: np.ndarray) -> int:
@@ -52,21 +61,22 @@ def nodes_and_sketch(words: int):
     """(doc_id, text) -> rows (doc_id, node, n) and, at a task's end, its frequency counts as
     rows (cell, hits)."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        names = ["doc_id", "node", "n", "cell", "hits"]
         hits = np.zeros(CELLS, np.int64)
         for batch in batches:
             nodes, sizes = [], []
-            for s in shingle_sets(batch["text"], words):
+            for s in shingle_sets(texts_of(batch), words):
                 np.add.at(hits, (s & np.uint64(CELLS - 1)).astype(np.int64), 1)
                 nodes.append(node_of(s) if len(s) else None)
                 sizes.append(len(s))
-            yield pd.DataFrame(
-                {"doc_id": batch["doc_id"], "node": pd.array(nodes, "Int64"), "n": sizes,
-                 "cell": pd.array([None] * len(batch), "Int32"), "hits": pd.array([None] * len(batch), "Int64")}
+            none = pa.nulls(len(sizes), pa.int32()), pa.nulls(len(sizes), pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array(nodes, pa.int64()), pa.array(sizes, pa.int64()), *none], names
             )
         cells = np.flatnonzero(hits)
-        none = pd.array([None] * len(cells), "Int64")
-        yield pd.DataFrame({"doc_id": none, "node": none, "n": none, "cell": cells, "hits": hits[cells]})
+        none = [pa.nulls(len(cells), pa.int64())] * 3
+        yield pa.RecordBatch.from_arrays([*none, pa.array(cells, pa.int32()), pa.array(hits[cells])], names)
 
     return run
 
@@ -95,14 +105,14 @@ def entries(shared, words: int, percent: int):
     """text -> prefix entries (token, node, nm), once per node of a task's recent texts; nm holds
     the size of the set, the token's place in its order and its number of matches."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sketch, recent = shared.value, set()
         parts: list[tuple] = []
         held = 0
 
         def frame():
             sizes = [len(p[0]) for p in parts]
-            return pd.DataFrame(
+            return pa.RecordBatch.from_pydict(
                 {
                     "token": np.concatenate([p[0] for p in parts]).astype(np.int64),
                     "node": np.repeat([p[1] for p in parts], sizes),
@@ -113,7 +123,7 @@ def entries(shared, words: int, percent: int):
             )
 
         for batch in batches:
-            for s in shingle_sets(batch["text"], words):
+            for s in shingle_sets(texts_of(batch), words):
                 if not len(s):
                     continue
                 node = node_of(s)
@@ -134,13 +144,14 @@ def entries(shared, words: int, percent: int):
     return run
 
 
-def set_pairs(batch: pd.DataFrame, last: list, words: int) -> Iterator[tuple]:
+def set_pairs(batch: pa.RecordBatch, last: list, words: int) -> Iterator[tuple]:
     """(a, b, set of a, set of b) of the rows (a, text_a, b, text_b) whose texts are their nodes' own.
 
     ``last`` keeps what is known of the last ``b`` from batch to batch.
     """
-    left = shingle_sets(batch["text_a"], words)
-    for a, b, text_b, s in zip(batch["a"], batch["b"], batch["text_b"], left, strict=True):
+    left = shingle_sets(texts_of(batch, "text_a"), words)
+    ends = batch.column("a").to_pylist(), batch.column("b").to_pylist()
+    for a, b, text_b, s in zip(*ends, texts_of(batch, "text_b"), left, strict=True):
         if not last or last[0] != b or last[2] != text_b:
             t = next(shingle_sets([text_b], words))
             last[:] = b, t, text_b, node_of(t) == b
@@ -156,11 +167,11 @@ def similar(s: np.ndarray, t: np.ndarray, percent: int) -> bool:
 def verified(words: int, percent: int):
     """(a, text_a, b, text_b) -> the pairs (a, b) whose whole sets are similar enough."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: list = []
         for batch in batches:
             found = [(a, b) for a, b, s, t in set_pairs(batch, last, words) if similar(s, t, percent)]
-            yield pd.DataFrame(found, columns=["a", "b"]).astype("int64")
+            yield pa.RecordBatch.from_pylist([dict(zip("ab", x, strict=True)) for x in found], PAIR)
 
     return run
 
@@ -179,7 +190,7 @@ def compared(shared, words: int, percent: int):
     """(a, text_a, b, text_b) -> rows (a, b, n, linked, apart): the size of a's set, and its differences from
     b's unless they are many."""
 
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         last: list = []
         for batch in batches:
             found = []
@@ -188,7 +199,8 @@ def compared(shared, words: int, percent: int):
                 near = NEAR * len(apart) <= len(s) + len(t)
                 found.append((a, b, len(s), similar(s, t, percent), apart.astype(np.int64) if near else None))
             if found:
-                yield pd.DataFrame(found, columns=["a", "b", "n", "linked", "apart"])
+                columns = zip(zip(*found, strict=True), COMPARED, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array(x, kind.type) for x, kind in columns], schema=COMPARED)
 
     return run
 
@@ -214,7 +226,7 @@ def _with_texts(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def _links(pairs: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """The pairs ``(a, b)`` of nodes that are linked."""
     rows = _with_texts(pairs, texts)
-    return saved(rows.mapInPandas(verified(words, percent), "a bigint, b bigint"), "links")
+    return saved(rows.mapInArrow(verified(words, percent), "a bigint, b bigint"), "links")
 
 
 def _by_differences(members: DataFrame, percent: int) -> DataFrame:
@@ -286,7 +298,7 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 85) -> DataF
     spark = docs.sparkSession
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     first = saved(
-        docs.mapInPandas(
+        docs.mapInArrow(
             nodes_and_sketch(words), "doc_id bigint, node bigint, n bigint, cell int, hits bigint"
         ),
         "nodes",
@@ -302,7 +314,7 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 85) -> DataF
     shared = spark.sparkContext.broadcast(sketch)
 
     found = saved(
-        docs.where("doc_id is not null").mapInPandas(
+        docs.where("doc_id is not null").mapInArrow(
             entries(shared, words, percent), "token bigint, node bigint, nm bigint"
         ),
         "entries",
@@ -366,7 +378,7 @@ def near_duplicates(docs: DataFrame, words: int = 4, percent: int = 85) -> DataF
     )
     stars = saved(stars, "stars")
     seen = saved(
-        _with_texts(stars, _texts(stars, nodes, docs)).mapInPandas(
+        _with_texts(stars, _texts(stars, nodes, docs)).mapInArrow(
             compared(shared, words, percent), "a bigint, b bigint, n bigint, linked boolean, apart array<bigint>"
         ),
         "compared",

@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 WORD = re.compile(r"[^\W\d_]+")
 CHAIN = 128
 CONTEXT = 16
-LANES = 8_192
+LANES = 2_048  # worked on at a time: some twenty arrays of that many lanes are held at once
 BITS = 20
 LEXICON = 60_000  # kinds with a weight of their own, below 2 ** BITS
 ITERATIONS = 60
